@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rideframe.session import new_shared_path
 from rideframe.spec import SERVICES
 
 FIRST_YEAR, LAST_YEAR = 1996, 2001
@@ -65,10 +66,31 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 FILE_NAMES = {"vendor_id": "VendorID", "ratecode_id": "RatecodeID", "airport_fee": "Airport_fee"}
 
 
+_trip_files: dict[tuple[str, str], str] = {}
+
+
+def trip_files(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with the derived trips as Parquet files, one sub-folder per service.
+
+    The analyses read trip files, so these are written once per application, in one pass
+    over the line items, and scanned by every query that needs them.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _trip_files:
+        path = new_shared_path(spark, "trip-files")
+        rows = trips(spark, sf_dir)
+        if rows.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+            # A small table sits in one file; spread it as a set of trip files would be.
+            rows = rows.repartition(spark.sparkContext.defaultParallelism)
+        rows.write.partitionBy("service_type").parquet(path)
+        _trip_files[key] = path
+    return _trip_files[key]
+
+
 def raw_trips(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
     """Trips of one service as its files hold them: green trips have no airport fee."""
     prefix = {"yellow": "tpep", "green": "lpep"}[service]
-    df = trips(spark, sf_dir).filter(F.col("service_type") == service).drop("service_type")
+    df = spark.read.parquet(f"{trip_files(spark, sf_dir)}/service_type={service}")
     if service == "green":
         df = df.drop("airport_fee")
     names = {

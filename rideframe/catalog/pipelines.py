@@ -419,7 +419,7 @@ def tip_diff_report_sql(service: str) -> str:
     def ordered(mode: str, source: str) -> str:
         number = "TRY_CAST(nullif(regexp_extract({c}, '[0-9]+'), '') AS DOUBLE)"
         return f"""SELECT '{mode}' AS mode, "featureA", "binA", "featureB", "binB", {r("diff", 6)} AS diff,
-        {number.format(c='"binA"')} AS column_order, -{number.format(c='"binB"')} AS row_order FROM {source}"""
+        {number.format(c='"binA"')} AS column_order, 0 - {number.format(c='"binB"')} AS row_order FROM {source}"""
 
     return on_weather(
         ordered("pair", "pairs") + " UNION ALL " + ordered("same", "same"),

@@ -600,7 +600,7 @@ def label_bounds(spark, sf_dir):
     "label_sort_key",
     f"""SELECT label, CASE WHEN label LIKE '<%' THEN -1e6 WHEN label LIKE '>%' THEN 1e6 ELSE
         TRY_CAST(nullif(regexp_extract(label, '\\[(-?[0-9]+)\\|', 1), '') AS DOUBLE) END::DOUBLE AS sort_key,
-      coalesce(-TRY_CAST(nullif(regexp_extract(label, '[0-9]+'), '') AS DOUBLE), 0) AS descending_key, count(*) AS n
+      coalesce(0 - TRY_CAST(nullif(regexp_extract(label, '[0-9]+'), '') AS DOUBLE), 0) AS descending_key, count(*) AS n
     FROM (SELECT CASE WHEN v < -50 THEN '<-50' WHEN v >= 50 THEN '>= 50' ELSE label END AS label FROM (
       SELECT label, TRY_CAST(nullif(regexp_extract(label, '-?[0-9]+'), '') AS BIGINT) AS v FROM {LABELS_SQL}))
     WHERE label IS NOT NULL GROUP BY label""",

@@ -18,9 +18,11 @@ def parse_timestamp(text: Column) -> Column:
 
 
 def millis_between(start: Column, end: Column) -> Column:
-    """Milliseconds from start to end, sub-millisecond parts cut off."""
-    seconds = (end - start).cast("interval second").cast("decimal(18,6)")
-    return (seconds * 1000).cast("bigint")
+    """Milliseconds from start to end, sub-millisecond parts cut off.
+
+    The difference is an interval; a thousand of it, in seconds, is its milliseconds.
+    """
+    return ((end - start) * 1000).cast("interval second").cast("bigint")
 
 
 def second_of_day(ts: Column) -> Column:

@@ -36,7 +36,7 @@ def descending_key(label: Column) -> Column:
     """Minus the first unsigned number in a label; 0 without one, minus infinity for null."""
     number = F.regexp_extract(F.trim(label), r"(\d+(?:\.\d+)?)", 1).try_cast("double")
     return F.when(label.isNull(), F.lit(float("-inf"))).otherwise(
-        F.coalesce(-number, F.lit(0.0))
+        F.coalesce(F.lit(0.0) - number, F.lit(0.0))
     )
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,6 +24,51 @@ def _pieces(zone: ZoneSpec, midnight_gap_s: int) -> list[tuple[int, int]]:
     return [(start, end)]
 
 
+def day_span(pickup: Column, dropoff: Column) -> tuple[Column, Column, Column]:
+    """Milliseconds of day of both times and the days between them.
+
+    Name these as columns of their own before using them in ``zone_minutes_of_span``, so
+    that they are computed once per row.
+    """
+    days = F.date_diff(F.to_date(dropoff), F.to_date(pickup)).cast("bigint")
+    return millis_of_day(pickup), millis_of_day(dropoff), days
+
+
+def zone_minutes_of_span(
+    start: Column,
+    end: Column,
+    days: Column,
+    zone: ZoneSpec,
+    unit: str = "minute",
+    midnight_gap_s: int = 0,
+) -> Column:
+    """``zone_minutes`` from the milliseconds of day and the days between them."""
+    if unit == "minute":
+        per_unit, decimals, half = 60000.0 / 10**4, 10**4, 0.5
+    elif unit == "minute_trunc":
+        per_unit, decimals, half = 60000.0, 1, 0.0
+    else:
+        raise ValueError(f"unknown zone unit {unit!r}")
+
+    def rounded(millis: Column) -> Column:
+        return F.floor(F.greatest(millis, F.lit(0)) / per_unit + half)
+
+    pieces = _pieces(zone, midnight_gap_s)
+    same_day, last_days, full_units = [], [], 0
+    for low, high in pieces:
+        from_low = F.greatest(start, F.lit(low))
+        to_high = F.least(end, F.lit(high))
+        same_day.append(rounded(to_high - from_low))
+        last_days += [rounded(high - from_low), rounded(to_high - low)]
+        full_units += int((high - low) / per_unit + half)
+    units = (
+        F.when(days == 0, reduce(add, same_day))
+        .when(days > 0, reduce(add, last_days) + (days - 1) * full_units)
+        .otherwise(F.lit(0))
+    )
+    return units / float(decimals)
+
+
 def zone_minutes(
     pickup: Column,
     dropoff: Column,
@@ -36,33 +84,7 @@ def zone_minutes(
     decimals, ``minute_trunc`` whole minutes. ``midnight_gap_s=1`` ends a wrapping zone
     at 23:59:59 of each day.
     """
-    if unit == "minute":
-        per_unit, decimals = 60000.0 / 10**4, 10**4
-    elif unit == "minute_trunc":
-        per_unit, decimals = 60000.0, 1
-    else:
-        raise ValueError(f"unknown zone unit {unit!r}")
-    half = 0.5 if unit == "minute" else 0.0
-
-    days = F.date_diff(F.to_date(dropoff), F.to_date(pickup)).cast("bigint")
-    start, end = millis_of_day(pickup), millis_of_day(dropoff)
-    first_day_end = F.when(days > 0, F.lit(DAY_MS)).otherwise(end)
-    last_day_end = F.when(days > 0, end).otherwise(F.lit(0))
-    full_days = F.greatest(days - 1, F.lit(0))
-
-    total = None
-    for low, high in _pieces(zone, midnight_gap_s):
-        first_ms = F.least(first_day_end, F.lit(high)) - F.greatest(start, F.lit(low))
-        last_ms = F.least(last_day_end, F.lit(high)) - F.lit(low)
-        full_units = int((high - low) / per_unit + half)
-        units = (
-            F.floor(F.greatest(first_ms, F.lit(0)) / per_unit + half)
-            + F.floor(F.greatest(last_ms, F.lit(0)) / per_unit + half)
-            + full_days * full_units
-        )
-        total = units if total is None else total + units
-    known = pickup.isNotNull() & dropoff.isNotNull() & (dropoff >= pickup)
-    return F.when(known, total / float(decimals)).otherwise(F.lit(0.0))
+    return zone_minutes_of_span(*day_span(pickup, dropoff), zone, unit, midnight_gap_s)
 
 
 def zone_share(minutes: Column, duration: Column, decimals: int = 4) -> Column:

@@ -10,7 +10,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rideframe.functions.dates import millis_between, minutes_of_millis
+from rideframe.functions.dates import millis_between
 from rideframe.spec import (
     FEE_COLUMNS,
     FEE_COLUMNS_WITH_TOLLS,
@@ -171,7 +171,8 @@ def filter_positive_duration(df: DataFrame, form: str = "order") -> DataFrame:
     if form == "order":
         return df.filter(dropoff > pickup)
     if form == "minutes":
-        return df.filter(minutes_of_millis(millis_between(pickup, dropoff)) > 0)
+        # Three milliseconds are the shortest duration that rounds to 0.0001 minutes.
+        return df.filter(millis_between(pickup, dropoff) >= 3)
     raise ValueError(f"unknown duration test {form!r}")
 
 

@@ -42,6 +42,20 @@ def _target_rank(probability: float, count: int, rank_rule: str) -> int:
     raise ValueError(f"unknown rank rule {rank_rule!r}")
 
 
+def _hit(target: int, column: str, low: float, high: float) -> str:
+    """The sub-range of an open quantile that a counted value falls in, else null.
+
+    The two ends of the range get sub-ranges of their own, so each pass narrows it.
+    """
+    bottom, top = f"cast('{low!r}' as double)", f"cast('{high!r}' as double)"
+    inner = f"least(floor((value - {bottom}) / {(high - low) / SUB_RANGES!r}D), {SUB_RANGES - 1})"
+    part = f"case when value = {bottom} then -1 when value = {top} then {SUB_RANGES} else {inner} end"
+    return (
+        f"case when feature = '{column}' and value between {bottom} and {top}"
+        f" then named_struct('target', {target}, 'part', cast({part} as int)) end"
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     wanted: Mapping[str, Sequence[float]],
@@ -78,37 +92,19 @@ def exact_quantiles(
                     ranges[row.feature, q] = (row.low, row.high, rank)
         while ranges:
             targets = list(ranges)
-            hits = []
-            for position, key in enumerate(targets):
-                low, high, _ = ranges[key]
-                width = (high - low) / SUB_RANGES
-                offset = F.col("value") - F.lit(low)
-                part = F.least(F.floor(F.try_divide(offset, F.lit(width))), F.lit(SUB_RANGES - 1))
-                # The two ends never share a sub-range, so each pass narrows the range.
-                part = (
-                    F.when(F.col("value") == low, F.lit(-1))
-                    .when(F.col("value") == high, F.lit(SUB_RANGES))
-                    .otherwise(part)
-                )
-                inside = (F.col("feature") == key[0]) & F.col("value").between(low, high)
-                hits.append(
-                    F.when(
-                        inside,
-                        F.struct(F.lit(position).alias("target"), part.cast("int").alias("part")),
-                    )
-                )
+            hits = ", ".join(_hit(i, key[0], *ranges[key][:2]) for i, key in enumerate(targets))
             parts = (
-                counts.select(F.explode(F.array(*hits)).alias("hit"), "value", "n")
-                .filter(F.col("hit").isNotNull())
+                counts.selectExpr(f"explode(array({hits})) as hit", "value", "n")
+                .filter("hit is not null")
                 .groupBy("hit.target", "hit.part")
                 .agg(
                     F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
                 )
-                .orderBy("target", "part")
             )
             passed = dict.fromkeys(targets, 0)
             open_ranges: dict[tuple[str, float], tuple[float, float, int]] = {}
-            for row in parts.collect():
+            # At most 514 rows per quantile.
+            for row in sorted(parts.collect(), key=lambda r: (r.target, r.part)):
                 key = targets[row.target]
                 rank = ranges[key][2]
                 before = passed[key]

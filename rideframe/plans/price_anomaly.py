@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rideframe.functions import bins, dates, money, zones
@@ -75,6 +75,19 @@ def _with_deviation_labels(df: DataFrame) -> DataFrame:
     )
 
 
+SPAN = ("pickup_ms_of_day", "dropoff_ms_of_day", "days_between")
+
+
+def _with_day_span(trips: DataFrame) -> DataFrame:
+    span = zones.day_span(F.col("pickup_datetime"), F.col("dropoff_datetime"))
+    return trips.select("*", *[c.alias(name) for c, name in zip(span, SPAN)])
+
+
+def _overnight(unit: str, midnight_gap_s: int) -> Column:
+    start, end, days = (F.col(name) for name in SPAN)
+    return zones.zone_minutes_of_span(start, end, days, OVERNIGHT, unit, midnight_gap_s)
+
+
 def clean_price_trips(raw: DataFrame, service: str, first_year: int, last_year: int) -> DataFrame:
     """Complete trips with valid codes, amounts, fees and years, in canonical columns."""
     trips = canonical_trips(normalize_columns(raw), service)
@@ -91,15 +104,15 @@ def with_price_features(
     """Duration, overnight share, fees, unit prices and the lower bounds of their bins."""
     pickup, dropoff = F.col("pickup_datetime"), F.col("dropoff_datetime")
     fees = [F.col(c) for c in FEE_COLUMNS if c in trips.columns]
-    minutes = zones.zone_minutes(pickup, dropoff, OVERNIGHT, "minute", midnight_gap_s)
-    trips = trips.select(
+    trips = _with_day_span(trips).select(
         "*",
         dates.duration_minutes(pickup, dropoff).alias("duration_minutes"),
         F.year(pickup).alias("year"),
-        minutes.alias("overnight_duration"),
+        _overnight("minute", midnight_gap_s).alias("overnight_duration"),
         dates.weekday_surcharge(pickup).alias("weekday_surcharge"),
         money.fee_total(fees, distinct_fees).alias("fees"),
     )
+    trips = trips.drop(*SPAN)
     duration, fare = F.col("duration_minutes"), F.col("fare_amount")
     trips = trips.select(
         "*",
@@ -175,12 +188,12 @@ def clean_price_trips_df(raw: DataFrame, service: str) -> DataFrame:
 def with_price_features_df(
     trips: DataFrame, zone_unit: str = "minute", midnight_gap_s: int = 0
 ) -> DataFrame:
-    pickup, dropoff = F.col("pickup_datetime"), F.col("dropoff_datetime")
+    pickup = F.col("pickup_datetime")
     duration, fare = F.col("duration_minutes"), F.col("fare_amount")
     fees = [F.col(c) for c in FEE_COLUMNS_WITH_TOLLS if c in trips.columns]
-    minutes = zones.zone_minutes(pickup, dropoff, OVERNIGHT, zone_unit, midnight_gap_s)
-    return trips.select(
-        "*",
+    minutes = _overnight(zone_unit, midnight_gap_s)
+    return _with_day_span(trips).select(
+        *[F.col(c) for c in trips.columns],
         F.year(pickup).alias("year"),
         money.fee_total(fees, decimals=2).alias("aggregate_fee"),
         zones.zone_share(minutes, duration, 2).alias("duration_minutes_overnight_pcg"),

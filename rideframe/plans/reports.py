@@ -36,6 +36,6 @@ def tip_diff_report(tips: DataFrame, mode: str = "pair") -> DataFrame:
         raise ValueError(f"unknown mode {mode!r}, use 'pair' or 'same'")
     return diffs.filter(F.col("diff").isNotNull()).select(
         "*",
-        (-descending_key(F.col("binA"))).alias("column_order"),
+        (F.lit(0.0) - descending_key(F.col("binA"))).alias("column_order"),
         descending_key(F.col("binB")).alias("row_order"),
     )

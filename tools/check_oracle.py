@@ -32,6 +32,9 @@ DUCK_TYPES = {
 }
 
 
+TIMES: dict[str, float] = {}
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for name in TABLES:
@@ -46,8 +49,6 @@ def cell(value):
         return (0, "")
     if isinstance(value, datetime.datetime):
         return (2, value.isoformat())
-    if isinstance(value, float) and value == 0:
-        return (2, "0.0")
     return (2, repr(value))
 
 
@@ -55,7 +56,9 @@ def compare(spark, con, sf_dir: str, name: str) -> list[str]:
     """Differences between a query and its SQL; an empty list if there are none."""
     df = QUERIES[name](spark, sf_dir)
     columns = sorted(df.columns)
+    started = time.time()
     got = df.select(*[f"`{c}`" for c in columns]).collect()
+    TIMES[name] = time.time() - started
     relation = con.sql(ORACLES[name])
     names = {c: str(t) for c, t in zip(relation.columns, relation.types)}
     problems = []
@@ -98,7 +101,7 @@ def main() -> int:
         except Exception as error:  # report and go on with the next query
             problems = [f"{type(error).__name__}: {str(error)[:600]}"]
         bad += bool(problems)
-        print(f"{'FAIL' if problems else 'ok  '}  {name} {time.time() - started:.1f} s", flush=True)
+        print(f"{'FAIL' if problems else 'ok  '}  {name} {time.time() - started:.1f} s, collect {TIMES.get(name, 0):.1f} s", flush=True)
         for problem in problems:
             print(f"      {problem}", flush=True)
     print(f"{bad} of {len(names or QUERIES)} queries differ")
