@@ -18,7 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derive_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical trips, one per line item."""
     base = table(spark, sf_dir, "lineitem").selectExpr(
         "*",
@@ -78,7 +78,7 @@ def trip_files(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _trip_files:
         path = new_shared_path(spark, "trip-files")
-        rows = trips(spark, sf_dir)
+        rows = derive_trips(spark, sf_dir)
         if rows.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
             # A small table sits in one file; spread it as a set of trip files would be.
             rows = rows.repartition(spark.sparkContext.defaultParallelism)
@@ -87,6 +87,12 @@ def trip_files(spark: SparkSession, sf_dir: str) -> str:
     return _trip_files[key]
 
 
+def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All trips with canonical columns, from the trip files."""
+    df = spark.read.parquet(trip_files(spark, sf_dir))
+    return df.select("service_type", *[c for c in df.columns if c != "service_type"])
+
+
 def raw_trips(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
     """Trips of one service as its files hold them: green trips have no airport fee."""
     prefix = {"yellow": "tpep", "green": "lpep"}[service]

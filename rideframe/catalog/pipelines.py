@@ -30,6 +30,8 @@ from rideframe.operators import binning, profile
 from rideframe.plans import price_anomaly as price_plan
 from rideframe.plans import reports as report_plan
 from rideframe.plans import tip_impact as tip_plan
+from rideframe.session import new_shared_path
+from rideframe.sources.reports import read_report, write_report
 from rideframe.spec import PRICE_CLASS_COLUMNS, PRICE_CLASS_COLUMNS_DF, SERVICES
 
 
@@ -364,9 +366,13 @@ ranges AS (
 
 
 def one_profile(spark, sf_dir, service="yellow"):
-    return price_plan.price_anomaly(
+    """The written profile of a service, which the report tables read several times."""
+    report = price_plan.price_anomaly(
         fx.raw_trips(spark, sf_dir, service), service, fx.FIRST_YEAR, fx.LAST_YEAR
     )
+    path = new_shared_path(spark, f"price-anomaly-{service}")
+    write_report(report, path)
+    return read_report(spark, path)
 
 
 @query(
@@ -400,7 +406,7 @@ def share_sql(source: str, metric: str) -> str:
     f"""WITH profile AS ({price_anomaly_sql("green")}) {share_sql("profile", "distance")}""",
 )
 def share_within_value(spark, sf_dir):
-    return profile.share_within_value(one_profile(spark, sf_dir, "green"), "distance")
+    return profile.share_within_value(one_profile(spark, sf_dir, "green"), ["distance"])
 
 
 def price_anomaly_report_sql(service: str) -> str:
@@ -438,7 +444,9 @@ def tip_diff_report(spark, sf_dir):
     """Both kinds of differences, from the tip report of each service."""
 
     def build(service):
-        tips = weather_reports(spark, sf_dir, service)["all_features"]
+        path = new_shared_path(spark, f"tip-features-{service}")
+        write_report(weather_reports(spark, sf_dir, service)["all_features"], path, single_file=True)
+        tips = read_report(spark, path)
         modes = [
             report_plan.tip_diff_report(tips, mode).select(F.lit(mode).alias("mode"), "*")
             for mode in ("pair", "same")

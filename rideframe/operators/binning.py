@@ -68,16 +68,13 @@ def with_threshold_bins(df: DataFrame, config: Mapping[str, BinSpec] = TIP_BINS)
     )
 
 
-def rebin_equal_width(
-    report: DataFrame, max_values: int = 15, top: int = 100
-) -> DataFrame:
+def merge_value_bins(report: DataFrame, max_values: int = 15, top: int = 100) -> DataFrame:
     """Merge the value bins of features that have more than ``max_values`` of them.
 
     Such a feature gets ``max_values`` whole-number edges between its lowest lower bound
     and its highest, at most ``top``; the last bin is open (``>=edge``). Edges that
-    coincide on a narrow range count once. Counts are summed and shares taken anew within
-    (feature, value). Features with few values, or with values that are not intervals,
-    keep their rows.
+    coincide on a narrow range count once. Counts are summed. Features with few values, or
+    with values that are not intervals, keep their rows.
     """
     low = labels.lower_bound(F.col("value"))
     ranges = report.groupBy("feature").agg(
@@ -110,7 +107,7 @@ def rebin_equal_width(
     )
     crowded = (F.col("n_values") > max_values) & (F.col("n_plain") == 0)
     value = F.when(crowded, merged).otherwise(F.col("value"))
-    counted = (
+    return (
         tagged.select(
             "feature", value.alias("value"), "cost_distance_label", "cost_time_label", "count"
         )
@@ -118,6 +115,11 @@ def rebin_equal_width(
         .agg(F.sum("count").alias("count"))
         .filter(F.col("count") != 0)
     )
+
+
+def rebin_equal_width(report: DataFrame, max_values: int = 15, top: int = 100) -> DataFrame:
+    """``merge_value_bins`` with the share of each row within (feature, value), in percent."""
+    counted = merge_value_bins(report, max_values, top)
     totals = counted.groupBy("feature", "value").agg(F.sum("count").alias("total"))
     return counted.join(totals, ["feature", "value"]).select(
         "feature",

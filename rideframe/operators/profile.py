@@ -63,8 +63,12 @@ def feature_profile(
         .groupBy("feature", "value", "cost_distance_label", "cost_time_label")
         .agg(F.sum("n_rows").alias("count"))
     )
-    totals = counted.groupBy("feature").agg(F.sum("count").alias("total"))
-    # One row per feature, so the broadcast side is as short as the list of features.
+    # Every row has a value of every feature, so all features share one total. It becomes
+    # one row per feature: the broadcast side is as short as the list of features.
+    names = F.array(*[F.lit(f) for f in features])
+    totals = cells.agg(F.sum("n_rows").alias("total")).select(
+        F.explode(names).alias("feature"), "total"
+    )
     return counted.join(F.broadcast(totals), "feature").select(
         "feature",
         "value",
@@ -96,25 +100,34 @@ def top_amounts(df: DataFrame, n: int = TOP_ROWS, columns: Sequence[str] = TOP_C
     )
 
 
-def share_within_value(report: DataFrame, metric: str, step: int = 10) -> DataFrame:
+def share_within_value(
+    report: DataFrame, metrics: Sequence[str] = ("distance", "time"), step: int = 10
+) -> DataFrame:
     """Share of each coarse deviation bin within (feature, value), in percent.
 
-    The window holds the coarse bins of one value, about twenty rows.
+    All metrics share one pass over the report. The window holds the coarse bins of one
+    value and metric, about twenty rows.
     """
-    label = coarsen_label(F.col(f"cost_{metric}_label"), step)
+    binned = [
+        F.struct(
+            F.lit(metric).alias("metric"),
+            coarsen_label(F.col(f"cost_{metric}_label"), step).alias("bin"),
+        )
+        for metric in metrics
+    ]
     counted = (
-        report.select("feature", "value", label.alias("bin"), "count")
-        .groupBy("feature", "value", "bin")
+        report.select("feature", "value", "count", F.explode(F.array(*binned)).alias("b"))
+        .groupBy("feature", "value", "b.metric", "b.bin")
         .agg(F.sum("count").alias("count"))
     )
-    total = F.sum("count").over(Window.partitionBy("feature", "value"))
+    total = F.sum("count").over(Window.partitionBy("feature", "value", "metric"))
     return (
         counted.select("*", F.bround(F.col("count") / total * 100, 5).alias("pcg"))
         .filter(F.col("count") != 0)
         .select(
             "feature",
             "value",
-            F.lit(metric).alias("metric"),
+            "metric",
             "bin",
             "count",
             "pcg",

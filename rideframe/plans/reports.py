@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rideframe.functions.labels import descending_key
-from rideframe.operators.binning import rebin_equal_width
+from rideframe.operators.binning import merge_value_bins
 from rideframe.operators.clean import drop_incomplete_nan
 from rideframe.operators.compare import pairwise_bin_diff, same_feature_diff, split_feature_keys
 from rideframe.operators.profile import share_within_value
@@ -19,10 +19,8 @@ DEVIATION_STEP = 10
 
 def price_anomaly_report(profile: DataFrame) -> DataFrame:
     """Share of each coarse deviation bin per feature value, by distance and by time."""
-    merged = rebin_equal_width(drop_incomplete_nan(profile), MAX_VALUES, TOP_VALUE)
-    return share_within_value(merged, "distance", DEVIATION_STEP).unionByName(
-        share_within_value(merged, "time", DEVIATION_STEP)
-    )
+    merged = merge_value_bins(drop_incomplete_nan(profile), MAX_VALUES, TOP_VALUE)
+    return share_within_value(merged, step=DEVIATION_STEP)
 
 
 def tip_diff_report(tips: DataFrame, mode: str = "pair") -> DataFrame:
