@@ -83,8 +83,7 @@ def merge_value_bins(report: DataFrame, max_values: int = 15, top: int = 100) ->
         F.min(low).alias("low"),
         F.greatest(F.min(low), F.least(F.max(low), F.lit(float(top)))).alias("high"),
     )
-    # One row per feature, so this side is as short as the list of features.
-    tagged = report.join(F.broadcast(ranges), "feature")
+    tagged = report.join(ranges, "feature")
 
     width = (F.col("high") - F.col("low")) / float(max_values - 1)
     edges = F.array_distinct(

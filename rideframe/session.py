@@ -9,11 +9,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 50_000
 
 
 def shuffle_partitions_for(input_bytes: int, cores: int) -> int:
-    """Shuffle partitions that keep one partition near 128 MB, at least one per core."""
-    return max(cores, math.ceil(input_bytes / TARGET_PARTITION_BYTES))
+    """Shuffle partitions for an input of this size: near 128 MB each, one per core at least.
+
+    The count is bounded, since every map task reports a size for each partition. The
+    largest shuffle here, of distinct trips, carries a part of the columns and the rows
+    that passed the filters; at 100 TB of input a partition then holds some 500 MB, which
+    an aggregation spills to disk where it must.
+    """
+    wanted = math.ceil(input_bytes / TARGET_PARTITION_BYTES)
+    return max(cores, min(wanted, MAX_SHUFFLE_PARTITIONS))
 
 
 def build_session(

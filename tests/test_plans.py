@@ -112,31 +112,3 @@ def test_monthly_pattern_needs_one_shuffle_and_a_sort(spark):
 
 def test_top_amounts_keep_the_first_rows_of_each_task(spark):
     assert "TakeOrderedAndProject" in plan(QUERIES["top_amounts"](spark, SF_DIR))
-
-
-def test_streaming_trips_take_the_same_filters_and_columns(spark, tmp_path):
-    """Row-local operators accept a stream as they are."""
-    raw = fx.raw_trips(spark, SF_DIR, "yellow")
-    batch = price_plan.with_price_features(price_plan.clean_price_trips(raw, "yellow", 1996, 2001))
-    path = f"{fx.trip_files(spark, SF_DIR)}/service_type=yellow"
-    names = dict(zip([c.lower() for c in raw.columns], raw.columns))
-    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
-    file_names = {"vendor_id": "VendorID", "ratecode_id": "RatecodeID", "airport_fee": "Airport_fee"}
-    stream = stream.select(
-        *[
-            F.col(c).alias(file_names.get(c, f"tpep_{c}" if f"tpep_{c}" in names else c))
-            for c in stream.columns
-        ]
-    )
-    cleaned = price_plan.with_price_features(
-        price_plan.clean_price_trips(stream, "yellow", 1996, 2001)
-    )
-    query = (
-        cleaned.writeStream.format("memory")
-        .queryName("clean_trips")
-        .option("checkpointLocation", str(tmp_path / "checkpoint"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination(120)
-    assert spark.table("clean_trips").count() == batch.count() > 0

@@ -78,4 +78,5 @@ def test_a_cluster_must_name_its_shared_folder():
 
 def test_partition_count_follows_the_input():
     assert session.shuffle_partitions_for(1000, 8) == 8
-    assert session.shuffle_partitions_for(100 * 2**40, 4000) == 819200
+    assert session.shuffle_partitions_for(2**40, 400) == 8192
+    assert session.shuffle_partitions_for(100 * 2**40, 4000) == session.MAX_SHUFFLE_PARTITIONS

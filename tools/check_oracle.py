@@ -1,6 +1,8 @@
 """Compare queries with their SQL, strictly: names, types, and every value.
 
     python tools/check_oracle.py SF_DIR [query ...]
+
+CHECK_CONF holds session settings to try, as ``name=value,name=value``.
 """
 
 from __future__ import annotations
@@ -88,6 +90,8 @@ def main() -> int:
         master="local[8]", shuffle_partitions=8, extra={"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"}
     )
     spark.sparkContext.setLogLevel("ERROR")
+    for setting in filter(None, os.environ.get("CHECK_CONF", "").split(",")):
+        spark.conf.set(*setting.split("=", 1))
     con = connect(sf_dir)
     bad = 0
     for name in names or QUERIES:
