@@ -5,6 +5,7 @@ Both sides use whole-number arithmetic, so they agree to the last digit.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,16 +88,25 @@ def trip_files(spark: SparkSession, sf_dir: str) -> str:
     return _trip_files[key]
 
 
+def read_trip_files(spark: SparkSession, sf_dir: str, folder: str = "") -> DataFrame:
+    """The trip files, or one sub-folder of them; written anew if they have been removed."""
+    try:
+        return spark.read.parquet(trip_files(spark, sf_dir) + folder)
+    except AnalysisException:
+        _trip_files.pop((spark.sparkContext.applicationId, sf_dir))
+        return spark.read.parquet(trip_files(spark, sf_dir) + folder)
+
+
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All trips with canonical columns, from the trip files."""
-    df = spark.read.parquet(trip_files(spark, sf_dir))
+    df = read_trip_files(spark, sf_dir)
     return df.select("service_type", *[c for c in df.columns if c != "service_type"])
 
 
 def raw_trips(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
     """Trips of one service as its files hold them: green trips have no airport fee."""
     prefix = {"yellow": "tpep", "green": "lpep"}[service]
-    df = spark.read.parquet(f"{trip_files(spark, sf_dir)}/service_type={service}")
+    df = read_trip_files(spark, sf_dir, f"/service_type={service}")
     if service == "green":
         df = df.drop("airport_fee")
     names = {

@@ -63,7 +63,7 @@ def coerce_columns(df: DataFrame) -> DataFrame:
 
 def drop_incomplete(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Drop rows with a null in any of the columns. NaN is a value here."""
-    return df.filter(_all_of([F.col(c).isNotNull() for c in columns or df.columns]))
+    return df.filter(" and ".join(f"`{c}` is not null" for c in columns or df.columns))
 
 
 def drop_incomplete_nan(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
