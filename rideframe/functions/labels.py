@@ -57,6 +57,11 @@ def feature_key(feature: str, bin_label: Column) -> Column:
     return F.concat_ws("_", F.lit(feature), bin_label)
 
 
+def class_key(*columns: Column) -> Column:
+    """The values of class columns as one text. Only for display: group by the columns."""
+    return F.concat_ws("_", *[c.cast("string") for c in columns])
+
+
 def split_feature_key(key: Column) -> tuple[Column, Column]:
     """Feature and bin of a key ``feature_bin``, split at the first underscore."""
     parts = F.split(key, "_", 2)

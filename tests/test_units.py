@@ -176,6 +176,12 @@ def test_feature_key_splits_at_the_first_underscore(spark):
     assert row == {"feature": "tripDistanceBin", "label": "0-1_late"}
 
 
+def test_class_key_text(spark):
+    key = labels.class_key(F.col("a"), F.col("b"), F.col("c"))
+    [row] = values(spark, [(1.0, "N", 2024)], "a double, b string, c int", key=key)
+    assert row == {"key": "1.0_N_2024"}
+
+
 def test_exact_quantiles(spark):
     df = spark.createDataFrame([(float(v),) for v in range(1, 11)], "x double")
     points = [0.0, 0.3, 0.5, 0.91, 1.0]
@@ -230,6 +236,22 @@ def test_class_of_one_deviates_by_zero(spark):
     assert out == {("a", 1.11): 0.0, ("b", 1.0): -50.0, ("b", 3.0): 50.0}
 
 
+def test_hot_class_collapses_into_few_cells(spark):
+    """Half of the trips share one class and price; the weighted averages stay exact."""
+    hot = spark.range(20000).selectExpr("'hot' as k", "2.5D as cost_per_distance", "0.5D as cost_per_time")
+    rest = spark.range(20000).selectExpr(
+        "concat('k', id % 50) as k",
+        "(id % 700) / 100D as cost_per_distance",
+        "(id % 300 + 1) / 100D as cost_per_time",
+    )
+    trips = hot.unionByName(rest)
+    cells = classes.price_cells(trips, ["k"])
+    assert cells.filter("k = 'hot'").count() == 1
+    plain = classes.class_averages(trips, ["k"]).orderBy("k").collect()
+    assert plain == classes.class_averages(cells, ["k"], weight="n_trips").orderBy("k").collect()
+    assert len(plain) == 51
+
+
 def test_left_join_matches_null_classes(spark):
     rows = [(None, 1.0, 2.0), ("b", 1.0, 1.0)]
     df = spark.createDataFrame(rows, "k string, cost_per_distance double, cost_per_time double")
