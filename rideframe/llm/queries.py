@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rideframe.llm.chat import format_conversations, read_turns, trained_text
+from rideframe.llm.fertility import judge_quality
 from rideframe.llm.merge_replay import decode_documents, encode_documents
 from rideframe.llm.packing import pack_documents
 from rideframe.llm.simple8b import read_token_files, write_token_files
 from rideframe.llm.support import table
 from rideframe.llm.token_cache import count_tokens, folded
+from rideframe.llm.toxicity import is_held_out, score_toxicity, train_toxicity
 from rideframe.llm.url_rules import judge_urls, url_rules
 from rideframe.session import new_shared_path
 
@@ -46,6 +48,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+@query("op2_fertility")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("op5_merge_replay")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -105,6 +112,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train_toxicity(docs, table(spark, sf_dir, "labels"))
+    scored = score_toxicity(docs, model)
+    return scored.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 @query(
     "op9_url_rules",
     """
