@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from rideframe.llm.chosen_path import drop_near_copies
 from rideframe.llm.fertility import drop_low_quality
 from rideframe.llm.packing import pack_documents
 from rideframe.llm.support import table
@@ -22,6 +23,10 @@ def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_low_quality(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_near_copies(docs, similarity=0.8, recall=0.99)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), window=2048, end_id=1)
 
@@ -29,6 +34,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", without_toxic),
     ("quality rules", of_quality),
+    ("n-gram Jaccard join", without_copies),
     ("packing", pack),
 ]
 

@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rideframe.llm.chat import format_conversations, read_turns, trained_text
+from rideframe.llm.chosen_path import similar_documents
 from rideframe.llm.fertility import judge_quality
 from rideframe.llm.merge_replay import decode_documents, encode_documents
 from rideframe.llm.packing import pack_documents
+from rideframe.llm.pq_dedup import near_duplicate_vectors
 from rideframe.llm.simple8b import read_token_files, write_token_files
 from rideframe.llm.support import table
 from rideframe.llm.token_cache import count_tokens, folded
@@ -53,6 +55,38 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query("op3_jaccard_join")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents"), similarity=0.8, recall=0.99)
+
+
+@query(
+    "op4_near_vectors",
+    """
+    WITH RECURSIVE v AS (
+        SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ), links AS (
+        SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+        WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+    ), reached(x, y) AS (
+        SELECT vec_id, vec_id FROM embeddings
+        UNION
+        SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x
+    )
+    SELECT e.vec_id,
+           (SELECT count(*) FROM links l WHERE l.x = e.vec_id) AS n_links,
+           (SELECT min(r.y) FROM reached r WHERE r.x = e.vec_id) AS component_id,
+           e.vec_id = (SELECT min(r.y) FROM reached r WHERE r.x = e.vec_id) AS kept
+    FROM embeddings e
+    """,
+)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 @query("op5_merge_replay")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
