@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,9 @@ SPACE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{
 #: A space with white space before it and white space or the end after it: cutting there changes how a run is read.
 UNSAFE = rf"{SPACE} (?:{SPACE}|\z)|\x{{00}}"
 
+#: A letter and one of these always fall into different matches of the vocabularies cut here.
+STOPS = (".", ",")
+
 Encoded = tuple[np.ndarray, np.ndarray]
 
 
@@ -27,12 +31,13 @@ class PieceEncoder:
     ``encode_pieces`` maps a list of strings to flat ids and their counts, ``encode_text``
     a whole text to its ids. With ``keep_space`` a piece begins with the space before it
     (byte-level vocabularies); texts in which a cut would change a run of white space are
-    encoded whole. Without it the tokenizer drops spaces and any cut is safe. The memory of
-    pieces is bounded; dropping it changes no result.
+    encoded whole. Without it the tokenizer drops spaces and any cut is safe. A full stop or
+    comma after a letter is split off. The memory of pieces is bounded; dropping it changes no
+    result.
     """
 
-    def __init__(self, encode_pieces: Callable[[list[str]], Encoded], encode_text: Callable[[str], np.ndarray], keep_space: bool):
-        self.encode_pieces, self.encode_text, self.keep_space = encode_pieces, encode_text, keep_space
+    def __init__(self, encode_pieces: Callable[[list[str]], Encoded], encode_text: Callable[[str], np.ndarray], keep_space: bool, kept: int = CACHED_PIECES):
+        self.encode_pieces, self.encode_text, self.keep_space, self.kept = encode_pieces, encode_text, keep_space, kept
         self._clear()
 
     def _clear(self) -> None:
@@ -42,18 +47,29 @@ class PieceEncoder:
         self.counts = np.zeros(0, np.int64)
 
     def _numbers(self, pieces: list[str]) -> np.ndarray:
-        if len(self.known) + len(pieces) > CACHED_PIECES:
+        if len(self.known) + len(pieces) > self.kept:
             self._clear()
         known = self.known
         fresh = [p for p in pieces if p not in known]
-        if fresh:
-            ids, counts = self.encode_pieces(fresh)
-            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
-            self.counts = np.concatenate([self.counts, counts])
-            self.ids = np.concatenate([self.ids, ids])
-            known.update(zip(fresh, range(len(known), len(known) + len(fresh))))
+        ended = [p for p in fresh if p[-1:] in STOPS and p[-2:-1].isalpha()]
+        parts = dict.fromkeys(p[:-1] for p in ended)
+        parts.update(dict.fromkeys(p[-1] for p in ended))
+        whole = [p for p in fresh if p[-1:] not in STOPS or not p[-2:-1].isalpha()]
+        whole += [p for p in parts.keys() - set(whole) if p not in known]
+        if whole:
+            self._add(whole, *self.encode_pieces(whole))
+        if ended:
+            pairs = np.fromiter((known[part] for p in ended for part in (p[:-1], p[-1])), np.int64, 2 * len(ended))
+            counts = self.counts[pairs]
+            self._add(ended, self.ids[ragged_positions(self.starts[pairs], counts)], counts[::2] + counts[1::2])
         return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
 
+    def _add(self, pieces: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
+        self.counts = np.concatenate([self.counts, counts])
+        self.ids = np.concatenate([self.ids, ids])
+        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces))))
+
     def _pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]:
         """Row offsets, the number of each piece, and the ids of texts that were encoded whole."""
         whole: dict[int, np.ndarray] = {}
@@ -100,7 +116,7 @@ def append_id(ids: np.ndarray, ends: np.ndarray, extra: int) -> Encoded:
 
 def _space_rule(config: dict) -> bool | None:
     """True if pieces keep their space, False if spaces vanish, None if cuts are not known to be safe."""
-    if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or " " in t["content"] for t in config["added_tokens"]):
+    if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or any(c in t["content"] for c in (" ", *STOPS)) for t in config["added_tokens"]):
         return None
     before, splitter = config.get("normalizer"), config.get("pre_tokenizer") or {}
     if not before and splitter.get("type") == "ByteLevel" and splitter["use_regex"] and not splitter["add_prefix_space"]:
@@ -136,7 +152,7 @@ def library_encoder(path: str) -> PieceEncoder:
     def encode_each(texts: list[str]) -> Encoded:
         found = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         counts = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for ids in found for i in ids), np.uint32, int(counts.sum())), counts
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum())), counts
 
     def encode_pieces(pieces: list[str]) -> Encoded:
         if not special or any(s in p for s in special for p in pieces):
@@ -177,7 +193,7 @@ def sentence_encoder(path: str) -> WholeEncoder:
     def encode_each(texts: list[str]) -> Encoded:
         found = model.encode(texts, num_threads=1)
         counts = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for ids in found for i in ids), np.uint32, int(counts.sum())), counts
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum())), counts
 
     return WholeEncoder(encode_each)
 

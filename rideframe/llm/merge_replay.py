@@ -15,7 +15,8 @@ from rideframe.llm.encoding import PieceEncoder
 from rideframe.llm.support import binary_array, ragged_positions, reach_workers, text_slices
 
 NONE = np.int32(2**31 - 1)
-REPLAY_BYTES = 24 << 20
+REPLAY_BYTES = 8 << 20
+KEPT_PIECES = 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -177,15 +178,16 @@ def replay_encoder(path: str, pattern: str) -> PieceEncoder:
         def encode_text(text: str) -> np.ndarray:
             return encode_pieces([text])[0]
 
-        _ENCODERS[path, pattern] = PieceEncoder(encode_pieces, encode_text, keep_space=True)
+        _ENCODERS[path, pattern] = PieceEncoder(encode_pieces, encode_text, keep_space=True, kept=KEPT_PIECES)
     return _ENCODERS[path, pattern]
 
 
-def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, decode: bool = False) -> DataFrame:
     """Ids of every whole text: doc_id, n_tokens, ids (little-endian unsigned 32-bit).
 
-    Each task takes up to 24 MB of text at a time, replays the merges over the distinct words
-    that it has not met before, and puts the ids of the words together; nothing is shuffled.
+    With ``decode`` the ids are decoded at once, in the same worker, into ``decoded`` (binary).
+    Each task takes up to 8 MB of text at a time, replays the merges over the distinct words
+    that it does not hold yet, and puts the ids of the words together; nothing is shuffled.
     A null text is empty and has no ids; null and repeated doc_ids stay; further columns are
     ignored; an empty table gives no rows.
     """
@@ -195,11 +197,18 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
         pieces = replay_encoder(ranks_path, pattern)
         for part in text_slices(batches, "text", REPLAY_BYTES):
             ids, ends = pieces.encode(part.column("text"))
-            columns = [part.column("doc_id"), pa.array(np.diff(ends), pa.int64()), binary_array(ids.astype("<u4"), ends * 4)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids"])
+            columns = {"doc_id": part.column("doc_id"), "n_tokens": pa.array(np.diff(ends), pa.int64()), "ids": binary_array(ids.astype("<u4"), ends * 4)}
+            if decode:
+                columns["decoded"] = decoded_texts(columns["ids"], ranks_path)
+            yield pa.RecordBatch.from_pydict(columns)
 
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return source.mapInArrow(encode, "doc_id long, n_tokens long, ids binary")
+    return source.mapInArrow(encode, "doc_id long, n_tokens long, ids binary" + (", decoded binary" if decode else ""))
+
+
+def decoded_texts(ids: pa.Array, ranks_path: str) -> pa.Array:
+    tokens = token_bytes(ranks_path)
+    return pa.array((b"".join([tokens[i] for i in np.frombuffer(row.as_buffer(), "<u4").tolist()]) for row in ids), pa.binary())
 
 
 def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -207,10 +216,8 @@ def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:
     reach_workers(encoded.sparkSession)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = token_bytes(ranks_path)
         for batch in batches:
-            texts = [b"".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()]) for ids in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], [*batch.schema.names, "decoded"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, decoded_texts(batch.column("ids"), ranks_path)], [*batch.schema.names, "decoded"])
 
     return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(decode, "doc_id long, n_tokens long, ids binary, decoded binary")
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rideframe.llm.chat import format_conversations, read_turns, trained_text
 from rideframe.llm.chosen_path import similar_documents
 from rideframe.llm.fertility import judge_quality
-from rideframe.llm.merge_replay import decode_documents, encode_documents
+from rideframe.llm.merge_replay import encode_documents
 from rideframe.llm.packing import pack_documents
 from rideframe.llm.pq_dedup import near_duplicate_vectors
 from rideframe.llm.simple8b import read_token_files, write_token_files
@@ -90,9 +90,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_merge_replay")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    decoded = decode_documents(encoded, path)
-    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    encoded = encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, decode=True)
+    return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 @query("op6_simple8b")
