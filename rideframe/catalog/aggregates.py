@@ -392,8 +392,10 @@ WEATHER_DAILY_SQL = """described AS (
 )
 def tip_by_weather(spark, sf_dir):
     daily = weather_ops.describe_weather(fx.weather(spark, sf_dir), fx.wmo_lookup(spark, sf_dir))
-    trips = weather_ops.join_weather(tip_binned(spark, sf_dir), daily)
-    return rounded(impact.tip_by_weather(trips), "avg_tip_pct")
+    trips = tip_binned(spark, sf_dir).withColumn("pickup_date", F.to_date("pickup_datetime"))
+    cells = impact.tip_cells(trips, ["pickup_date"])
+    cells = weather_ops.attach_weather(cells, weather_ops.one_row_per_date(daily), "pickup_date")
+    return rounded(impact.tip_by_weather(cells, cells=True), "avg_tip_pct")
 
 
 @query(
@@ -412,14 +414,24 @@ def tip_by_hour_bucket(spark, sf_dir):
 KEYS_SQL = ", ".join(impact.IMPACT_KEYS)
 
 
-def exact_avg_sql(column: str, scale: int) -> str:
-    return f"sum(CAST(round({column} * {scale}) AS BIGINT))::DOUBLE / (count(*) * {scale})"
+#: Averages of amounts with few decimals often lie halfway between two results, where the
+#: order of the summed doubles decides; both sides add this before they round.
+NUDGE = 1e-9
+
+
+def nudged(df, *columns):
+    return rounded(df.withColumns({c: F.col(c) + NUDGE for c in columns}), *columns)
+
+
+def nudged_sql(*columns: str) -> str:
+    return ", ".join(f"{r(f'{c} + {NUDGE}', 6)} AS {c}" for c in columns)
 
 
 IMPACT_SQL = f"""impact AS (
-  SELECT {KEYS_SQL}, {exact_avg_sql("tip_amount", 100)} AS avg_tip,
-    {exact_avg_sql("trip_duration_min", 60000)} AS avg_duration, count(*) AS count_trips
-  FROM tip_binned GROUP BY {KEYS_SQL}
+  SELECT {KEYS_SQL}, {nudged_sql("avg_tip", "avg_duration")}, count_trips
+  FROM (SELECT {KEYS_SQL}, avg(tip_amount) AS avg_tip, avg(trip_duration_min) AS avg_duration,
+          count(*) AS count_trips
+        FROM tip_binned GROUP BY {KEYS_SQL})
 )"""
 
 
@@ -428,25 +440,45 @@ IMPACT_SQL = f"""impact AS (
     on_trips("SELECT * FROM impact", TIP_CLEAN_SQL, TIP_BINNED_SQL, IMPACT_SQL),
 )
 def all_combinations_impact(spark, sf_dir):
-    return impact.all_combinations_impact(tip_binned(spark, sf_dir))
+    report = impact.all_combinations_impact(tip_binned(spark, sf_dir))
+    return nudged(report, "avg_tip", "avg_duration")
 
 
-RUSH_SQL = f"""SELECT is_rush_hour, {exact_avg_sql("trip_duration_min", 60000)} AS avg_duration,
-  {r("avg(tip_percentage)", 6)} AS avg_tip_pct, {r("avg(speed_mph)", 6)} AS avg_speed
+RUSH_SQL = f"""SELECT is_rush_hour, avg(trip_duration_min) AS avg_duration,
+  avg(tip_percentage) AS avg_tip_pct, avg(speed_mph) AS avg_speed
   FROM tip_binned GROUP BY is_rush_hour"""
-MONTHLY_SQL = f"""SELECT year, month, {exact_avg_sql("fare_amount", 100)} AS avg_fare,
-  {exact_avg_sql("tip_amount", 100)} AS avg_tip, count(*) AS total_trips
+MONTHLY_SQL = f"""SELECT year, month, avg(fare_amount) AS avg_fare,
+  avg(tip_amount) AS avg_tip, count(*) AS total_trips
   FROM tip_binned GROUP BY year, month"""
 
 
-@query("rush_hour_stats", on_trips(RUSH_SQL, TIP_CLEAN_SQL, TIP_BINNED_SQL))
+RUSH_AVERAGES = ("avg_duration", "avg_tip_pct", "avg_speed")
+MONTHLY_AVERAGES = ("avg_fare", "avg_tip")
+
+
+@query(
+    "rush_hour_stats",
+    on_trips(
+        f"SELECT is_rush_hour, {nudged_sql(*RUSH_AVERAGES)} FROM ({RUSH_SQL})",
+        TIP_CLEAN_SQL,
+        TIP_BINNED_SQL,
+    ),
+)
 def rush_hour_stats(spark, sf_dir):
-    return rounded(impact.rush_hour_stats(tip_binned(spark, sf_dir)), "avg_tip_pct", "avg_speed")
+    report = impact.rush_hour_stats(tip_binned(spark, sf_dir))
+    return nudged(report, *RUSH_AVERAGES)
 
 
-@query("monthly_pattern", on_trips(MONTHLY_SQL, TIP_CLEAN_SQL, TIP_BINNED_SQL))
+@query(
+    "monthly_pattern",
+    on_trips(
+        f"SELECT year, month, {nudged_sql(*MONTHLY_AVERAGES)}, total_trips FROM ({MONTHLY_SQL})",
+        TIP_CLEAN_SQL,
+        TIP_BINNED_SQL,
+    ),
+)
 def monthly_pattern(spark, sf_dir):
-    return impact.monthly_pattern(tip_binned(spark, sf_dir))
+    return nudged(impact.monthly_pattern(tip_binned(spark, sf_dir)), *MONTHLY_AVERAGES)
 
 
 def vs_first_sql() -> str:
@@ -474,7 +506,8 @@ def vs_first_sql() -> str:
     ),
 )
 def impact_vs_first_bin(spark, sf_dir):
-    return impact.impact_vs_first_bin(impact.all_combinations_impact(tip_binned(spark, sf_dir)))
+    report = nudged(impact.all_combinations_impact(tip_binned(spark, sf_dir)), "avg_tip", "avg_duration")
+    return impact.impact_vs_first_bin(report)
 
 
 # --- weather joins ----------------------------------------------------------

@@ -11,6 +11,7 @@ from rideframe.catalog import fixtures as fx
 from rideframe.catalog.aggregates import (
     KEYS_SQL,
     MONTHLY_SQL,
+    NUDGE,
     PAIRS_SQL,
     RUSH_SQL,
     SAME_SQL,
@@ -18,7 +19,7 @@ from rideframe.catalog.aggregates import (
     TIPS_SPLIT_SQL,
     WEATHER_DAILY_SQL,
     class_averages_sql,
-    exact_avg_sql,
+    nudged,
     price_features_sql,
     profile_sql,
     rounded,
@@ -297,26 +298,25 @@ def melt_sql(report: str, keys: list[str], metrics: dict[str, str], source: str)
 
 
 def tip_impact_df_sql() -> str:
-    impact_sql = f"""SELECT {KEYS_SQL}, {exact_avg_sql("tip_amount", 100)} AS avg_tip,
-      {exact_avg_sql("trip_duration_min", 60000)} AS avg_duration, count(*) AS count_trips
-      FROM tip_binned GROUP BY {KEYS_SQL}"""
+    impact_sql = f"""SELECT {KEYS_SQL}, avg(tip_amount) AS avg_tip, avg(trip_duration_min) AS avg_duration,
+      count(*) AS count_trips FROM tip_binned GROUP BY {KEYS_SQL}"""
     parts = [
         melt_sql(
             "allCombinationsImpact",
             KEYS_SQL.split(", "),
-            {c: r(c, 6) for c in ("avg_tip", "avg_duration", "count_trips")},
+            {c: r(f"{c} + {NUDGE}", 6) for c in ("avg_tip", "avg_duration", "count_trips")},
             impact_sql,
         ),
         melt_sql(
             "rushHourAnalysis",
             ["is_rush_hour"],
-            {c: r(c, 6) for c in ("avg_duration", "avg_tip_pct", "avg_speed")},
+            {c: r(f"{c} + {NUDGE}", 6) for c in ("avg_duration", "avg_tip_pct", "avg_speed")},
             RUSH_SQL,
         ),
         melt_sql(
             "monthlyPattern",
             ["year", "month"],
-            {c: r(c, 6) for c in ("avg_fare", "avg_tip", "total_trips")},
+            {c: r(f"{c} + {NUDGE}", 6) for c in ("avg_fare", "avg_tip", "total_trips")},
             MONTHLY_SQL,
         ),
     ]
@@ -330,7 +330,7 @@ def tip_impact_df_sql() -> str:
 @query("tip_impact_df", tip_impact_df_sql())
 def tip_impact_df(spark, sf_dir):
     reports = tip_plan.tip_impact_df(fx.both_services(spark, sf_dir), quantile_method="exact")
-    return rounded(tip_plan.long_report(reports, tip_plan.IMPACT_REPORT_KEYS), "value")
+    return nudged(tip_plan.long_report(reports, tip_plan.IMPACT_REPORT_KEYS), "value")
 
 
 # --- report tables ----------------------------------------------------------

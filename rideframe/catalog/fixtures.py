@@ -5,11 +5,10 @@ Both sides use whole-number arithmetic, so they agree to the last digit.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rideframe.session import new_shared_path
+from rideframe.session import new_shared_path, path_exists
 from rideframe.spec import SERVICES
 
 FIRST_YEAR, LAST_YEAR = 1996, 2001
@@ -74,27 +73,21 @@ def trip_files(spark: SparkSession, sf_dir: str) -> str:
     """Folder with the derived trips as Parquet files, one sub-folder per service.
 
     The analyses read trip files, so these are written once per application, in one pass
-    over the line items, and scanned by every query that needs them.
+    over the line items, and scanned by every query that needs them; anew if they have been
+    removed. The rows are dealt out evenly, as a set of trip files would be.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _trip_files:
+    if key not in _trip_files or not path_exists(spark, _trip_files[key]):
         path = new_shared_path(spark, "trip-files")
-        rows = derive_trips(spark, sf_dir)
-        if rows.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
-            # A small table sits in one file; spread it as a set of trip files would be.
-            rows = rows.repartition(spark.sparkContext.defaultParallelism)
+        rows = derive_trips(spark, sf_dir).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
         rows.write.partitionBy("service_type").parquet(path)
         _trip_files[key] = path
     return _trip_files[key]
 
 
 def read_trip_files(spark: SparkSession, sf_dir: str, folder: str = "") -> DataFrame:
-    """The trip files, or one sub-folder of them; written anew if they have been removed."""
-    try:
-        return spark.read.parquet(trip_files(spark, sf_dir) + folder)
-    except AnalysisException:
-        _trip_files.pop((spark.sparkContext.applicationId, sf_dir))
-        return spark.read.parquet(trip_files(spark, sf_dir) + folder)
+    """The trip files, or one sub-folder of them."""
+    return spark.read.parquet(trip_files(spark, sf_dir) + folder)
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,9 +17,10 @@ def lower_bound(label: Column) -> Column:
 
 def midpoint(label: Column, signed: bool = True) -> Column:
     """Middle of ``[a|b)``; null for other text. Unsigned reads non-negative bounds only."""
-    pattern = r"^\[(-?\d+)\|(-?\d+)\)" if signed else r"^\[(\d+)\|(\d+)\)"
-    low = F.regexp_extract(label, pattern, 1).try_cast("bigint")
-    high = F.regexp_extract(label, pattern, 2).try_cast("bigint")
+    number = r"(-?\d+(?:\.\d+)?)" if signed else r"(\d+(?:\.\d+)?)"
+    pattern = rf"^\[{number}\|{number}\)"
+    low = F.regexp_extract(label, pattern, 1).try_cast("double")
+    high = F.regexp_extract(label, pattern, 2).try_cast("double")
     return (low + high) / 2.0
 
 

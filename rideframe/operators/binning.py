@@ -73,13 +73,15 @@ def merge_value_bins(report: DataFrame, max_values: int = 15, top: int = 100) ->
 
     Such a feature gets ``max_values`` whole-number edges between its lowest lower bound
     and its highest, at most ``top``; the last bin is open (``>=edge``). Edges that
-    coincide on a narrow range count once. Counts are summed. Features with few values, or
-    with values that are not intervals, keep their rows.
+    coincide on a narrow range count once; a value below the first edge, which is cut to a
+    whole number, belongs to the first bin. Counts are summed. Features with few values, or
+    with a value that is not an interval of numbers, keep their rows.
     """
     low = labels.lower_bound(F.col("value"))
+    middle = labels.midpoint(F.col("value"))
     ranges = report.groupBy("feature").agg(
         F.count_distinct("value").alias("n_values"),
-        F.count_if(low.isNull()).alias("n_plain"),
+        F.count_if(middle.isNull()).alias("n_plain"),
         F.min(low).alias("low"),
         F.greatest(F.min(low), F.least(F.max(low), F.lit(float(top)))).alias("high"),
     )
@@ -93,16 +95,11 @@ def merge_value_bins(report: DataFrame, max_values: int = 15, top: int = 100) ->
         )
     )
     tagged = tagged.select("*", edges.alias("edges"))
-    middle = labels.midpoint(F.col("value"))
-    position = F.size(F.filter("edges", lambda edge: edge <= middle))
+    position = F.greatest(F.size(F.filter("edges", lambda edge: edge <= middle)), F.lit(1))
     lower = F.get(F.col("edges"), position - 1)
     upper = F.get(F.col("edges"), position)
-    merged = F.when(position == 0, F.lit(None)).otherwise(
-        F.when(upper.isNull(), F.concat(F.lit(">="), lower.cast("string"))).otherwise(
-            F.concat(
-                F.lit("["), lower.cast("string"), F.lit("|"), upper.cast("string"), F.lit(")")
-            )
-        )
+    merged = F.when(upper.isNull(), F.concat(F.lit(">="), lower.cast("string"))).otherwise(
+        F.concat(F.lit("["), lower.cast("string"), F.lit("|"), upper.cast("string"), F.lit(")"))
     )
     crowded = (F.col("n_values") > max_values) & (F.col("n_plain") == 0)
     value = F.when(crowded, merged).otherwise(F.col("value"))

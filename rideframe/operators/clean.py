@@ -151,14 +151,18 @@ def filter_fee_signs(df: DataFrame, fees: Sequence[str] = FEE_COLUMNS_WITH_TOLLS
 def filter_year_window(
     df: DataFrame,
     first_year: int,
-    last_year: int,
+    last_year: int | None,
     columns: Sequence[str] = ("pickup_datetime", "dropoff_datetime"),
 ) -> DataFrame:
     """Keep rows whose times all lie in the years; compared as times, so that the scan
-    can skip files and row groups by their statistics."""
+    can skip files and row groups by their statistics. Without ``last_year`` the window
+    has no upper end."""
     low = F.lit(datetime(first_year, 1, 1)).cast("timestamp_ntz")
-    high = F.lit(datetime(last_year + 1, 1, 1)).cast("timestamp_ntz")
-    return df.filter(_all_of([(F.col(c) >= low) & (F.col(c) < high) for c in columns]))
+    inside = [F.col(c) >= low for c in columns]
+    if last_year is not None:
+        high = F.lit(datetime(last_year + 1, 1, 1)).cast("timestamp_ntz")
+        inside += [F.col(c) < high for c in columns]
+    return df.filter(_all_of(inside))
 
 
 def filter_positive_duration(df: DataFrame, form: str = "order") -> DataFrame:

@@ -37,14 +37,21 @@ def enrich_trips(df: DataFrame, zero_total: float | None = 0.0, weekend_form: st
 def tip_cells(df: DataFrame, dimensions: Sequence[str]) -> DataFrame:
     """Sum and count of the tip rate per combination of short labels.
 
-    The labels come from fixed lists, so there are some thousand combinations at most and
-    every further report on them is cheap.
+    The labels come from fixed lists, so there are some thousand combinations at most, times
+    the number of days where the date is a dimension, and every further report is cheap.
     """
     return df.groupBy(*dimensions).agg(
         F.sum("tip_percentage").alias("tip_sum"), F.count("tip_percentage").alias("tip_count")
     )
 
 
+def merge_tip_cells(cells: DataFrame, dimensions: Sequence[str]) -> DataFrame:
+    """Cells of fewer dimensions from the output of ``tip_cells``."""
+    return cells.groupBy(*dimensions).agg(
+        F.sum("tip_sum").alias("tip_sum"), F.sum("tip_count").alias("tip_count")
+    )
+
+
 def average_tip(cells: DataFrame, keys: Sequence[Column | str]) -> DataFrame:
     return cells.groupBy(*keys).agg(
         F.try_divide(F.sum("tip_sum"), F.sum("tip_count")).alias("avg_tip_pct")
@@ -84,32 +91,33 @@ def tip_by_hour_bucket(df: DataFrame, cells: bool = False) -> DataFrame:
 # --- reports of the DataFrame form -------------------------------------------------
 #
 # All three are averages over trips. ``impact_cells`` keeps, per combination of the keys
-# of all three, the sums they need, so that one pass over the trips serves them all.
-# Money and durations are summed in whole cents and milliseconds: exact, whatever the
-# order of the rows.
+# of all three, the sums and counts they need, so that one pass over the trips serves
+# them all. Amounts are taken as they are, and nulls are left out of each average.
 
-CENTS = {"tip_amount": "tip_cents", "fare_amount": "fare_cents"}
+AVERAGED = {
+    "tip_amount": "tip",
+    "fare_amount": "fare",
+    "trip_duration_min": "duration",
+    "tip_percentage": "tip_pct",
+    "speed_mph": "speed",
+}
 
 
-def _whole(column: str, scale: float) -> Column:
-    return F.floor(F.col(column) * scale + 0.5)
+def _sums(columns: Sequence[str]) -> list[Column]:
+    return [
+        part
+        for c in columns
+        for part in (F.sum(c).alias(f"{AVERAGED[c]}_sum"), F.count(c).alias(f"{AVERAGED[c]}_count"))
+    ]
 
 
 def impact_cells(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Sums per combination of keys: trips, money, milliseconds, tip rates and speeds."""
-    return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_trips"),
-        *[F.sum(_whole(c, 100.0)).alias(name) for c, name in CENTS.items()],
-        F.sum(_whole("trip_duration_min", 60000.0)).alias("duration_ms"),
-        F.sum("tip_percentage").alias("tip_sum"),
-        F.count("tip_percentage").alias("tip_count"),
-        F.sum("speed_mph").alias("speed_sum"),
-        F.count("speed_mph").alias("speed_count"),
-    )
+    """Sums per combination of keys: trips, money, minutes, tip rates and speeds."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_trips"), *_sums(list(AVERAGED)))
 
 
-def _average(total: str, count: str, scale: int = 1) -> Column:
-    return F.try_divide(F.sum(total), F.sum(count) * scale)
+def _average(name: str) -> Column:
+    return F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_count"))
 
 
 def all_combinations_impact(
@@ -121,8 +129,8 @@ def all_combinations_impact(
     return (
         df.groupBy(*keys)
         .agg(
-            _average("tip_cents", "n_trips", 100).alias("avg_tip"),
-            _average("duration_ms", "n_trips", 60000).alias("avg_duration"),
+            _average("tip").alias("avg_tip"),
+            _average("duration").alias("avg_duration"),
             F.sum("n_trips").alias("count_trips"),
         )
         .orderBy(*keys)
@@ -134,9 +142,9 @@ def rush_hour_stats(df: DataFrame, cells: bool = False) -> DataFrame:
     if not cells:
         df = impact_cells(df, ["is_rush_hour"])
     return df.groupBy("is_rush_hour").agg(
-        _average("duration_ms", "n_trips", 60000).alias("avg_duration"),
-        _average("tip_sum", "tip_count").alias("avg_tip_pct"),
-        _average("speed_sum", "speed_count").alias("avg_speed"),
+        _average("duration").alias("avg_duration"),
+        _average("tip_pct").alias("avg_tip_pct"),
+        _average("speed").alias("avg_speed"),
     )
 
 
@@ -144,14 +152,13 @@ def monthly_pattern(df: DataFrame, cells: bool = False) -> DataFrame:
     """Average fare, average tip and trips per month, in order."""
     if not cells:
         df = df.groupBy("year", "month").agg(
-            F.count(F.lit(1)).alias("n_trips"),
-            *[F.sum(_whole(c, 100.0)).alias(name) for c, name in CENTS.items()],
+            F.count(F.lit(1)).alias("n_trips"), *_sums(["fare_amount", "tip_amount"])
         )
     return (
         df.groupBy("year", "month")
         .agg(
-            _average("fare_cents", "n_trips", 100).alias("avg_fare"),
-            _average("tip_cents", "n_trips", 100).alias("avg_tip"),
+            _average("fare").alias("avg_fare"),
+            _average("tip").alias("avg_tip"),
             F.sum("n_trips").alias("total_trips"),
         )
         .orderBy("year", "month")

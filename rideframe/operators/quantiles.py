@@ -42,13 +42,30 @@ def _target_rank(probability: float, count: int, rank_rule: str) -> int:
     raise ValueError(f"unknown rank rule {rank_rule!r}")
 
 
-def _hit(target: int, column: str, low: float, high: float) -> str:
+def _double(value: float) -> str:
+    return f"cast('{value!r}' as double)"
+
+
+def _share(low: float | None, high: float | None) -> str:
+    """Where a value stands between two finite ends, from 0 to 1.
+
+    A range wider than the largest double is halved before it is measured.
+    """
+    if low is None or low == high:
+        return "0"
+    if math.isinf(high - low):
+        return f"(value / 2 - {_double(low / 2)}) / {_double(high / 2 - low / 2)}"
+    return f"(value - {_double(low)}) / {_double(high - low)}"
+
+
+def _hit(target: int, column: str, low: float, high: float, finite: tuple) -> str:
     """The sub-range of an open quantile that a counted value falls in, else null.
 
-    The two ends of the range get sub-ranges of their own, so each pass narrows it.
+    The two ends of the range, which may be infinite, get sub-ranges of their own, so each
+    pass narrows it; the finite values between are divided evenly.
     """
-    bottom, top = f"cast('{low!r}' as double)", f"cast('{high!r}' as double)"
-    inner = f"least(floor((value - {bottom}) / {(high - low) / SUB_RANGES!r}D), {SUB_RANGES - 1})"
+    bottom, top = _double(low), _double(high)
+    inner = f"greatest(0, least(floor({_share(*finite)} * {SUB_RANGES}), {SUB_RANGES - 1}))"
     part = f"case when value = {bottom} then -1 when value = {top} then {SUB_RANGES} else {inner} end"
     return (
         f"case when feature = '{column}' and value between {bottom} and {top}"
@@ -79,41 +96,45 @@ def exact_quantiles(
     )
     try:
         found: dict[tuple[str, float], float | None] = {}
-        ranges: dict[tuple[str, float], tuple[float, float, int]] = {}
-        summary = counts.groupBy("feature").agg(
-            F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
+        ranges: dict[tuple[str, float], tuple[float, float, tuple, int]] = {}
+        finite = F.when(F.abs("value") < float("inf"), F.col("value"))
+        ends = (
+            F.sum("n").alias("n"),
+            F.min("value").alias("low"),
+            F.max("value").alias("high"),
+            F.min(finite).alias("finite_low"),
+            F.max(finite).alias("finite_high"),
         )
+        summary = counts.groupBy("feature").agg(*ends)
         for row in summary.collect():
             for q in wanted[row.feature]:
                 rank = _target_rank(q, row.n, rank_rule)
                 if row.low == row.high:
                     found[row.feature, q] = row.low
                 else:
-                    ranges[row.feature, q] = (row.low, row.high, rank)
+                    ranges[row.feature, q] = (row.low, row.high, (row.finite_low, row.finite_high), rank)
         while ranges:
             targets = list(ranges)
-            hits = ", ".join(_hit(i, key[0], *ranges[key][:2]) for i, key in enumerate(targets))
+            hits = ", ".join(_hit(i, key[0], *ranges[key][:3]) for i, key in enumerate(targets))
             parts = (
                 counts.selectExpr(f"explode(array({hits})) as hit", "value", "n")
                 .filter("hit is not null")
                 .groupBy("hit.target", "hit.part")
-                .agg(
-                    F.sum("n").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")
-                )
+                .agg(*ends)
             )
             passed = dict.fromkeys(targets, 0)
-            open_ranges: dict[tuple[str, float], tuple[float, float, int]] = {}
+            open_ranges: dict[tuple[str, float], tuple[float, float, tuple, int]] = {}
             # At most 514 rows per quantile.
             for row in sorted(parts.collect(), key=lambda r: (r.target, r.part)):
                 key = targets[row.target]
-                rank = ranges[key][2]
+                rank = ranges[key][3]
                 before = passed[key]
                 passed[key] = before + row.n
                 if before < rank <= passed[key]:
                     if row.low == row.high:
                         found[key] = row.low
                     else:
-                        open_ranges[key] = (row.low, row.high, rank - before)
+                        open_ranges[key] = (row.low, row.high, (row.finite_low, row.finite_high), rank - before)
             ranges = open_ranges
     finally:
         counts.unpersist()

@@ -88,7 +88,7 @@ def _overnight(unit: str, midnight_gap_s: int) -> Column:
     return zones.zone_minutes_of_span(start, end, days, OVERNIGHT, unit, midnight_gap_s)
 
 
-def clean_price_trips(raw: DataFrame, service: str, first_year: int, last_year: int) -> DataFrame:
+def clean_price_trips(raw: DataFrame, service: str, first_year: int, last_year: int | None) -> DataFrame:
     """Complete trips with valid codes, amounts, fees and years, in canonical columns."""
     trips = canonical_trips(normalize_columns(raw), service)
     trips = clean.drop_incomplete(trips)
@@ -139,12 +139,12 @@ def price_anomaly(
     raw: DataFrame,
     service: str,
     first_year: int = MIN_YEAR,
-    last_year: int = MIN_YEAR,
+    last_year: int | None = None,
     class_columns: Sequence[str] = PRICE_CLASS_COLUMNS,
     distinct_fees: bool = False,
     midnight_gap_s: int = 0,
 ) -> DataFrame:
-    """Price deviations with step bins and four decimals.
+    """Price deviations with step bins and four decimals, of all years from ``first_year`` on.
 
     ``distinct_fees`` and ``midnight_gap_s=1`` choose the literal forms of two known
     oddities: equal fees count once, and an overnight zone loses the second before

@@ -12,7 +12,7 @@ from rideframe.functions.dates import duration_minutes
 from rideframe.operators import clean, impact
 from rideframe.operators.binning import with_threshold_bins
 from rideframe.operators.quantiles import trim_outliers
-from rideframe.operators.weather import describe_weather, join_weather
+from rideframe.operators.weather import attach_weather, describe_weather, one_row_per_date
 from rideframe.session import stage
 from rideframe.sources.trips import tip_trips, union_services
 from rideframe.spec import IMPACT_KEYS, QUANTILE_ERROR, TIP_BINS, TIP_REPORT_FEATURES
@@ -49,16 +49,20 @@ def tip_impact_weather(
 
     The cleaned trips are written once, since the quantile bounds and the report both
     need the distinct rows and these cost the one large shuffle of the plan. All three
-    reports share one aggregation of the trips. ``trim_columns`` with ``payment_type`` in
+    reports share one aggregation of the trips, per combination of labels and date; the
+    weather is joined with these sums, never with trips. ``trim_columns`` with ``payment_type`` in
     place of the distance is the literal form of the outlier bounds.
     """
     trips = stage(clean_tip_trips(raw, service), f"tip-trips-{service}")
     trips = trim_outliers(trips, trim_columns, method=quantile_method, relative_error=relative_error)
     trips = with_threshold_bins(impact.enrich_trips(trips))
     daily = describe_weather(weather, lookup)
-    trips = join_weather(trips, daily, dedupe=dedupe_weather)
+    if dedupe_weather:
+        daily = one_row_per_date(daily)
     features = [f"{name}_bin" for name in TIP_REPORT_FEATURES.values()]
-    cells = impact.tip_cells(trips, [*features, "weather", "trip_hour_bucket"])
+    trips = trips.withColumn("pickup_date", F.to_date("pickup_datetime"))
+    cells = impact.tip_cells(trips, [*features, "trip_hour_bucket", "pickup_date"])
+    cells = impact.merge_tip_cells(attach_weather(cells, daily, "pickup_date"), [*features, "weather", "trip_hour_bucket"])
     return {
         "all_features": impact.tip_by_feature_bin(cells, cells=True),
         "avg_tip_by_weather": impact.tip_by_weather(cells, cells=True),
