@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from rideframe.catalog import fixtures as fx
 from rideframe.catalog.filters import TIP_CLEAN_SQL, tip_clean
-from rideframe.catalog.registry import on_trips, on_weather, query, r, step
+from rideframe.catalog.registry import on_trips, on_weather, per_service, query, r, step, union_sql
 from rideframe.catalog.scalars import (
     ALL_BINS_SQL,
     HOLIDAY_SQL,
@@ -14,7 +16,7 @@ from rideframe.catalog.scalars import (
     RATES_SQL,
     WEATHER_CLASS_SQL,
 )
-from rideframe.functions import bins, dates, money
+from rideframe.functions import bins, dates, labels, money
 from rideframe.operators import binning, classes, clean, compare, impact, profile
 from rideframe.operators import quantiles as quantile_ops
 from rideframe.operators import weather as weather_ops
@@ -99,76 +101,92 @@ def price_rows(spark, sf_dir, service="yellow"):
 
 @query(
     "class_averages",
-    on_trips(
-        "SELECT * FROM class_averages",
-        price_features_sql("yellow"),
-        class_averages_sql(", ".join(PRICE_CLASS_COLUMNS)),
+    union_sql(
+        lambda s: on_trips(
+            "SELECT * FROM class_averages",
+            price_features_sql(s),
+            class_averages_sql(", ".join(PRICE_CLASS_COLUMNS)),
+        )
     ),
 )
 def class_averages(spark, sf_dir):
-    return classes.class_averages(price_rows(spark, sf_dir), PRICE_CLASS_COLUMNS)
+    return per_service(
+        lambda s: classes.class_averages(price_rows(spark, sf_dir, s), PRICE_CLASS_COLUMNS)
+    )
 
 
 @query(
-    "class_averages_df",
-    on_trips(
-        f"""SELECT payment_type, distance_bin_label,
-        {r("sum(CAST(round(cost_per_distance * 100) AS BIGINT))::DOUBLE / (count(*) * 100)", 2)} AS avg_cost_per_distance,
-        {r("sum(CAST(round(cost_per_time * 100) AS BIGINT))::DOUBLE / (count(*) * 100)", 2)} AS avg_cost_per_time,
-        count(*) AS n_class FROM price_rows GROUP BY ALL""",
-        price_features_sql("green"),
+    "class_keys",
+    union_sql(
+        lambda s: on_trips(
+            f"""SELECT concat_ws('_', {", ".join(f"CAST({c} AS VARCHAR)" for c in PRICE_CLASS_COLUMNS)}) AS class_key,
+            count(*) AS n_trips FROM price_rows GROUP BY 1""",
+            price_features_sql(s),
+        )
     ),
 )
-def class_averages_df(spark, sf_dir):
-    return classes.class_averages(
-        price_rows(spark, sf_dir, "green"),
-        ["payment_type", "distance_bin_label"],
-        decimals=2,
-        positive_only=False,
-    )
+def class_keys(spark, sf_dir):
+    """The text of each price class and its trips."""
+
+    def build(service):
+        rows = price_rows(spark, sf_dir, service)
+        key = labels.class_key(*[F.col(c) for c in PRICE_CLASS_COLUMNS])
+        return rows.groupBy(key.alias("class_key")).agg(F.count(F.lit(1)).alias("n_trips"))
+
+    return per_service(build)
 
 
 SMALL_CLASS = ["payment_type", "duration_minutes_bin_label", "distance_bin_label"]
 JOINED = [*SMALL_CLASS, "pickup_datetime", "cost_per_distance", "cost_per_time"]
-CLASS_JOIN_SQL = on_trips(
-    f"""SELECT {", ".join(JOINED)}, avg_cost_per_distance, avg_cost_per_time
-    FROM price_rows JOIN class_averages USING ({", ".join(SMALL_CLASS)})""",
-    price_features_sql("yellow"),
-    class_averages_sql(", ".join(SMALL_CLASS)),
-)
 
 
-@query("class_avg_join", CLASS_JOIN_SQL)
+def class_join_sql(join: str) -> str:
+    return union_sql(
+        lambda s: on_trips(
+            f"""SELECT {", ".join(JOINED)}, avg_cost_per_distance, avg_cost_per_time
+            FROM price_rows {join} USING ({", ".join(SMALL_CLASS)})""",
+            price_features_sql(s),
+            class_averages_sql(", ".join(SMALL_CLASS)),
+        )
+    )
+
+
+@query("class_avg_join", class_join_sql("JOIN class_averages"))
 def class_avg_join(spark, sf_dir):
     """Planned as a shuffle join of both sides."""
-    rows = price_rows(spark, sf_dir).select(*JOINED)
-    averages = classes.class_averages(rows, SMALL_CLASS)
-    return classes.attach_class_averages(rows, averages.hint("merge"), SMALL_CLASS, null_safe=False)
 
+    def build(service):
+        rows = price_rows(spark, sf_dir, service).select(*JOINED)
+        averages = classes.class_averages(rows, SMALL_CLASS).hint("merge")
+        return classes.attach_class_averages(rows, averages, SMALL_CLASS, null_safe=False)
+
+    return per_service(build)
 
-@query("class_avg_broadcast_join", CLASS_JOIN_SQL)
+
+@query("class_avg_broadcast_join", class_join_sql("JOIN class_averages"))
 def class_avg_broadcast_join(spark, sf_dir):
     """The averages are broadcast where their size allows it."""
-    rows = price_rows(spark, sf_dir).select(*JOINED)
-    averages = classes.class_averages(rows, SMALL_CLASS)
-    return classes.attach_class_averages(rows, averages, SMALL_CLASS)
+
+    def build(service):
+        rows = price_rows(spark, sf_dir, service).select(*JOINED)
+        return classes.attach_class_averages(rows, classes.class_averages(rows, SMALL_CLASS), SMALL_CLASS)
+
+    return per_service(build)
 
 
 @query(
     "class_avg_left_join",
-    on_trips(
-        f"""SELECT {", ".join(JOINED)}, avg_cost_per_distance, avg_cost_per_time
-        FROM price_rows LEFT JOIN (SELECT * FROM class_averages WHERE payment_type <> 3)
-        USING ({", ".join(SMALL_CLASS)})""",
-        price_features_sql("yellow"),
-        class_averages_sql(", ".join(SMALL_CLASS)),
-    ),
+    class_join_sql("LEFT JOIN (SELECT * FROM class_averages WHERE payment_type <> 3)"),
 )
 def class_avg_left_join(spark, sf_dir):
     """The averages of one payment type are left out, so its trips stay without."""
-    rows = price_rows(spark, sf_dir).select(*JOINED)
-    averages = classes.class_averages(rows, SMALL_CLASS).filter("payment_type <> 3")
-    return classes.attach_class_averages(rows, averages, SMALL_CLASS, how="left")
+
+    def build(service):
+        rows = price_rows(spark, sf_dir, service).select(*JOINED)
+        averages = classes.class_averages(rows, SMALL_CLASS).filter("payment_type <> 3")
+        return classes.attach_class_averages(rows, averages, SMALL_CLASS, how="left")
+
+    return per_service(build)
 
 
 def profile_sql(
@@ -189,19 +207,24 @@ PROFILED = ["passenger_count", "store_and_fwd_flag", "payment_type", "year", "di
 
 @query(
     "feature_profile",
-    on_trips(
-        profile_sql("labelled", PROFILED, "d_label", "t_label"),
-        price_features_sql("yellow"),
-        f"labelled AS (SELECT *, {step('cost_per_distance', 5)} AS d_label, {step('cost_per_time', 5)} AS t_label FROM price_rows)",
+    union_sql(
+        lambda s: on_trips(
+            profile_sql("labelled", PROFILED, "d_label", "t_label"),
+            price_features_sql(s),
+            f"labelled AS (SELECT *, {step('cost_per_distance', 5)} AS d_label, {step('cost_per_time', 5)} AS t_label FROM price_rows)",
+        )
     ),
 )
 def feature_profile(spark, sf_dir):
-    rows = price_rows(spark, sf_dir).select(
-        *PROFILED,
-        bins.bin_step(F.col("cost_per_distance")).alias("d_label"),
-        bins.bin_step(F.col("cost_per_time")).alias("t_label"),
-    )
-    return profile.feature_profile(rows, PROFILED, "d_label", "t_label")
+    def build(service):
+        rows = price_rows(spark, sf_dir, service).select(
+            *PROFILED,
+            bins.bin_step(F.col("cost_per_distance")).alias("d_label"),
+            bins.bin_step(F.col("cost_per_time")).alias("t_label"),
+        )
+        return profile.feature_profile(rows, PROFILED, "d_label", "t_label")
+
+    return per_service(build)
 
 
 @query(
@@ -256,46 +279,45 @@ RANKED_SQL = ", ".join(
 )
 
 
+def approx_rank_sql(column: str, q: float) -> str:
+    """Bounds of the ranks that an approximate quantile may have, and its values at them."""
+    low, high = f"greatest(1, CAST(floor(({q} - 0.01) * n) AS BIGINT))", f"least(n, CAST(ceil(({q} + 0.01) * n) AS BIGINT))"
+    return f"""SELECT '{column}' AS feature, {q}::DOUBLE AS q, max(n) AS n,
+      min(v) FILTER (rn = {low}) AS lowest, max(v) FILTER (rn = {high}) AS highest, true AS within
+    FROM {column}_ranked"""
+
+
 @query(
     "approx_quantiles",
     on_trips(
-        " UNION ALL ".join(
-            f"SELECT '{c}' AS feature, {q}::DOUBLE AS q, (SELECT count({c}) FROM tip_clean) AS n, 1 AS within_error"
-            for c in QUANTILE_COLUMNS
-            for q in QUANTILES
-        ),
+        " UNION ALL ".join(approx_rank_sql(c, q) for c in QUANTILE_COLUMNS for q in QUANTILES),
         TIP_CLEAN_SQL,
+        RANKED_SQL,
     ),
 )
 def approx_quantiles(spark, sf_dir):
-    """Whether the rank of each approximate quantile is off by one percent at most.
+    """The exact values one percent of ranks below and above each approximate quantile.
 
-    The values depend on the engine; the bound on their rank does not.
+    The approximate value itself depends on the engine; it must lie within these.
     """
     trips = tip_clean(spark, sf_dir)
     found = quantile_ops.approx_quantiles(trips, QUANTILE_COLUMNS, QUANTILES)
-    checks = []
-    for name in QUANTILE_COLUMNS:
-        column = F.col(name)
-        for q, value in zip(QUANTILES, found[name]):
-            checks.append(
-                F.struct(
-                    F.lit(name).alias("feature"),
-                    F.lit(q).alias("q"),
-                    F.count(column).alias("n"),
-                    F.count_if(column < value).alias("below"),
-                    F.count_if(column <= value).alias("up_to"),
-                )
-            )
+    n = {c: trips.agg(F.count(c)).first()[0] for c in QUANTILE_COLUMNS}
     error = quantile_ops.QUANTILE_ERROR
-    within = (F.col("below") <= (F.col("q") + error) * F.col("n")) & (
-        F.col("up_to") >= (F.col("q") - error) * F.col("n")
-    )
-    return (
-        trips.agg(F.array(*checks).alias("checks"))
-        .select(F.inline("checks"))
-        .select("feature", "q", "n", within.cast("int").alias("within_error"))
-    )
+
+    def ranks(column, q):
+        return max(1, math.floor((q - error) * n[column])), min(n[column], math.ceil((q + error) * n[column]))
+
+    # A probability that stands for a rank exactly, so the exact quantiles are those values.
+    wanted = {c: [(r - 0.5) / n[c] for q in QUANTILES for r in ranks(c, q)] for c in QUANTILE_COLUMNS}
+    exact = quantile_ops.exact_quantiles(trips, wanted)
+    rows = []
+    for c in QUANTILE_COLUMNS:
+        ends = exact[c]
+        for i, q in enumerate(QUANTILES):
+            low, high = ends[2 * i], ends[2 * i + 1]
+            rows.append((c, q, n[c], low, high, low <= found[c][i] <= high))
+    return spark.createDataFrame(rows, "feature string, q double, n bigint, lowest double, highest double, within boolean")
 
 
 @query(
@@ -609,3 +631,21 @@ def pivot_bin_diff(spark, sf_dir):
     diffs = compare.pairwise_bin_diff(tips_split(spark, sf_dir))
     matrix = compare.pivot_bin_diff(diffs, "tripDistanceBin", "fareAmountBin")
     return matrix.select("binB", *[F.round(f"`{b}`", 6).alias(b) for b in DISTANCE_LABELS])
+
+
+@query(
+    "pivot_bin_diff_dropped",
+    on_trips(
+        f"""SELECT "binB", {r("max(CASE WHEN binA = '1-3' THEN diff END)", 6)} AS "1-3"
+        FROM pairs WHERE "featureA" = 'tripDistanceBin' AND "featureB" = 'fareAmountBin' AND binA = '1-3'
+        GROUP BY "binB" HAVING max(diff) IS NOT NULL""",
+        *TIP_CTES,
+        PAIRS_SQL,
+    ),
+)
+def pivot_bin_diff_dropped(spark, sf_dir):
+    """Columns and rows without any difference are left out."""
+    diffs = compare.pairwise_bin_diff(tips_split(spark, sf_dir))
+    diffs = diffs.withColumn("diff", F.when(F.col("binA") == "1-3", F.col("diff")))
+    matrix = compare.pivot_bin_diff(diffs, "tripDistanceBin", "fareAmountBin", drop_empty=True)
+    return matrix.select("binB", *[F.round(f"`{b}`", 6).alias(b) for b in matrix.columns if b != "binB"])

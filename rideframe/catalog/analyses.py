@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +23,7 @@ from rideframe.catalog.aggregates import (
     rounded,
     tip_by_feature_sql,
 )
-from rideframe.catalog.registry import on_trips, on_weather, query, r, r_even, step
+from rideframe.catalog.registry import on_trips, on_weather, per_service, query, r, r_even, step, union_sql
 from rideframe.catalog.scalars import HOLIDAY_SQL, WEATHER_CLASS_SQL, quantile_splits_sql
 from rideframe.operators import binning, profile
 from rideframe.plans import price_anomaly as price_plan
@@ -33,22 +31,7 @@ from rideframe.plans import reports as report_plan
 from rideframe.plans import tip_impact as tip_plan
 from rideframe.session import new_shared_path
 from rideframe.sources.reports import read_report, write_report
-from rideframe.spec import PRICE_CLASS_COLUMNS, PRICE_CLASS_COLUMNS_DF, SERVICES
-
-
-def per_service(build) -> DataFrame:
-    """The reports of both services, told apart by a column."""
-    parts = [
-        build(service).select(F.lit(service).alias("service_type"), "*") for service in SERVICES
-    ]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def union_sql(build) -> str:
-    """One statement per service; each holds its own common tables in a sub-query."""
-    return " UNION ALL ".join(
-        f"SELECT '{service}' AS service_type, * FROM ({build(service)})" for service in SERVICES
-    )
+from rideframe.spec import PRICE_CLASS_COLUMNS, PRICE_CLASS_COLUMNS_DF
 
 
 # --- price anomaly ----------------------------------------------------------
@@ -104,7 +87,8 @@ def price_anomaly_literal(spark, sf_dir):
     )
 
 
-def price_anomaly_df_sql(service: str, literal: bool = False) -> str:
+def price_df_ctes(service: str, literal: bool = False) -> tuple[str, ...]:
+    """Common tables of the DataFrame form up to ``labelled_df``."""
     fees = [
         "extra",
         "mta_tax",
@@ -142,8 +126,7 @@ def price_anomaly_df_sql(service: str, literal: bool = False) -> str:
         return r(f"100 * ({price} - avg_{price}) / nullif(avg_{price}, 0)", 2)
 
     in_bin = "{c} >= {b}.low AND ({c} < {b}.high OR ({b}.is_last AND {c} = {b}.high))"
-    return on_trips(
-        profile_sql("labelled_df", list(PRICE_CLASS_COLUMNS_DF), "d_label", "t_label", 2),
+    return (
         f"""timed AS (
   SELECT *, {r("epoch(dropoff_datetime - pickup_datetime) / 60.0::DOUBLE", 2)} AS duration_minutes,
     {surcharge} AS weekday_surcharge, date_trunc('day', pickup_datetime)::TIMESTAMP AS day0,
@@ -182,6 +165,11 @@ def price_anomaly_df_sql(service: str, literal: bool = False) -> str:
     )
 
 
+def price_anomaly_df_sql(service: str, literal: bool = False) -> str:
+    profile = profile_sql("labelled_df", list(PRICE_CLASS_COLUMNS_DF), "d_label", "t_label", 2)
+    return on_trips(profile, *price_df_ctes(service, literal))
+
+
 @query("price_anomaly_df", union_sql(price_anomaly_df_sql))
 def price_anomaly_df(spark, sf_dir):
     raw = fx.both_services(spark, sf_dir)
@@ -205,6 +193,22 @@ def price_anomaly_df_literal(spark, sf_dir):
     )
 
 
+@query(
+    "class_averages_df",
+    union_sql(
+        lambda s: on_trips(
+            "SELECT *, (SELECT count(*) FROM binned_df b WHERE "
+            + " AND ".join(f"b.{c} IS NOT DISTINCT FROM a.{c}" for c in PRICE_CLASS_COLUMNS_DF)
+            + ") AS n_class FROM averages_df a",
+            *price_df_ctes(s),
+        )
+    ),
+)
+def class_averages_df(spark, sf_dir):
+    raw = fx.both_services(spark, sf_dir)
+    return per_service(lambda service: price_plan.class_averages_df(raw[service], service, quantile_method="exact"))
+
+
 # --- tip impact -------------------------------------------------------------
 
 
@@ -335,29 +339,31 @@ def tip_impact_df(spark, sf_dir):
 
 # --- report tables ----------------------------------------------------------
 
-LOW_SQL = r"TRY_CAST(nullif(regexp_extract({c}, '\[(-?[0-9]+)\|', 1), '') AS DOUBLE)"
-HIGH_SQL = r"TRY_CAST(nullif(regexp_extract({c}, '\|(-?[0-9]+)\)', 1), '') AS DOUBLE)"
+NUMBER_SQL = r"(-?[0-9]+(?:\.[0-9]+)?)"
+LOW_SQL = rf"TRY_CAST(nullif(regexp_extract({{c}}, '\[{NUMBER_SQL}\|', 1), '') AS DOUBLE)"
+HIGH_SQL = rf"TRY_CAST(nullif(regexp_extract({{c}}, '\|{NUMBER_SQL}\)', 1), '') AS DOUBLE)"
 
 
-def rebin_sql(profile_query: str) -> str:
+def rebin_sql(profile_query: str, most: int = 15) -> str:
     """Common table ``rebinned`` over a profile of one service."""
     low, high = LOW_SQL.format(c="value"), HIGH_SQL.format(c="value")
     return f"""profile AS ({profile_query}),
 parsed AS (SELECT *, {low} AS low, {high} AS high FROM profile),
 ranges AS (
-  SELECT feature, count(DISTINCT value) AS n_values, count(*) FILTER (low IS NULL) AS n_plain,
+  SELECT feature, count(DISTINCT value) AS n_values, count(*) FILTER (low IS NULL OR high IS NULL) AS n_plain,
     min(low) AS range_low, greatest(min(low), least(max(low), 100)) AS range_high
   FROM parsed GROUP BY feature
 ), edges AS (
-  SELECT feature, edge, lead(edge) OVER (PARTITION BY feature ORDER BY edge) AS next_edge FROM (
-    SELECT DISTINCT feature, CAST(trunc(CASE WHEN k = 14 THEN range_high
-      ELSE range_low + (range_high - range_low) / 14 * k END) AS BIGINT) AS edge
-    FROM ranges, range(15) AS steps(k) WHERE n_values > 15 AND n_plain = 0)
+  SELECT feature, edge, lead(edge) OVER (PARTITION BY feature ORDER BY edge) AS next_edge,
+    row_number() OVER (PARTITION BY feature ORDER BY edge) AS place FROM (
+    SELECT DISTINCT feature, CAST(trunc(CASE WHEN k = {most - 1} THEN range_high
+      ELSE range_low + (range_high - range_low) / {most - 1} * k END) AS BIGINT) AS edge
+    FROM ranges, range({most}) AS steps(k) WHERE n_values > {most} AND n_plain = 0)
 ), merged AS (
   SELECT p.feature, CASE WHEN e.edge IS NULL THEN p.value WHEN e.next_edge IS NULL THEN '>=' || e.edge
       ELSE '[' || e.edge || '|' || e.next_edge || ')' END AS value,
     p.cost_distance_label, p.cost_time_label, CAST(sum(p.count) AS BIGINT) AS count
-  FROM parsed p LEFT JOIN edges e ON e.feature = p.feature AND (p.low + p.high) / 2 >= e.edge
+  FROM parsed p LEFT JOIN edges e ON e.feature = p.feature AND ((p.low + p.high) / 2 >= e.edge OR e.place = 1)
     AND ((p.low + p.high) / 2 < e.next_edge OR e.next_edge IS NULL)
   GROUP BY ALL
 ), rebinned AS (
@@ -375,13 +381,32 @@ def one_profile(spark, sf_dir, service="yellow"):
     return read_report(spark, path)
 
 
+REBIN_COLUMNS = "feature, value, cost_distance_label, cost_time_label, count, pcg"
+
+
 @query(
     "rebin_equal_width",
-    f"""WITH {rebin_sql(price_anomaly_sql("yellow"))}
-    SELECT feature, value, cost_distance_label, cost_time_label, count, pcg FROM rebinned""",
+    union_sql(lambda s: f"WITH {rebin_sql(price_anomaly_sql(s))} SELECT {REBIN_COLUMNS} FROM rebinned"),
 )
 def rebin_equal_width(spark, sf_dir):
-    return binning.rebin_equal_width(one_profile(spark, sf_dir))
+    return per_service(lambda s: binning.rebin_equal_width(one_profile(spark, sf_dir, s)))
+
+
+@query(
+    "rebin_equal_width_df",
+    union_sql(lambda s: f"WITH {rebin_sql(price_anomaly_df_sql(s), 6)} SELECT {REBIN_COLUMNS} FROM rebinned"),
+)
+def rebin_equal_width_df(spark, sf_dir):
+    """The fee bins of the DataFrame form have decimal bounds, and more of them than are kept."""
+    raw = fx.both_services(spark, sf_dir)
+
+    def build(service):
+        report = price_plan.price_anomaly_df(raw[service], service, quantile_method="exact")
+        path = new_shared_path(spark, f"price-anomaly-df-{service}")
+        write_report(report, path)
+        return binning.rebin_equal_width(read_report(spark, path), max_values=6)
+
+    return per_service(build)
 
 
 SORT_KEY_SQL = (
@@ -403,10 +428,13 @@ def share_sql(source: str, metric: str) -> str:
 
 @query(
     "share_within_value",
-    f"""WITH profile AS ({price_anomaly_sql("green")}) {share_sql("profile", "distance")}""",
+    union_sql(
+        lambda s: f"""WITH profile AS ({price_anomaly_sql(s)})
+        {share_sql("profile", "distance")} UNION ALL {share_sql("profile", "time")}"""
+    ),
 )
 def share_within_value(spark, sf_dir):
-    return profile.share_within_value(one_profile(spark, sf_dir, "green"), ["distance"])
+    return per_service(lambda s: profile.share_within_value(one_profile(spark, sf_dir, s), ["distance", "time"]))
 
 
 def price_anomaly_report_sql(service: str) -> str:

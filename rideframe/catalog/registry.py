@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rideframe.catalog.fixtures import TRIPS_SQL, WEATHER_SQL
+from rideframe.spec import SERVICES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +39,21 @@ def on_weather(select: str, *ctes: str) -> str:
     return on_trips(select, WEATHER_SQL, *ctes)
 
 
+def per_service(build: Callable[[str], DataFrame]) -> DataFrame:
+    """The result of each service, told apart by a column."""
+    parts = [
+        build(service).select(F.lit(service).alias("service_type"), "*") for service in SERVICES
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def union_sql(build: Callable[[str], str]) -> str:
+    """One statement per service; each holds its own common tables in a sub-query."""
+    return " UNION ALL ".join(
+        f"SELECT '{service}' AS service_type, * FROM ({build(service)})" for service in SERVICES
+    )
+
+
 def r(expression: str, decimals: int) -> str:
     """Round half up on the decimal text of a double."""
     return f"CAST(round(CAST(CAST({expression} AS VARCHAR) AS DECIMAL(38,20)), {decimals}) AS DOUBLE)"

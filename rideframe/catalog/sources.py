@@ -8,6 +8,7 @@ from rideframe.catalog import fixtures as fx
 from rideframe.catalog.registry import on_trips, on_weather, query
 from rideframe.session import new_shared_path
 from rideframe.sources import reports, trips as trip_sources, weather as weather_sources
+from rideframe.spec import SERVICES
 
 RAW_COLUMNS = """
   vendor_id AS VendorID, pickup_datetime AS {p}_pickup_datetime, dropoff_datetime AS {p}_dropoff_datetime,
@@ -45,6 +46,26 @@ def scan_trips_typed(spark, sf_dir):
     return trip_sources.scan_trips_typed(spark, path, "green")
 
 
+@query(
+    "scan_trips_recursive",
+    on_trips(
+        """SELECT service_type, vendor_id, pickup_datetime, dropoff_datetime, fare_amount, tip_amount,
+        payment_type, trip_distance, total_amount FROM trips"""
+    ),
+)
+def scan_trips_recursive(spark, sf_dir):
+    """Both services with the schema found in files that lie in sub-folders of different depth."""
+
+    def scan(service):
+        path = new_shared_path(spark, f"{service}-tree")
+        raw = fx.raw_trips(spark, sf_dir, service)
+        raw.filter("payment_type <= 3").write.parquet(f"{path}/first")
+        raw.filter("payment_type > 3").write.parquet(f"{path}/second/deeper")
+        return trip_sources.tip_trips(trip_sources.scan_trips(spark, path, recursive=True), service)
+
+    return trip_sources.union_services(*[scan(service) for service in SERVICES])
+
+
 @query("weather_daily", on_weather("SELECT wmo_code, date FROM weather"))
 def weather_daily(spark, sf_dir):
     """Cells are padded with blanks in the file."""

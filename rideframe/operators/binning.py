@@ -26,11 +26,18 @@ def quantile_splits(
     scales: Mapping[str, int],
     method: str = "approx",
     relative_error: float = QUANTILE_ERROR,
+    weight: str | None = None,
 ) -> dict[str, list[float]]:
-    """Distinct ascending splits at equally spaced quantiles, for all columns in one job."""
+    """Distinct ascending splits at equally spaced quantiles, for all columns in one job.
+
+    Rows that stand for several, by ``weight``, have exact splits whatever the method: they
+    are counted already, which is what exact quantiles cost.
+    """
     steps = {c: [i / n for i in range(n + 1)] for c, n in scales.items()}
-    if method == "exact":
-        found = exact_quantiles(df, steps)
+    if method not in ("approx", "exact"):
+        raise ValueError(f"unknown quantile method {method!r}")
+    if method == "exact" or weight:
+        found = exact_quantiles(df, steps, weight=weight)
     else:
         union = sorted({q for points in steps.values() for q in points})
         rows = approx_quantiles(df, list(scales), union, relative_error)

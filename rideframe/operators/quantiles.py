@@ -77,9 +77,12 @@ def exact_quantiles(
     df: DataFrame,
     wanted: Mapping[str, Sequence[float]],
     rank_rule: str = "disc",
+    weight: str | None = None,
 ) -> dict[str, list[float]]:
     """Exact quantiles of several columns, found by rank; null and NaN are left out.
 
+    ``weight`` names a column that says for how many rows a row stands.
+
     One pass counts the distinct values of all columns, with partial counts before the
     shuffle, so a value that holds most rows costs no more than a rare one. Further passes
     read only those counts. Each narrows every open quantile to one of 512 sub-ranges by
@@ -87,11 +90,11 @@ def exact_quantiles(
     """
     columns = list(wanted)
     counts = (
-        df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-        .unpivot([], columns, "feature", "value")
+        df.select((F.col(weight) if weight else F.lit(1)).alias("n"), *[F.col(c).cast("double").alias(c) for c in columns])
+        .unpivot(["n"], columns, "feature", "value")
         .filter(F.col("value").isNotNull() & ~F.isnan("value"))
         .groupBy("feature", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     try:

@@ -16,6 +16,7 @@ from rideframe.functions import bins, dates, money, zones
 from rideframe.operators import classes, clean
 from rideframe.operators.binning import quantile_splits
 from rideframe.operators.profile import feature_profile
+from rideframe.session import stage
 from rideframe.sources.reports import conform
 from rideframe.sources.trips import canonical_trips, normalize_columns
 from rideframe.spec import (
@@ -204,6 +205,61 @@ def with_price_features_df(
     )
 
 
+FEE, OVERNIGHT_SHARE = "aggregate_fee", "duration_minutes_overnight_pcg"
+
+
+def _cell_names_df(columns: Sequence[str]) -> list[str]:
+    return _starts([f"{FEE}_bin" if c == f"{FEE}_bin_label" else c for c in columns], STEP_LABELS_DF)
+
+
+def _binned_cells_df(
+    raw: DataFrame,
+    service: str,
+    quantile_method: str,
+    relative_error: float,
+    zone_unit: str,
+    midnight_gap_s: int,
+) -> tuple[DataFrame, list[float]]:
+    """Trips counted per class and prices, and the splits of the fee bins.
+
+    The trips are scanned and shuffled once: counted per fee, overnight share, other class
+    columns and prices, which all have two decimals at most, and written. Quantiles come
+    from these counts, and bins take the place of the two values afterwards.
+    """
+    trips = with_price_features_df(clean_price_trips_df(raw, service), zone_unit, midnight_gap_s)
+    names = _cell_names_df(PRICE_CLASS_COLUMNS_DF)
+    values = {f"{FEE}_bin": FEE, f"{OVERNIGHT_SHARE}_bin": OVERNIGHT_SHARE}
+    cells = stage(classes.price_cells(trips, [values.get(c, c) for c in names]), f"price-cells-{service}")
+    scales = {FEE: FEE_QUANTILE_BINS, OVERNIGHT_SHARE: OVERNIGHT_QUANTILE_BINS}
+    splits = quantile_splits(cells, scales, quantile_method, relative_error, weight="n_trips")
+    binned = cells.withColumns(
+        {c: bins.bucket_index(F.col(value), splits[value] or [0.0]) for c, value in values.items()}
+    )
+    merged = binned.groupBy(*names, *classes.PRICES).agg(F.sum("n_trips").alias("n_trips"))
+    return merged, splits[FEE] or [0.0]
+
+
+def _with_labels_df(cells: DataFrame, fee_splits: Sequence[float]) -> DataFrame:
+    cells = _label_starts(cells, STEP_LABELS_DF)
+    return cells.withColumn(f"{FEE}_bin_label", bins.bucket_label(F.col(f"{FEE}_bin"), fee_splits))
+
+
+def class_averages_df(
+    raw: DataFrame,
+    service: str,
+    class_columns: Sequence[str] = PRICE_CLASS_COLUMNS_DF,
+    quantile_method: str = "approx",
+    relative_error: float = QUANTILE_ERROR,
+) -> DataFrame:
+    """Average prices of each class of the DataFrame form, with the labels of its bins."""
+    cells, fee_splits = _binned_cells_df(raw, service, quantile_method, relative_error, "minute", 0)
+    averages = classes.class_averages(
+        cells, _cell_names_df(class_columns), decimals=2, positive_only=False, weight="n_trips"
+    )
+    labelled = _with_labels_df(averages, fee_splits)
+    return labelled.select(*class_columns, *[f"avg_{p}" for p in classes.PRICES], "n_class")
+
+
 def price_anomaly_df(
     raw: DataFrame,
     service: str,
@@ -215,40 +271,20 @@ def price_anomaly_df(
 ) -> DataFrame:
     """Price deviations with quantile bins for fees and overnight share, two decimals.
 
-    The quantiles of both columns come from one job. ``zone_unit="minute_trunc"`` with
-    ``midnight_gap_s=1`` is the literal form of the overnight minutes.
+    ``zone_unit="minute_trunc"`` with ``midnight_gap_s=1`` is the literal form of the
+    overnight minutes.
     """
-    trips = with_price_features_df(clean_price_trips_df(raw, service), zone_unit, midnight_gap_s)
-    fee, overnight = "aggregate_fee", "duration_minutes_overnight_pcg"
-    splits = quantile_splits(
-        trips,
-        {fee: FEE_QUANTILE_BINS, overnight: OVERNIGHT_QUANTILE_BINS},
-        quantile_method,
-        relative_error,
-    )
-    for name in (fee, overnight):
-        if not splits[name]:
-            splits[name] = [0.0]
-    trips = trips.select(
-        "*",
-        bins.bucket_index(F.col(fee), splits[fee]).alias(f"{fee}_bin"),
-        bins.bucket_index(F.col(overnight), splits[overnight]).alias(f"{overnight}_bin"),
+    cells, fee_splits = _binned_cells_df(
+        raw, service, quantile_method, relative_error, zone_unit, midnight_gap_s
     )
-
-    def cell_names(columns: Sequence[str]) -> list[str]:
-        return _starts([f"{fee}_bin" if c == f"{fee}_bin_label" else c for c in columns], STEP_LABELS_DF)
-
-    cells = classes.price_cells(trips, cell_names(PRICE_CLASS_COLUMNS_DF))
-    keys = cell_names(class_columns)
+    keys = _cell_names_df(class_columns)
     averages = classes.class_averages(
         cells, keys, decimals=2, positive_only=False, weight="n_trips"
     )
     cells = classes.attach_class_averages(cells, averages, keys, how="left")
     cells = _with_deviation_labels(classes.with_price_deviation(cells, "direct"))
-    cells = _label_starts(cells, STEP_LABELS_DF)
-    cells = cells.withColumn(f"{fee}_bin_label", bins.bucket_label(F.col(f"{fee}_bin"), splits[fee]))
     report = feature_profile(
-        cells,
+        _with_labels_df(cells, fee_splits),
         PRICE_CLASS_COLUMNS_DF,
         "cost_per_distance_diff_pcg_label",
         "cost_per_time_diff_pcg_label",
