@@ -6,8 +6,11 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from rideframe.catalog import fixtures as fx
 from rideframe.functions import labels
 from rideframe.operators import binning, clean, impact, quantiles, weather
+from rideframe.plans import price_anomaly as price_plan
+from rideframe.plans import tip_impact as tip_plan
 from rideframe.session import drop_stages, path_exists, shared_folder, shuffle_partitions_for, stage
 from rideframe.sources.weather import read_weather, read_wmo_lookup
 
@@ -128,6 +131,37 @@ def test_weather_of_dates_counts_as_weather_of_trips(spark, tmp_path):
     assert got == {tuple(r) for r in impact.tip_by_weather(whole).collect()}
 
 
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_default_quantiles_trim_nearly_the_same_trips(spark):
+    """Each of the four approximate bounds may be off by one percent of the trips."""
+    raw = fx.both_services(spark, SF_DIR)
+    kept = {}
+    for method in ("approx", "exact"):
+        reports = tip_plan.tip_impact_df(raw, quantile_method=method)
+        kept[method] = reports["monthlyPattern"].agg(F.sum("total_trips")).first()[0]
+    everything = tip_plan.clean_tip_trips_df(raw).count()
+    assert abs(kept["approx"] - kept["exact"]) <= 0.04 * everything + 4
+    assert 0.9 * everything <= kept["approx"] <= everything
+
+
+def test_default_quantiles_of_the_weather_form(spark):
+    raw = fx.raw_trips(spark, SF_DIR, "yellow")
+    tips = {}
+    for method in ("approx", "exact"):
+        reports = tip_plan.tip_impact_weather(raw, "yellow", fx.weather(spark, SF_DIR), fx.wmo_lookup(spark, SF_DIR), quantile_method=method)
+        tips[method] = {r[0]: r[1] for r in reports["avg_tip_by_hour_bucket"].collect()}
+    assert tips["approx"].keys() == tips["exact"].keys()
+    assert all(abs(v - tips["exact"][k]) < 1.5 for k, v in tips["approx"].items())
+
+
+def test_counted_prices_have_exact_splits_by_default(spark):
+    raw = fx.raw_trips(spark, SF_DIR, "green")
+    rows = [sorted(map(tuple, price_plan.price_anomaly_df(raw, "green", quantile_method=m).collect()), key=str) for m in ("approx", "exact")]
+    assert rows[0] == rows[1] and rows[0]
+
+
 def test_staged_tables_can_be_dropped(spark):
     assert stage(spark.range(3), "numbers").count() == 3
     folder = f"{shared_folder(spark)}/rideframe/{spark.sparkContext.applicationId}"
