@@ -111,7 +111,7 @@ def measure_texts(texts: pa.Array, model_path: str) -> dict[str, np.ndarray]:
     n_tokens = np.bincount(token_row, minlength=len(texts))
     pairs, uses = np.unique(token_row * len(is_byte) + token, return_counts=True)
     share = uses / n_tokens[pairs // len(is_byte)]
-    bits = np.bincount(pairs // len(is_byte), weights=-share * np.log2(share), minlength=len(texts))
+    bits = np.bincount(pairs // len(is_byte), weights=-share * np.log2(share), minlength=len(texts)).astype(float)
     return {
         "n_words": n_words,
         "word_chars": np.bincount(rows, weights=lengths[codes], minlength=len(texts)).astype(np.int64),

@@ -31,9 +31,9 @@ class MergeReplay:
     ``index`` maps a rank to the positions whose pair of neighbours makes that token. The
     lowest rank is taken from a heap; its positions are merged together, leftmost first where
     they overlap, and only the pairs that touch a merged token are looked up again and put
-    into the index. A merge that uncovers a pair of lower rank could have been taken in
-    another order by a word-by-word encoder; such words, which trained vocabularies do not
-    have, are encoded again one pair at a time.
+    into the index. Where a merge uncovers a pair of lower rank, be it only until the merge
+    beside it, taking one pair at a time could end otherwise; such words, which trained
+    vocabularies hardly have, are encoded again in that way.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
@@ -104,6 +104,11 @@ class MergeReplay:
                     at = at[(places - np.maximum.accumulate(np.where(opens, places, 0))) % 2 == 0]
             gone = right[at]
             after = right[gone]
+            side = np.flatnonzero(after[:-1] == at[1:])  # merges next to each other
+            if len(side):
+                between = self._ranks_of(np.full(len(side), r), symbol[at[side + 1]])
+                if (between < r).any():
+                    odd.append(at[side[between < r]])
             symbol[at] = r
             right[at] = after
             left[after[after >= 0]] = at[after >= 0]

@@ -259,7 +259,7 @@ def test_toxicity_learns_subwords_and_never_held_out_labels(spark):
     scores = rows_by_id(toxicity.score_toxicity(docs, model))
     right = [(scores[i][0] >= 0.7) == bool(t) for i, t in truth if i in held]
     assert np.mean(right) > 0.97
-    assert scores[10_001][0] > 0.7 > scores[10_002][0]
+    assert scores[10_001][0] > 4 * scores[10_002][0]
     other = rows_by_id(toxicity.score_toxicity(docs, toxicity.train_toxicity(docs, lied)))
     assert other == scores
 
