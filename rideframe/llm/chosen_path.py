@@ -17,8 +17,8 @@ from rideframe.session import stage
 
 WORDS = 5
 COORDINATES = 64
-BUCKET = 256
-DEPTH = 6
+BUCKET = 512
+DEPTH = 4
 #: A pair is looked at exactly if at least this share of the sampled tokens agrees: at a
 #: similarity of 0.8 the share lies four standard deviations higher.
 SKETCH_SHARE = 0.6
@@ -137,59 +137,63 @@ def _tiles(members: DataFrame) -> DataFrame:
     return placed.withColumn("tile", tile).withColumn("cross", low != high).drop("blocks", "other", "size")
 
 
-def _own_pairs(left: np.ndarray, right: np.ndarray, path: int, paths: list[np.ndarray], cross: bool, block: np.ndarray) -> np.ndarray:
-    """Which pairs this tile answers for: those whose smallest common bucket it is, once."""
-    keep = np.ones(len(left), bool)
-    if cross:
-        keep = block[left] != block[right]
-    for i in np.flatnonzero(keep).tolist():
-        common = np.intersect1d(paths[left[i]], paths[right[i]], assume_unique=True)
-        keep[i] = len(common) > 0 and common[0] == path
-    return keep
+def _common(row: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
+    """How many values each pair of ``n`` rows has in common, from distinct (row, value) pairs.
 
+    Only values that two rows hold count; they are taken some thousand at a time.
+    """
+    common = np.zeros((n, n), np.float32)
+    _, number, counts = np.unique(value, return_inverse=True, return_counts=True)
+    row, number = row[counts[number] > 1], number[counts[number] > 1]
+    if not len(row):
+        return common
+    number = np.unique(number, return_inverse=True)[1]
+    order = np.argsort(number, kind="stable")
+    row, number = row[order], number[order]
+    for first in range(0, int(number[-1]) + 1, 4096):
+        a, b = np.searchsorted(number, [first, first + 4096])
+        held = np.zeros((n, min(4096, int(number[-1]) + 1 - first)), np.float32)
+        held[row[a:b], number[a:b] - first] = 1
+        common += held @ held.T
+    return common
+
+
+def _answered(tile: pa.Table) -> np.ndarray:
+    """Which pairs of rows, first below second, a tile answers for.
 
-def _bucket(tile: pa.Table) -> tuple[np.ndarray, int, list[np.ndarray], bool, np.ndarray]:
-    paths = [p.values.to_numpy() for p in tile.column("paths")]
-    return tile.column("node").to_numpy(), tile.column("path")[0].as_py(), paths, tile.column("cross")[0].as_py(), tile.column("block").to_numpy()
+    Those whose smallest common bucket it is; across two blocks, those of one row of each.
+    """
+    path = tile.column("path")[0].as_py()
+    paths = tile.column("paths").combine_chunks()
+    row = np.repeat(np.arange(len(paths)), pc.list_value_length(paths).to_numpy())
+    value = paths.flatten().to_numpy()
+    earlier = value < path
+    answered = np.triu(_common(row[earlier], value[earlier], len(paths)) == 0, 1)
+    if tile.column("cross")[0].as_py():
+        block = tile.column("block").to_numpy()
+        answered &= block[:, None] != block[None, :]
+    return answered
 
 
 def sketch_pairs(tile: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows of a tile whose sketches agree often enough, and that it answers for."""
-    _, path, paths, cross, block = _bucket(tile)
     sketch = tile.column("sketch").combine_chunks().flatten().to_numpy().reshape(-1, COORDINATES)
     same = np.zeros((len(sketch), len(sketch)), np.int16)
     for k in range(COORDINATES):
         same += sketch[:, k, None] == sketch[None, :, k]
-    left, right = np.nonzero(np.triu(same >= SKETCH_SHARE * COORDINATES, 1))
-    keep = _own_pairs(left, right, path, paths, cross, block)
-    return left[keep], right[keep]
+    near = same >= SKETCH_SHARE * COORDINATES
+    if np.count_nonzero(near) == len(near):  # each with itself alone
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.nonzero(near & _answered(tile))
 
 
 def similar_pairs(tile: pa.Table, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows with a Jaccard similarity of at least ``similarity`` that a tile answers for.
-
-    Counts common tokens over the tokens that at least two sets hold, some thousand at a time.
-    """
-    _, path, paths, cross, block = _bucket(tile)
-    sets = [s.values.to_numpy() for s in tile.column("tokens")]
-    lengths = np.array([len(s) for s in sets])
-    row = np.repeat(np.arange(len(sets)), lengths)
-    _, token, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = counts[token] > 1
-    row, token = row[shared], token[shared]
-    token = np.unique(token, return_inverse=True)[1] if len(token) else token
-    common = np.zeros((len(sets), len(sets)), np.float32)
-    order = np.argsort(token, kind="stable")
-    row, token = row[order], token[order]
-    for first in range(0, int(token[-1]) + 1 if len(token) else 0, 4096):
-        a, b = np.searchsorted(token, [first, first + 4096])
-        held = np.zeros((len(sets), 4096), np.float32)
-        held[row[a:b], token[a:b] - first] = 1
-        common += held @ held.T
+    """Pairs of rows with a Jaccard similarity of at least ``similarity`` that a tile answers for."""
+    sets = tile.column("tokens").combine_chunks()
+    lengths = pc.list_value_length(sets).to_numpy()
+    common = _common(np.repeat(np.arange(len(sets)), lengths), sets.flatten().to_numpy(), len(sets))
     union = lengths[:, None] + lengths[None, :] - common
-    left, right = np.nonzero(np.triu(common >= similarity * union - 1e-6, 1))
-    keep = _own_pairs(left, right, path, paths, cross, block)
-    return left[keep], right[keep]
+    return np.nonzero((common >= similarity * union - 1e-6) & _answered(tile))
 
 
 def similar_documents(docs: DataFrame, similarity: float = 0.8, recall: float = 0.99) -> DataFrame:
@@ -201,7 +205,7 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, recall: float =
 
     Documents with the same words become one set. Each of several trees sends a set, at every
     node, to the child of the token that comes first in an order sampled for the node; buckets
-    of up to 256 sets are compared, larger ones are split further, down to level 6, where what
+    of up to 512 sets are compared, larger ones are split further, down to level 4, where what
     is left is compared in tiles of blocks. ``recall`` is the chance to find a pair of just
     ``similarity`` that has to go down all levels; the number of trees follows from it. A pair
     that meets in several buckets counts in the smallest of them. Sketches of 64 tokens choose
@@ -249,7 +253,8 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, recall: float =
             sets = [np.unique(signed[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], ["node", "tokens"])
 
-    wanted = needed.select(F.col("node").alias("doc_id")).distinct()
+    # Joined by shuffle at every size: each text moves once, by document.
+    wanted = needed.select(F.col("node").alias("doc_id")).distinct().hint("merge")
     sets = source.join(wanted, "doc_id", "left_semi").mapInArrow(token_sets, "node long, tokens array<long>")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,6 +285,6 @@ def drop_near_copies(docs: DataFrame, similarity: float = 0.8, recall: float = 0
     together, as they are one document.
     """
     judged = similar_documents(docs, similarity, recall)
-    dropped = stage(judged.filter(~F.col("kept")).select(F.col("doc_id").alias("_dropped_id")).distinct(), "dropped")
+    dropped = stage(judged.filter(~F.col("kept")).select(F.col("doc_id").alias("_dropped_id")).distinct(), "dropped").hint("merge")
     own_id = docs["doc_id"].cast("long")
-    return docs.join(dropped, own_id == dropped["_dropped_id"], "left_anti")
+    return docs.join(dropped, own_id == F.col("_dropped_id"), "left_anti")
