@@ -13,8 +13,9 @@ import pyarrow.compute as pc
 
 from rideframe.llm.support import filled, ragged_positions, split_lists
 
-CACHED_PIECES = 700_000
-JOINED_PIECES = 200
+CACHED_PIECES = 500_000
+#: Below this code point letters are composed already and are lower-cased one by one.
+LATIN_END = "\u0250"
 SPACE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 #: A space with white space before it and white space or the end after it: cutting there changes how a run is read.
 UNSAFE = rf"{SPACE} (?:{SPACE}|\z)|\x{{00}}"
@@ -31,7 +32,7 @@ class PieceEncoder:
     ``encode_pieces`` maps a list of strings to flat ids and their counts, ``encode_text``
     a whole text to its ids. With ``keep_space`` a piece begins with the space before it
     (byte-level vocabularies); texts in which a cut would change a run of white space are
-    encoded whole. Without it the tokenizer drops spaces and any cut is safe. A full stop or
+    encoded whole. Without it the tokenizer drops white space and any cut there is safe. A full stop or
     comma after a letter is split off. The memory of pieces is bounded; dropping it changes no
     result.
     """
@@ -80,6 +81,8 @@ class PieceEncoder:
             if whole:
                 texts = pc.if_else(unsafe, "", texts)
             texts = pc.replace_substring(texts, " ", "\x00 ")
+        else:
+            texts = pc.replace_substring(texts, "\n", " ")
         offsets, coded = split_lists(pc.split_pattern(texts, "\x00" if self.keep_space else " "))
         numbers = self._numbers(coded.dictionary.to_pylist())
         return offsets, numbers[coded.indices.to_numpy(zero_copy_only=False)], whole
@@ -134,8 +137,8 @@ def _space_rule(config: dict) -> bool | None:
 def library_encoder(path: str) -> PieceEncoder:
     """An encoder over a file of the tokenizers library, without added begin or end tokens.
 
-    Many pieces are passed in one string, with a special token between them, which the
-    library never joins with its neighbours; pieces that hold such a token go alone.
+    A piece of Latin letters is one match of the vocabulary's pattern; it goes straight to the
+    library's model. All others go through the whole library, normaliser and all.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -143,7 +146,6 @@ def library_encoder(path: str) -> PieceEncoder:
     tokenizer = Tokenizer.from_file(path)
     with open(path, encoding="utf-8") as file:
         config = json.load(file)
-    special = [t["content"] for t in config["added_tokens"]]
     rule = _space_rule(config)
 
     def encode_text(text: str) -> np.ndarray:
@@ -154,22 +156,54 @@ def library_encoder(path: str) -> PieceEncoder:
         counts = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum())), counts
 
-    def encode_pieces(pieces: list[str]) -> Encoded:
-        if not special or any(s in p for s in special for p in pieces):
-            return encode_each(pieces)
-        mark = special[0]
-        mark_id = tokenizer.token_to_id(mark)
-        joined = [mark.join(pieces[i : i + JOINED_PIECES]) + mark for i in range(0, len(pieces), JOINED_PIECES)]
-        ids, _ = encode_each(joined)
-        marks = np.flatnonzero(ids == mark_id)
-        counts = np.diff(marks, prepend=-1) - 1
-        return ids[ids != mark_id], counts
-
     if rule is None:
         return WholeEncoder(encode_each)
+    model, symbols = tokenizer.model, _byte_symbols()
+
+    def plain_word(piece: str) -> str | None:
+        """What the model gets for a piece that is one match of Latin letters, else None."""
+        word = piece[1:] if rule and piece[:1] == " " else piece
+        if not word.isalpha():
+            return None
+        if word.isascii():
+            return symbols[32] + word if len(word) < len(piece) else word if rule else word.lower()
+        if max(word) >= LATIN_END:
+            return None
+        if not rule:
+            piece = piece.lower()
+            if not piece.isalpha():
+                return None
+        return piece.encode().decode("latin-1").translate(symbols)
+
+    def encode_pieces(pieces: list[str]) -> Encoded:
+        words = [plain_word(p) for p in pieces]
+        rest = [p for p, w in zip(pieces, words) if w is None]
+        numbers = {w: n for n, w in enumerate(dict.fromkeys(w for w in words if w is not None))}
+        flat: list[int] = []
+        ends = [0]
+        for word in numbers:
+            flat += [t.id for t in model.tokenize(word)]
+            ends.append(len(flat))
+        ids, counts = np.array(flat, np.uint32), np.diff(ends)
+        if rest:
+            more, more_counts = encode_each(rest)
+            ids, counts = np.concatenate([ids, more]), np.concatenate([counts, more_counts])
+        places = iter(range(len(numbers), len(counts)))
+        used = np.fromiter((next(places) if w is None else numbers[w] for w in words), np.int64, len(words))
+        starts = np.cumsum(counts) - counts
+        return ids[ragged_positions(starts[used], counts[used])], counts[used]
+
     return PieceEncoder(encode_pieces, encode_text, rule)
 
 
+def _byte_symbols() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies: printable ones for
+    themselves, the others, in order, for those from 256 on."""
+    shown = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(256 + n) for n, b in enumerate(hidden)}
+
+
 class WholeEncoder:
     """The same interface for vocabularies whose texts cannot be cut at spaces."""
 

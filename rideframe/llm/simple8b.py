@@ -19,7 +19,7 @@ SELECTORS = ((1, 64), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10
 COUNTS = np.array([c for c, _ in SELECTORS])
 BLOCK = 1024
 
-FILE_SCHEMA = "shard int, chunk int, n_ids long, words binary, block_words binary, doc_ids array<long>, doc_tokens array<long>"
+FILE_SCHEMA = "shard int, first_id long, n_ids long, words binary, block_words binary, doc_ids array<long>, doc_tokens array<long>"
 
 
 def _bits(values: np.ndarray) -> np.ndarray:
@@ -53,14 +53,16 @@ def encode_blocks(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, n
     beyond = np.int16(block + 240)
     for selector in range(1, 16):
         count, width = SELECTORS[selector]
-        if not (bits <= width).any():
+        # Few blocks hold enough values that narrow.
+        rows = np.flatnonzero(np.count_nonzero(bits <= width, axis=1) >= count) if count > 5 else np.arange(n_blocks)
+        if not len(rows):
             continue
         # next value at or after i that is too wide; values past the end of the block never are
-        wide = np.where(bits > width, column, beyond)
+        wide = np.where(bits[rows] > width, column, beyond)
         following = np.minimum.accumulate(wide[:, ::-1], axis=1)[:, ::-1]
-        fits = undecided & (following - column >= count)
-        choice[fits] = selector
-        undecided &= ~fits
+        fits = undecided[rows] & (following - column >= count)
+        choice[rows] = np.where(fits, np.int8(selector), choice[rows])
+        undecided[rows] &= ~fits
     position = np.zeros(n_blocks, np.int64)
     active = np.arange(n_blocks)
     steps: list[tuple[np.ndarray, np.ndarray]] = []
@@ -132,7 +134,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id:
 
     The files are a Parquet table that Spark commits task by task, so a lost executor or a
     second attempt leaves no partial file. A row is a chunk of whole documents: shard (the
-    range of ids it belongs to), chunk (its order there), n_ids, words (little-endian 64-bit
+    range of ids it belongs to), first_id (ids of the shard before it), n_ids, words (little-endian 64-bit
     Simple-8b words), block_words (little-endian 64-bit: the word at which each block of 1024
     ids begins, and the end), doc_ids and doc_tokens. Null ids come first, equal ids are
     ordered by text, null texts are their end id alone, an empty table gives an empty file.
@@ -142,19 +144,21 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_texts = encoder(tokenizer_path)
         shard = TaskContext.get().partitionId()
-        for chunk, part in enumerate(text_slices(batches, "text")):
+        before = 0
+        for part in text_slices(batches, "text"):
             ids, ends = append_id(*encode_texts.encode(part.column("text")), end_id)
             words, block_words = encode_blocks(ids)
             columns = [
                 pa.array([shard], pa.int32()),
-                pa.array([chunk], pa.int32()),
+                pa.array([before], pa.int64()),
                 pa.array([len(ids)], pa.int64()),
                 pa.array([words.astype("<u8").tobytes()], pa.binary()),
                 pa.array([block_words.astype("<i8").tobytes()], pa.binary()),
                 pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column("doc_id")),
                 pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), pa.array(np.diff(ends), pa.int64())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["shard", "chunk", "n_ids", "words", "block_words", "doc_ids", "doc_tokens"])
+            before += len(ids)
+            yield pa.RecordBatch.from_arrays(columns, ["shard", "first_id", "n_ids", "words", "block_words", "doc_ids", "doc_tokens"])
 
     source = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -165,29 +169,26 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id:
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Documents of written files: doc_id, start, n_tokens, ids (little-endian unsigned 32-bit).
 
-    ``start`` counts the ids of all documents before. It comes from the counts of shards and
-    chunks, which are read without the words.
+    ``start`` counts the ids of all documents before. The ids of each shard are summed from
+    one column; the sums, one row per shard and so at most as many as there were shuffle
+    partitions, are broadcast, and no ids are shuffled.
     """
     reach_workers(spark)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                shard, chunk, n_ids, words, block_words, doc_ids, doc_tokens = (batch.column(i)[row] for i in range(7))
+                shard, first_id, n_ids, words, block_words, doc_ids, doc_tokens = (batch.column(i)[row] for i in range(7))
                 counts = doc_tokens.values.to_numpy(zero_copy_only=False)
                 ids = decode_blocks(np.frombuffer(words.as_py(), "<u8"), np.frombuffer(block_words.as_py(), "<i8"), n_ids.as_py())
                 ends = np.concatenate([[0], np.cumsum(counts)])
-                same = [pa.array(np.full(len(counts), value.as_py()), pa.int32()) for value in (shard, chunk)]
-                columns = [*same, doc_ids.values, pa.array(ends[:-1], pa.int64()), pa.array(counts, pa.int64()), binary_array(ids.astype("<u4"), ends * 4)]
-                yield pa.RecordBatch.from_arrays(columns, ["shard", "chunk", "doc_id", "inside", "n_tokens", "ids"])
+                shards = pa.array(np.full(len(counts), shard.as_py()), pa.int32())
+                columns = [shards, doc_ids.values, pa.array(ends[:-1] + first_id.as_py(), pa.int64()), pa.array(counts, pa.int64()), binary_array(ids.astype("<u4"), ends * 4)]
+                yield pa.RecordBatch.from_arrays(columns, ["shard", "doc_id", "inside", "n_tokens", "ids"])
 
     files = spark.read.schema(FILE_SCHEMA).parquet(folder)
-    docs = files.mapInArrow(decode, "shard int, chunk int, doc_id long, inside long, n_tokens long, ids binary")
-    chunks = files.select("shard", "chunk", "n_ids")
-    shards = chunks.groupBy("shard").agg(F.sum("n_ids").alias("n"))
+    docs = files.mapInArrow(decode, "shard int, doc_id long, inside long, n_tokens long, ids binary")
     upto = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    shards = files.groupBy("shard").agg(F.sum("n_ids").alias("n"))
     shards = shards.select("shard", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("shard_start"))
-    within = Window.partitionBy("shard").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    chunks = chunks.select("shard", "chunk", F.coalesce(F.sum("n_ids").over(within), F.lit(0)).alias("chunk_start"))
-    starts = chunks.join(shards, "shard").select("shard", "chunk", (F.col("shard_start") + F.col("chunk_start")).alias("from_id"))
-    return docs.join(starts, ["shard", "chunk"]).select("doc_id", (F.col("from_id") + F.col("inside")).alias("start"), "n_tokens", "ids")
+    return docs.join(F.broadcast(shards), "shard").select("doc_id", (F.col("shard_start") + F.col("inside")).alias("start"), "n_tokens", "ids")
