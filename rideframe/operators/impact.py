@@ -92,7 +92,11 @@ def tip_by_hour_bucket(df: DataFrame, cells: bool = False) -> DataFrame:
 #
 # All three are averages over trips. ``impact_cells`` keeps, per combination of the keys
 # of all three, the sums and counts they need, so that one pass over the trips serves
-# them all. Amounts are taken as they are, and nulls are left out of each average.
+# them all. Nulls are left out of each average. Money is summed as decimals, so that the
+# order of the rows does not matter; nine decimals hold any amount of money as it is, and
+# what no decimal can hold is summed apart.
+
+MONEY_SCALE = 9
 
 AVERAGED = {
     "tip_amount": "tip",
@@ -103,12 +107,20 @@ AVERAGED = {
 }
 
 
+MONEY = ("tip_amount", "fare_amount")
+
+
 def _sums(columns: Sequence[str]) -> list[Column]:
-    return [
-        part
-        for c in columns
-        for part in (F.sum(c).alias(f"{AVERAGED[c]}_sum"), F.count(c).alias(f"{AVERAGED[c]}_count"))
-    ]
+    parts = []
+    for c in columns:
+        name = AVERAGED[c]
+        if c in MONEY:
+            decimal = F.col(c).try_cast(f"decimal(38,{MONEY_SCALE})")
+            parts += [F.sum(decimal).alias(f"{name}_sum"), F.sum(F.when(decimal.isNull(), F.col(c))).alias(f"{name}_rest")]
+        else:
+            parts.append(F.sum(c).alias(f"{name}_sum"))
+        parts.append(F.count(c).alias(f"{name}_count"))
+    return parts
 
 
 def impact_cells(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -117,7 +129,10 @@ def impact_cells(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _average(name: str) -> Column:
-    return F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_count"))
+    total = F.sum(f"{name}_sum").cast("double")
+    if name in [AVERAGED[c] for c in MONEY]:
+        total = F.coalesce(total, F.lit(0.0)) + F.coalesce(F.sum(f"{name}_rest"), F.lit(0.0))
+    return F.try_divide(total, F.sum(f"{name}_count"))
 
 
 def all_combinations_impact(
