@@ -39,9 +39,10 @@ class PieceEncoder:
 
     def __init__(self, encode_pieces: Callable[[list[str]], Encoded], encode_text: Callable[[str], np.ndarray], keep_space: bool, kept: int = CACHED_PIECES):
         self.encode_pieces, self.encode_text, self.keep_space, self.kept = encode_pieces, encode_text, keep_space, kept
-        self._clear()
+        self.forget()
 
-    def _clear(self) -> None:
+    def forget(self) -> None:
+        """Give up the memory of pieces, as between tasks of different work in one worker."""
         self.known: dict[str, int] = {}
         self.ids = np.zeros(0, np.uint32)
         self.starts = np.zeros(0, np.int64)
@@ -49,7 +50,7 @@ class PieceEncoder:
 
     def _numbers(self, pieces: list[str]) -> np.ndarray:
         if len(self.known) + len(pieces) > self.kept:
-            self._clear()
+            self.forget()
         known = self.known
         fresh = [p for p in pieces if p not in known]
         ended = [p for p in fresh if p[-1:] in STOPS and p[-2:-1].isalpha()]
@@ -210,6 +211,9 @@ class WholeEncoder:
     def __init__(self, encode_each: Callable[[list[str]], Encoded]):
         self.encode_each = encode_each
 
+    def forget(self) -> None:
+        """Nothing is held."""
+
     def count(self, texts: pa.Array) -> np.ndarray:
         return self.encode_each(filled(texts).to_pylist())[1]
 

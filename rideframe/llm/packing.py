@@ -144,6 +144,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = 2048, end
         packer.flush()
         if packer.closed:
             yield _rows(packer.take())
+        encode.forget()
+        pa.default_memory_pool().release_unused()
 
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     return source.mapInArrow(pack, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")

@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rideframe.llm.support import filled, ragged_positions, reach_workers, split_words, text_slices
 
 #: Bound of the training sample: at most so many labelled documents of each class.
-ROWS_PER_CLASS = 4000
+ROWS_PER_CLASS = 3000
+#: N-grams take many times the memory of their text.
+SLICE_BYTES = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -171,7 +173,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Sett
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(sample, "doc_id")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, "text"):
+        for part in text_slices(batches, "text", SLICE_BYTES):
             found = document_features(filled(part.column("text")), settings)
             columns = [
                 part.column("doc_id"),
@@ -197,7 +199,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     weights, bias, settings = model.gram_weights(), float(model.bias[1] - model.bias[0]), model.settings
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, "text"):
+        for part in text_slices(batches, "text", SLICE_BYTES):
             scores = score_texts(filled(part.column("text")), weights, bias, settings)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
@@ -210,7 +212,7 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7) ->
     weights, bias, settings = model.gram_weights(), float(model.bias[1] - model.bias[0]), model.settings
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, "text"):
+        for part in text_slices(batches, "text", SLICE_BYTES):
             scores = score_texts(filled(part.column("text")), weights, bias, settings)
             yield part.filter(pa.array(scores < threshold))
 
