@@ -25,10 +25,11 @@ class Settings:
     shortest: int = 3
     longest: int = 5
     epochs: int = 10
+    least_steps: int = 400
     batch: int = 64
     rate: float = 0.3
     decay: float = 1e-5
-    min_docs: int = 10
+    shrinkage: float = 2.0
     gain: float = 60.0
     seed: int = 7
 
@@ -92,7 +93,7 @@ def document_features(texts: pa.Array, settings: Settings) -> list[tuple[np.ndar
 def fit(features: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, settings: Settings = Settings()) -> ToxicityModel:
     """Train embeddings and output layer together by minibatch Adagrad on the cross-entropy.
 
-    Without both classes the model scores every text by the share of class 1.
+    Rows weigh so that both classes count the same. Without both the model scores every text by the share of class 1.
     """
     rng = np.random.default_rng(settings.seed)
     size, dim = 1 << settings.bucket_bits, settings.dimension
@@ -104,18 +105,22 @@ def fit(features: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, setti
         return ToxicityModel(settings, np.zeros((size, dim), np.float32), output.astype(np.float32), np.array([0.0, 30.0 * (2 * share - 1)]))
     seen_e, seen_o, seen_b = np.full((size, dim), 1e-6), np.full((dim, 2), 1e-6), np.full(2, 1e-6)
     onehot = np.eye(2)[labels]
-    # What few documents hold would only be learnt by heart; such n-grams count for nothing.
-    common = np.bincount(np.concatenate([b for b, _ in features]), minlength=size) >= settings.min_docs
-    embeddings[~common] = 0
-    features = [(b[common[b]], w[common[b]]) for b, w in features]
-    for epoch in range(settings.epochs):
-        rate = settings.rate * (1 - epoch / settings.epochs)
+    # Both classes weigh the same at every size, as they do where both reach the bound of the sample.
+    class_weight = len(labels) / (2 * np.bincount(labels, minlength=2))
+    # An n-gram counts by n / (n + shrinkage), n being the sampled documents that hold it, so rare
+    # ones are learnt more slowly, but none is left out at any size of the sample.
+    held = np.bincount(np.concatenate([b for b, _ in features]), minlength=size)
+    trust = held / (held + settings.shrinkage)
+    # A small sample is gone through more often, or its few steps would leave the model as it began.
+    epochs = max(settings.epochs, -(-settings.least_steps // -(-len(labels) // settings.batch)))
+    for epoch in range(epochs):
+        rate = settings.rate * (1 - epoch / epochs)
         order = rng.permutation(len(labels))
         for first in range(0, len(order), settings.batch):
             rows = order[first : first + settings.batch]
             lengths = np.array([len(features[r][0]) for r in rows])
             buckets = np.concatenate([features[r][0] for r in rows])
-            shares = np.concatenate([features[r][1] for r in rows]).astype(np.float64) * settings.gain
+            shares = np.concatenate([features[r][1] for r in rows]).astype(np.float64) * settings.gain * trust[buckets]
             row = np.repeat(np.arange(len(rows)), lengths)
             weighted = embeddings[buckets] * shares[:, None]
             hidden = np.stack([np.bincount(row, weights=weighted[:, d], minlength=len(rows)) for d in range(dim)], axis=1)
@@ -123,7 +128,7 @@ def fit(features: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, setti
             logits -= logits.max(axis=1, keepdims=True)
             chance = np.exp(logits)
             chance /= chance.sum(axis=1, keepdims=True)
-            error = (chance - onehot[rows]) / len(rows)
+            error = (chance - onehot[rows]) * class_weight[labels[rows], None] / len(rows)
             back = error @ output.T
             step_o, step_b = hidden.T @ error, error.sum(axis=0)
             used, inverse = np.unique(buckets, return_inverse=True)
@@ -136,7 +141,7 @@ def fit(features: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, setti
             output -= rate * step_o / np.sqrt(seen_o)
             seen_b += step_b**2
             bias -= rate * step_b / np.sqrt(seen_b)
-    return ToxicityModel(settings, embeddings.astype(np.float32), output.astype(np.float32), bias)
+    return ToxicityModel(settings, (embeddings * trust[:, None]).astype(np.float32), output.astype(np.float32), bias)
 
 
 def score_texts(texts: pa.Array, gram_weights: np.ndarray, bias: float, settings: Settings) -> np.ndarray:
