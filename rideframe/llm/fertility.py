@@ -43,6 +43,13 @@ SCRIPT_BANDS = {
     "other": Band((0.3, 6.0), 0.95, 4.0, 0.60),
 }
 
+#: Cells of fewer texts say too little about what is usual; their texts have the declared band.
+LEAST_TEXTS = 100
+#: How many distances between the quartiles a text may lie below the median of its cell.
+REACH = 2.5
+#: Bins of the counted measures, per unit.
+BINS = 1000
+
 
 def _repeated_words(offsets: np.ndarray, codes: np.ndarray) -> np.ndarray:
     """Words of each row inside five-word windows that the row holds twice or more."""
@@ -132,15 +139,72 @@ def _scripts(texts: pa.Array) -> np.ndarray:
     return np.where((latin >= cyrillic) & (latin >= other), "latin", np.where(cyrillic >= other, "cyrillic", "other"))
 
 
-def judge_texts(texts: pa.Array, langs: pa.Array, model_path: str) -> dict[str, np.ndarray]:
-    """The measures, ``base_failed`` and ``kept``."""
-    out = measure_texts(texts, model_path)
-    known = [lang if lang in LANGUAGE_BANDS else None for lang in langs.to_pylist()]
-    bands = [LANGUAGE_BANDS.get(lang) for lang in known]
-    unnamed = [i for i, band in enumerate(bands) if band is None]
+def _kinds(texts: pa.Array, langs: pa.Array) -> list[str]:
+    """The language of each text if it has a band, else its main script."""
+    kinds = [lang if lang in LANGUAGE_BANDS else None for lang in langs.to_pylist()]
+    unnamed = [i for i, kind in enumerate(kinds) if kind is None]
     if unnamed:
         for i, script in zip(unnamed, _scripts(filled(texts).take(pa.array(unnamed)))):
-            bands[i] = SCRIPT_BANDS[str(script)]
+            kinds[i] = str(script)
+    return kinds
+
+
+def _base_failed(measures: dict[str, np.ndarray]) -> np.ndarray:
+    return (measures["n_words"] < 10) | (100 * measures["n_repeat_words"] > 20 * measures["n_words"])
+
+
+def _length_class(n_tokens: np.ndarray) -> np.ndarray:
+    """Doublings of the number of tokens, on which both measures depend."""
+    return np.floor(np.log2(np.maximum(1, n_tokens))).astype(np.int64)
+
+
+#: Least characters per token and least token bits by kind of text and class of length.
+Limits = dict[tuple[str, int], tuple[float, float]]
+
+
+def usual_limits(docs: DataFrame, model_path: str) -> Limits:
+    """Lower limits from all texts that pass the base rule, by language or script and by length.
+
+    Each task counts the values of its texts in bins of a thousandth, so that counts merge
+    exactly; the quartiles of the sums give the limits. Only the sums come to the driver.
+    """
+    reach_workers(docs.sparkSession)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches, "text"):
+            found = measure_texts(part.column("text"), model_path)
+            rows = np.flatnonzero(~_base_failed(found))
+            kinds = np.array(_kinds(part.column("text"), part.column("lang")), object)[rows]
+            length = _length_class(found["n_tokens"][rows])
+            tokens = np.maximum(1, found["n_tokens"][rows])
+            for measure, values in enumerate((found["word_chars"][rows] / tokens, found["token_bits"][rows])):
+                columns = [pa.array(kinds, pa.string()), pa.array(length), pa.array(np.full(len(rows), measure)), pa.array(np.floor(values * BINS).astype(np.int64))]
+                counts = pa.table(columns, ["kind", "length", "measure", "bin"]).group_by(["kind", "length", "measure", "bin"]).aggregate([([], "count_all")])
+                yield from counts.select(["kind", "length", "measure", "bin", "count_all"]).rename_columns(["kind", "length", "measure", "bin", "n"]).to_batches()
+
+    source = docs.select(F.col("text").cast("string"), F.col("lang").cast("string"))
+    counted = source.mapInArrow(count, "kind string, length long, measure long, bin long, n long").groupBy("kind", "length", "measure", "bin").agg(F.sum("n").alias("n"))
+    cells: dict[tuple[str, int], list[list[tuple[int, int]]]] = {}
+    for row in counted.toArrow().to_pylist():
+        cells.setdefault((row["kind"], row["length"]), [[], []])[row["measure"]].append((row["bin"], row["n"]))
+    limits = {}
+    for cell, measures in cells.items():
+        found = []
+        for values in measures:
+            bins, uses = np.array(sorted(values)).T
+            below = np.cumsum(uses)
+            low, middle, high = (bins[np.searchsorted(below, part * below[-1])] for part in (0.25, 0.5, 0.75))
+            found.append(float(middle - REACH * max(1, high - low)) / BINS)
+        if below[-1] >= LEAST_TEXTS:
+            limits[cell] = found[0], found[1]
+    return limits
+
+
+def judge_texts(texts: pa.Array, langs: pa.Array, model_path: str, limits: Limits | None = None) -> dict[str, np.ndarray]:
+    """The measures, ``base_failed`` and ``kept``; without limits the declared bands alone decide."""
+    out = measure_texts(texts, model_path)
+    kinds = _kinds(texts, langs)
+    bands = [LANGUAGE_BANDS.get(kind) or SCRIPT_BANDS[kind] for kind in kinds]
     low, high, byte_share, least_bits, evenness = (
         np.array([f(b) for b in bands], float)
         for f in (lambda b: b.chars_per_token[0], lambda b: b.chars_per_token[1], lambda b: b.byte_share, lambda b: b.token_bits, lambda b: b.token_evenness)
@@ -148,7 +212,11 @@ def judge_texts(texts: pa.Array, langs: pa.Array, model_path: str) -> dict[str,
     tokens = np.maximum(1, out["n_tokens"])
     per_token = out["word_chars"] / tokens
     needed = np.minimum(least_bits, evenness * np.log2(tokens))
-    out["base_failed"] = (out["n_words"] < 10) | (100 * out["n_repeat_words"] > 20 * out["n_words"])
+    if limits:
+        own = [limits.get(cell, (-np.inf, -np.inf)) for cell in zip(kinds, _length_class(out["n_tokens"]).tolist())]
+        least_chars, usual_bits = np.array(own, float).reshape(-1, 2).T
+        low, needed = np.maximum(low, least_chars), np.maximum(needed, usual_bits)
+    out["base_failed"] = _base_failed(out)
     good = (per_token >= low) & (per_token <= high) & (out["n_byte_tokens"] <= byte_share * tokens) & (out["token_bits"] >= needed)
     out["kept"] = ~out["base_failed"] & good
     return out
@@ -162,15 +230,16 @@ def judge_quality(docs: DataFrame, model_path: str) -> DataFrame:
     space; tokens are those of each word on its own. A text fails the base rule with fewer
     than ten words or with more than a fifth of its words in repeated five-word windows;
     ``kept`` also asks for the bands of its language, or of its main script where the language
-    is null or has none. A null text has no words and fails; null and repeated ids stay;
-    further columns are ignored; an empty table gives no rows. Nothing is shuffled.
+    is null or has none, and for the ``usual_limits`` of all texts of the table, which take a
+    pass of their own. A null text has no words and fails; null and repeated ids stay; further
+    columns are ignored; an empty table gives no rows. Only counts are shuffled.
     """
-    reach_workers(docs.sparkSession)
+    limits = usual_limits(docs, model_path)
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_tokens", "n_byte_tokens", "token_bits")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "text"):
-            found = judge_texts(part.column("text"), part.column("lang"), model_path)
+            found = judge_texts(part.column("text"), part.column("lang"), model_path, limits)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), *[pa.array(found[n]) for n in names]], ["doc_id", *names])
 
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"))
@@ -180,10 +249,10 @@ def judge_quality(docs: DataFrame, model_path: str) -> DataFrame:
 
 def drop_low_quality(docs: DataFrame, model_path: str) -> DataFrame:
     """The rows of ``docs``, all columns as they are, that the rules keep."""
-    reach_workers(docs.sparkSession)
+    limits = usual_limits(docs, model_path)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "text"):
-            yield part.filter(pa.array(judge_texts(part.column("text"), part.column("lang"), model_path)["kept"]))
+            yield part.filter(pa.array(judge_texts(part.column("text"), part.column("lang"), model_path, limits)["kept"]))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 
 from rideframe.llm import toxicity
+from rideframe.llm.queries import QUERIES
 
 
 def test_toxicity_sample_has_its_whole_size():
@@ -20,3 +21,13 @@ def test_toxicity_learns_an_insult_of_six_documents():
     asked = pa.array([" ".join(plain) + " stupidest", " ".join(plain) + " gardens"])
     insult, other = toxicity.score_texts(asked, model.gram_weights(), bias, settings)
     assert insult >= 0.7 > 0.5 > other
+
+
+def test_quality_limits_follow_the_table(spark):
+    """Most texts labelled good stay, and many labelled bad go that the declared bands keep."""
+    folder = "/root/testdata/sf0.01"
+    judged = QUERIES["op2_fertility"](spark, folder).filter("not base_failed")
+    rows = judged.join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").select("quality", "kept").collect()
+    bad, good = ([r.kept for r in rows if r.quality == kind] for kind in (0, 1))
+    assert bad.count(False) >= 10
+    assert good.count(False) <= 0.01 * len(good)
