@@ -10,14 +10,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rideframe.llm.chat import format_conversations, read_turns, trained_text
 from rideframe.llm.chosen_path import similar_documents
 from rideframe.llm.fertility import judge_quality
+from rideframe.llm.fill_middle import fill_in_middle, restore_text
 from rideframe.llm.merge_replay import encode_documents
 from rideframe.llm.packing import pack_documents
 from rideframe.llm.pq_dedup import near_duplicate_vectors
+from rideframe.llm.scaled_sketch import fingerprint, fingerprint_documents
 from rideframe.llm.simple8b import read_token_files, write_token_files
 from rideframe.llm.support import table
 from rideframe.llm.token_cache import count_tokens, folded
 from rideframe.llm.toxicity import is_held_out, score_toxicity, train_toxicity
 from rideframe.llm.url_rules import judge_urls, url_rules
+from rideframe.llm.vantage_clusters import cluster_vectors
 from rideframe.session import new_shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -182,3 +185,145 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With a cache of its own, which is empty, so that every call does the whole work."""
     docs = table(spark, sf_dir, "documents")
     return count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"), new_shared_path(spark, "token-cache"), limit=2048, normalise=folded)
+
+
+@query(
+    "op11_fill_middle",
+    r"""
+    WITH d AS (
+        SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+               regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units
+        FROM documents
+    ), c AS (
+        SELECT *, CAST(len(units) AS BIGINT) AS n,
+               CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+               CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4
+        FROM d
+    ), p AS (
+        SELECT doc_id, t, n,
+               CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                    WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+               coalesce(list_aggregate(units[1:least(h1 % (n + 1), h2 % (n + 1))], 'string_agg', ''), '') AS prefix,
+               coalesce(list_aggregate(units[least(h1 % (n + 1), h2 % (n + 1)) + 1:greatest(h1 % (n + 1), h2 % (n + 1))], 'string_agg', ''), '') AS middle,
+               coalesce(list_aggregate(units[greatest(h1 % (n + 1), h2 % (n + 1)) + 1:], 'string_agg', ''), '') AS suffix
+        FROM c
+    )
+    SELECT doc_id, n, form,
+           CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                            ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+           sha256(t) AS restored_sha256
+    FROM p
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(table(spark, sf_dir, "documents"), seed=7, unit="line", rate=100, spm=50)
+    restored = restore_text(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256"))
+
+
+@query(
+    "op12_scaled_sketch",
+    r"""
+    WITH d AS (
+        SELECT doc_id, coalesce(text, '') AS t, CAST(length(coalesce(text, '')) AS BIGINT) AS n FROM documents
+    ), placed AS (
+        SELECT *, coalesce(lead(t) OVER (ORDER BY doc_id DESC), first_value(t) OVER (ORDER BY doc_id DESC)) AS next_t FROM d
+    ), texts AS (
+        SELECT doc_id, n, t, left(t, n - n // 3) || left(next_t, n // 3) AS edited, next_t FROM placed
+    ), sides AS (
+        SELECT doc_id, 0 AS side, t AS text FROM texts
+        UNION ALL SELECT doc_id, 1, edited FROM texts
+        UNION ALL SELECT doc_id, 2, next_t FROM texts
+    ), split AS (
+        SELECT doc_id, side, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM sides
+    ), words AS (
+        SELECT doc_id, side, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM split
+    ), windows AS (
+        SELECT doc_id, side, i, word, lead(word, 1) OVER o AS w2, lead(word, 2) OVER o AS w3, lead(word, 3) OVER o AS w4, lead(word, 4) OVER o AS w5
+        FROM words WINDOW o AS (PARTITION BY doc_id, side ORDER BY i)
+    ), hashes AS (
+        SELECT DISTINCT doc_id, side, md5(concat_ws(' ', word, w2, w3, w4, w5))[1:16] AS h
+        FROM windows WHERE w5 IS NOT NULL OR i = 1
+    ), least_hash AS (
+        SELECT doc_id, side, min(h) AS m FROM hashes GROUP BY ALL
+    ), kept AS (
+        SELECT doc_id, side, h FROM hashes JOIN least_hash USING (doc_id, side) WHERE h < '2000' OR h = m
+    ), sketches AS (
+        SELECT s.doc_id, s.side, coalesce(string_agg(k.h, ',' ORDER BY k.h), '') AS fp, count(k.h) AS size
+        FROM sides s LEFT JOIN kept k ON k.doc_id = s.doc_id AND k.side = s.side GROUP BY ALL
+    ), shared AS (
+        SELECT a.doc_id, count(*) FILTER (b.side = 1) AS with_edited, count(*) FILTER (b.side = 2) AS with_next
+        FROM kept a JOIN kept b ON a.doc_id = b.doc_id AND a.h = b.h WHERE a.side = 0 AND b.side > 0 GROUP BY ALL
+    ), numbers AS (
+        SELECT t.doc_id, t.n, t.edited, o.fp, e.fp AS edited_fp, o.size, e.size AS edited_size, x.size AS next_size,
+               coalesce(s.with_edited, 0) AS with_edited, coalesce(s.with_next, 0) AS with_next
+        FROM texts t JOIN sketches o ON o.doc_id = t.doc_id AND o.side = 0 JOIN sketches e ON e.doc_id = t.doc_id AND e.side = 1
+        JOIN sketches x ON x.doc_id = t.doc_id AND x.side = 2 LEFT JOIN shared s ON s.doc_id = t.doc_id
+    )
+    SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256, fp AS fingerprint, edited_fp AS edited_fingerprint,
+           CASE WHEN size + edited_size = 0 THEN 1.0::DOUBLE ELSE with_edited / (size + edited_size - with_edited) END AS near_edited,
+           CASE WHEN size + next_size = 0 THEN 1.0::DOUBLE ELSE with_next / (size + next_size - with_next) END AS near_next,
+           CASE WHEN size = 0 THEN 1.0::DOUBLE ELSE with_edited / size END AS edited_holds
+    FROM numbers
+    """,
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprint_documents(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprint(F.col("sketch")).alias("fingerprint"),
+        fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+        "edited_holds",
+    )
+
+
+def _cluster_sql(k: int = 40, rounds: int = 5) -> str:
+    """One step for each round, as SQL has no loop that aggregates."""
+    steps = [
+        """
+        v AS MATERIALIZED (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS p FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        )""",
+        f"""
+        c0 AS MATERIALIZED (
+            SELECT CAST(row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS INTEGER) AS cluster, p
+            FROM v ORDER BY sha256('2:' || vec_id) LIMIT {k}
+        )""",
+    ]
+    for n in range(rounds + 1):
+        steps.append(f"""
+        a{n} AS MATERIALIZED (
+            SELECT vec_id, any_value(p) AS p, min(struct_pack(distance := distance, cluster := cluster)) AS best
+            FROM (SELECT v.vec_id, v.p, c.cluster, CAST(list_sum(list_transform(list_zip(v.p, c.p), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS distance
+                  FROM v CROSS JOIN c{n} c) GROUP BY vec_id
+        )""")
+        if n < rounds:
+            steps.append(f"""
+        m{n} AS MATERIALIZED (
+            SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS p
+            FROM (SELECT cluster, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+                  FROM (SELECT best.cluster AS cluster, unnest(p) AS x, generate_subscripts(p, 1) AS i FROM a{n}) GROUP BY cluster, i)
+            GROUP BY cluster
+        ), c{n + 1} AS MATERIALIZED (
+            SELECT c.cluster, coalesce(m.p, c.p) AS p FROM c{n} c LEFT JOIN m{n} m USING (cluster)
+        )""")
+    return f"""
+    WITH {",".join(steps)}
+    SELECT vec_id, best.cluster AS cluster, best.distance AS distance,
+           CAST(sum(best.distance) OVER (PARTITION BY best.cluster) AS BIGINT) AS cluster_inertia,
+           CAST(sum(best.distance) OVER () AS BIGINT) AS inertia,
+           sha256(array_to_string(c.p, ',')) AS centroid_sha256
+    FROM a{rounds} JOIN c{rounds} c ON c.cluster = best.cluster
+    """
+
+
+@query("op13_vantage_clusters", _cluster_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"), k=40, rounds=5, seed=2, dimensions=64, scale=256)
