@@ -33,6 +33,27 @@ def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+def common_values(row: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
+    """How many values each pair of ``n`` rows has in common, from distinct (row, value) pairs.
+
+    Only values that two rows hold count; they are taken some thousand at a time.
+    """
+    common = np.zeros((n, n), np.float32)
+    _, number, counts = np.unique(value, return_inverse=True, return_counts=True)
+    row, number = row[counts[number] > 1], number[counts[number] > 1]
+    if not len(row):
+        return common
+    number = np.unique(number, return_inverse=True)[1]
+    order = np.argsort(number, kind="stable")
+    row, number = row[order], number[order]
+    for first in range(0, int(number[-1]) + 1, 4096):
+        a, b = np.searchsorted(number, [first, first + 4096])
+        held = np.zeros((n, min(4096, int(number[-1]) + 1 - first)), np.float32)
+        held[row[a:b], number[a:b] - first] = 1
+        common += held @ held.T
+    return common
+
+
 def roots(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """The smallest position that each of ``n`` positions reaches over the given pairs."""
     root = np.arange(n)

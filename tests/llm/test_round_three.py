@@ -9,9 +9,10 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from rideframe.llm import fill_middle, scaled_sketch, vantage_clusters
+from rideframe.llm import chosen_path, fill_middle, pivot_rings, pq_dedup, scaled_sketch, url_rules, vantage_clusters
 from rideframe.llm.queries import QUERIES
 from tests.llm.data import LONG, ODD_TEXTS, SF_DIR, no_docs, odd_docs
+from tests.llm.test_operators import check_documents, check_vectors
 
 # --- fill in the middle ---------------------------------------------------------------
 
@@ -250,3 +251,154 @@ def test_clusters_of_empty_tables(spark):
     assert vantage_clusters.cluster_vectors(spark.createDataFrame([(1, [1.0])], "vec_id long, embedding array<float>")).count() == 0
     with pytest.raises(ValueError):
         vantage_clusters.cluster_vectors(none, k=0)
+
+
+# --- dense buckets of near copies -----------------------------------------------------
+
+
+def near_copies(n, length=120, edits=4, seed=4):
+    rng = np.random.default_rng(seed)
+    base = [f"t{i}" for i in range(length)]
+    texts = []
+    for i in range(n):
+        words = list(base)
+        for k in rng.integers(0, length, rng.integers(0, edits)):
+            words[k] = f"u{rng.integers(0, 40)}"
+        texts.append((i, " ".join(words)))
+    return texts
+
+
+@pytest.mark.parametrize("edits,bucket", [(2, 16), (4, 16), (9, 16), (14, 8)])
+def test_dense_buckets_by_brute_force(spark, monkeypatch, edits, bucket):
+    """Light, middling and heavy edits: proven, undecided and far pairs, with copies and two bases."""
+    monkeypatch.setattr(chosen_path, "BUCKET", bucket)
+    monkeypatch.setattr(pivot_rings, "BLOCK", 8)
+    monkeypatch.setattr(pivot_rings, "RING_TOKENS", 256)
+    texts = near_copies(150, edits=edits) + [(1000 + i, t.replace("t5", "z5")) for i, t in near_copies(60, 60, 3, 5)]
+    texts += [(200 + i, texts[i][1]) for i in range(10)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    check_documents(chosen_path.similar_documents(docs).collect(), texts)
+
+
+@given(st.integers(0, 10**6), st.integers(1, 12), st.sampled_from([0.8, 0.85, 0.9]))
+@settings(max_examples=40, deadline=None)
+def test_costs_decide_like_jaccard(seed, spread, similarity):
+    """The two costs and the shared tokens of the differences give the comparison of the whole sets."""
+    rng = np.random.default_rng(seed)
+    pivot = np.unique(rng.integers(0, 80, 40))
+    sets = [np.unique(np.concatenate([rng.choice(pivot, max(1, len(pivot) - rng.integers(0, spread))), rng.integers(60, 90, rng.integers(0, spread))])) for _ in range(12)]
+    sets.append(pivot)
+    costs, diffs = [], []
+    for own in sets:
+        removed, added, diff = pivot_rings.difference(pivot, own)
+        costs.append(round(pivot_rings.UNIT * (removed + similarity * added - (1 - similarity) * len(pivot) / 2)))
+        diffs.append(set(diff.tolist()))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            shared = len(np.intersect1d(a, b))
+            wanted = shared >= similarity * (len(a) + len(b) - shared) - 1e-6
+            total = costs[i] + costs[j]
+            assert wanted == (total <= pivot_rings._each_shared(similarity) * len(diffs[i] & diffs[j]) + pivot_rings.TOLERANCE)
+            if total <= pivot_rings.TOLERANCE:
+                assert wanted
+
+
+def test_rows_of_a_dense_group_grow_in_proportion(spark, monkeypatch):
+    """Twice the near copies: twice the rows that any table between the steps has, and no more."""
+    written = {}
+    plain = chosen_path.stage
+
+    def counted(df, name):
+        out = plain(df, name)
+        written[name] = max(written.get(name, 0), out.count())
+        return out
+
+    for module in (chosen_path, pivot_rings):
+        monkeypatch.setattr(module, "stage", counted)
+    monkeypatch.setattr(chosen_path, "BUCKET", 32)
+    sizes = []
+    for n in (300, 600, 1200):
+        written.clear()
+        texts = near_copies(n, edits=4)
+        docs = spark.createDataFrame(texts, "doc_id long, text string")
+        rows = chosen_path.similar_documents(docs).collect()
+        if n == 300:
+            check_documents(rows, texts)
+        sizes.append(dict(written))
+    assert {"differences", "group-members", "ring-blocks"} <= set(sizes[-1])
+    for name, n in sizes[-1].items():
+        assert n <= 2.6 * max(200, sizes[-2].get(name, 0)), (name, [s.get(name) for s in sizes])
+
+
+def test_texts_of_one_id_are_linked_on_their_own(spark):
+    a, b = near_copies(1)[0][1], " ".join(f"q{i}" for i in range(90))
+    rows = [(5, a), (5, b), (6, a + " tail"), (7, b + " tail"), (7, b + " tail"), (8, "a text that is like no other one here")]
+    docs = spark.createDataFrame([(i, t, 0, 1) for i, t in rows], "doc_id long, text string, dropped_id int, text_key int")
+    got = sorted((r.doc_id, r.n_links, r.group_id, r.kept) for r in chosen_path.similar_documents(docs).collect())
+    assert got == [(5, 1, 5, True), (5, 2, 5, True), (6, 1, 5, False), (7, 2, 5, False), (7, 2, 5, False), (8, 0, 8, True)]
+    kept = chosen_path.drop_near_copies(docs.unionAll(spark.createDataFrame([(7, "and a text of its own under a known id", 0, 1)], docs.schema)))
+    assert sorted((r.doc_id, r.text[:2]) for r in kept.collect()) == [(5, "q0"), (5, "t0"), (7, "an"), (8, "a ")] and kept.columns == docs.columns
+
+
+# --- vectors and url rules ------------------------------------------------------------
+
+
+def test_vectors_of_every_length_and_of_one_id(spark):
+    rng = np.random.default_rng(12)
+    vectors = [(i, (np.ones(5) + rng.normal(0, 0.1, 5)).tolist(), 0) for i in range(40)]
+    vectors += [(100, [1.0, 2.0], 0), (101, [1.0, 2.001], 0), (102, [1.0, 2.0, 0.0], 0), (103, [1.0], 0), (104, [3.0], 0), (105, [-1.0], 0)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>, label int")
+    check_vectors(pq_dedup.near_duplicate_vectors(df).collect(), vectors)
+    twice = spark.createDataFrame([(5, [1.0, 0.0]), (5, [0.0, 1.0]), (6, [1.0, 0.01]), (7, [0.01, 1.0]), (7, [0.01, 1.0])], "vec_id long, embedding array<float>").withColumn("label", F.lit("x"))
+    got = sorted(tuple(r) for r in pq_dedup.near_duplicate_vectors(twice).collect())
+    assert got == [(5, 1, 5, True), (5, 2, 5, True), (6, 1, 5, False), (7, 2, 5, False), (7, 2, 5, False)]
+
+
+def test_lists_grow_and_recall_of_clusters(spark, monkeypatch):
+    """Many clusters of near vectors in 64 dimensions: nearly all links found with few probes, all without a limit."""
+    assert [pq_dedup.lists_for(n) for n in (1, 1000, 51_282, 10**6, 10**12)] == [8, 16, 128, 512, 4096]
+    assert pq_dedup.reach_for(0.2, 9, 4.0) == 0.2 == pq_dedup.reach_for(0.2, 64, None) and abs(pq_dedup.reach_for(0.2, 64, 4.0) - 0.1) < 1e-12
+    rng = np.random.default_rng(7)
+    centres = rng.normal(0, 1, (40, 64))
+    vectors = [(i, (centres[i % 40] + rng.normal(0, 0.125, 64)).tolist(), 0) for i in range(400)]
+    unit = np.array([v for _, v, _ in vectors])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    wanted = int((unit @ unit.T >= 0.98).sum()) - 400
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>, label int")
+    placed = {}
+    plain = pq_dedup.stage
+
+    def counted(df, name):
+        out = plain(df, name)
+        if name == "vector-index":
+            placed["probes"] = out.select(F.sum(F.size("probes"))).first()[0]
+        return out
+
+    monkeypatch.setattr(pq_dedup, "stage", counted)
+    found = pq_dedup.near_duplicate_vectors(df).agg(F.sum("n_links")).first()[0]
+    assert wanted > 500 and 0.999 * wanted <= found <= wanted and placed["probes"] < 7 * 400
+    check_vectors(pq_dedup.near_duplicate_vectors(df, deviations=None).collect(), vectors)
+
+
+def test_very_many_path_rules_of_one_host(spark):
+    """A hundred thousand rules of one host, nested ones among them; rows hold what is nested, not all."""
+    rng = np.random.default_rng(2)
+    rules = [("block" if i % 3 else "allow", "big.com", f"/s{i}/") for i in range(100_000)]
+    rules += [("allow", "big.com", f"/s{i}/a"[: 3 + i % 5]) for i in range(0, 400, 7)] + [("block", "big.com", "/s7/a/b/c"), ("allow", "com", "/s1"), ("block", "www.big.com", "/s12/")]
+    rules = list({(h, p): (a, h, p) for a, h, p in rules}.values())
+    table = spark.createDataFrame(rules, "action string, host string, path string")
+    urls = [f"x://{['big.com', 'www.big.com', 'a.www.big.com', 'other.com'][rng.integers(4)]}/s{rng.integers(120_000)}{['', '/', '/a/b/c/d'][rng.integers(3)]}" for _ in range(500)]
+    urls += ["x://big.com/s7/a/b/cd", "x://www.big.com/s12/", "x://big.com/s1", "x://com/s1x"]
+    pages = spark.createDataFrame([*enumerate(urls)], "page_id long, url string")
+    by_path = {}
+    for a, h, p in rules:
+        by_path.setdefault((h, p), a)
+    got = url_rules.judge_urls(pages, table)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas|Cartesian|NestedLoop", plan)
+    for row in got.collect():
+        host, path = re.match(r"x://([^/]*)(.*)", urls[row.page_id]).groups()
+        labels = host.split(".")
+        fitting = [(len(h + p), h.count("."), h + p, by_path[h, p]) for k in range(len(labels)) for h in [".".join(labels[k:])] for n in range(len(path) + 1) for p in [path[:n]] if (h, p) in by_path]
+        best = max(fitting, default=None)
+        assert (row.rule, row.verdict) == ((best[2], best[3]) if best else (None, "allow")), (row, best)
