@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Callable
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -14,14 +14,13 @@ import pyarrow.compute as pc
 from rideframe.llm.support import filled, ragged_positions, split_lists
 
 CACHED_PIECES = 500_000
-#: Below this code point letters are composed already and are lower-cased one by one.
-LATIN_END = "\u0250"
-SPACE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: Characters that normalisation leaves as they are, that have one lower-case form and are no white space.
+SIMPLE = r"\x{21}-\x{7e}\x{a1}-\x{12f}\x{131}-\x{24f}"
+#: The matches of byte-level vocabularies in a piece of such characters and line feeds.
+BYTE_LEVEL_MATCHES = r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\n+\z|\n"
+SPACES = r"\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 #: A space with white space before it and white space or the end after it: cutting there changes how a run is read.
-UNSAFE = rf"{SPACE} (?:{SPACE}|\z)|\x{{00}}"
-
-#: A letter and one of these always fall into different matches of the vocabularies cut here.
-STOPS = (".", ",")
+UNSAFE = rf"[{SPACES}] (?:[{SPACES}]|\z)|\x{{00}}"
 
 Encoded = tuple[np.ndarray, np.ndarray]
 
@@ -32,9 +31,9 @@ class PieceEncoder:
     ``encode_pieces`` maps a list of strings to flat ids and their counts, ``encode_text``
     a whole text to its ids. With ``keep_space`` a piece begins with the space before it
     (byte-level vocabularies); texts in which a cut would change a run of white space are
-    encoded whole. Without it the tokenizer drops white space and any cut there is safe. A full stop or
-    comma after a letter is split off. The memory of pieces is bounded; dropping it changes no
-    result.
+    encoded whole. Without it the tokenizer drops white space and any cut there is safe. The
+    memory of pieces is bounded: when it is full, those that the texts at hand do not have are
+    dropped, which changes no result.
     """
 
     def __init__(self, encode_pieces: Callable[[list[str]], Encoded], encode_text: Callable[[str], np.ndarray], keep_space: bool, kept: int = CACHED_PIECES):
@@ -48,23 +47,20 @@ class PieceEncoder:
         self.starts = np.zeros(0, np.int64)
         self.counts = np.zeros(0, np.int64)
 
+    def _keep_only(self, pieces: list[str]) -> None:
+        numbers = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        counts = self.counts[numbers]
+        ids = self.ids[ragged_positions(self.starts[numbers], counts)]
+        self.forget()
+        self._add(pieces, ids, counts)
+
     def _numbers(self, pieces: list[str]) -> np.ndarray:
-        if len(self.known) + len(pieces) > self.kept:
-            self.forget()
-        known = self.known
-        fresh = [p for p in pieces if p not in known]
-        ended = [p for p in fresh if p[-1:] in STOPS and p[-2:-1].isalpha()]
-        parts = dict.fromkeys(p[:-1] for p in ended)
-        parts.update(dict.fromkeys(p[-1] for p in ended))
-        whole = [p for p in fresh if p[-1:] not in STOPS or not p[-2:-1].isalpha()]
-        whole += [p for p in parts.keys() - set(whole) if p not in known]
-        if whole:
-            self._add(whole, *self.encode_pieces(whole))
-        if ended:
-            pairs = np.fromiter((known[part] for p in ended for part in (p[:-1], p[-1])), np.int64, 2 * len(ended))
-            counts = self.counts[pairs]
-            self._add(ended, self.ids[ragged_positions(self.starts[pairs], counts)], counts[::2] + counts[1::2])
-        return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        fresh = [p for p in pieces if p not in self.known]
+        if len(self.known) + len(fresh) > self.kept:
+            self._keep_only([p for p in pieces if p in self.known])
+        if fresh:
+            self._add(fresh, *self.encode_pieces(fresh))
+        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
 
     def _add(self, pieces: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
@@ -120,7 +116,7 @@ def append_id(ids: np.ndarray, ends: np.ndarray, extra: int) -> Encoded:
 
 def _space_rule(config: dict) -> bool | None:
     """True if pieces keep their space, False if spaces vanish, None if cuts are not known to be safe."""
-    if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or any(c in t["content"] for c in (" ", *STOPS)) for t in config["added_tokens"]):
+    if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or any(c in t["content"] for c in (" ", "\n")) for t in config["added_tokens"]):
         return None
     before, splitter = config.get("normalizer"), config.get("pre_tokenizer") or {}
     if not before and splitter.get("type") == "ByteLevel" and splitter["use_regex"] and not splitter["add_prefix_space"]:
@@ -135,11 +131,12 @@ def _space_rule(config: dict) -> bool | None:
     return None
 
 
-def library_encoder(path: str) -> PieceEncoder:
+def library_encoder(path: str) -> PieceEncoder | WholeEncoder:
     """An encoder over a file of the tokenizers library, without added begin or end tokens.
 
-    A piece of Latin letters is one match of the vocabulary's pattern; it goes straight to the
-    library's model. All others go through the whole library, normaliser and all.
+    A piece of simple characters is cut into the matches of the vocabulary's own pattern, all pieces at once, and
+    each distinct match goes straight to the library's model. All other pieces go through the whole library,
+    normaliser and all.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -149,9 +146,6 @@ def library_encoder(path: str) -> PieceEncoder:
         config = json.load(file)
     rule = _space_rule(config)
 
-    def encode_text(text: str) -> np.ndarray:
-        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-
     def encode_each(texts: list[str]) -> Encoded:
         found = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         counts = np.fromiter(map(len, found), np.int64, len(found))
@@ -159,50 +153,58 @@ def library_encoder(path: str) -> PieceEncoder:
 
     if rule is None:
         return WholeEncoder(encode_each)
-    model, symbols = tokenizer.model, _byte_symbols()
-
-    def plain_word(piece: str) -> str | None:
-        """What the model gets for a piece that is one match of Latin letters, else None."""
-        word = piece[1:] if rule and piece[:1] == " " else piece
-        if not word.isalpha():
-            return None
-        if word.isascii():
-            return symbols[32] + word if len(word) < len(piece) else word if rule else word.lower()
-        if max(word) >= LATIN_END:
-            return None
-        if not rule:
-            piece = piece.lower()
-            if not piece.isalpha():
-                return None
-        return piece.encode().decode("latin-1").translate(symbols)
+    model, special = tokenizer.model, [t["content"] for t in config["added_tokens"]]
+    matches = BYTE_LEVEL_MATCHES if rule else config["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+    simple = rf"\A(?: ?[{SIMPLE}]|\n)[{SIMPLE}\n]*\z" if rule else rf"\A[{SIMPLE}]+\z"
 
-    def encode_pieces(pieces: list[str]) -> Encoded:
-        words = [plain_word(p) for p in pieces]
-        rest = [p for p, w in zip(pieces, words) if w is None]
-        numbers = {w: n for n, w in enumerate(dict.fromkeys(w for w in words if w is not None))}
+    def encode_matches(found: list[str]) -> Encoded:
         flat: list[int] = []
         ends = [0]
-        for word in numbers:
+        for word in _as_symbols(found):
             flat += [t.id for t in model.tokenize(word)]
             ends.append(len(flat))
-        ids, counts = np.array(flat, np.uint32), np.diff(ends)
-        if rest:
-            more, more_counts = encode_each(rest)
-            ids, counts = np.concatenate([ids, more]), np.concatenate([counts, more_counts])
-        places = iter(range(len(numbers), len(counts)))
-        used = np.fromiter((next(places) if w is None else numbers[w] for w in words), np.int64, len(words))
-        starts = np.cumsum(counts) - counts
-        return ids[ragged_positions(starts[used], counts[used])], counts[used]
-
-    return PieceEncoder(encode_pieces, encode_text, rule)
+        return np.array(flat, np.uint32), np.diff(ends)
 
-
-def _byte_symbols() -> dict[int, str]:
-    """The character that stands for each byte in byte-level vocabularies: printable ones for
-    themselves, the others, in order, for those from 256 on."""
+    def encode_pieces(pieces: list[str]) -> Encoded:
+        texts = pa.array(pieces, pa.string())
+        plain = pc.match_substring_regex(texts, simple).to_numpy(zero_copy_only=False)
+        if rule:  # a longer run of line feeds before a word is read as two matches
+            plain &= ~pc.match_substring_regex(texts, r"\n{3}[^\n]").to_numpy(zero_copy_only=False)
+        for content in special:
+            plain &= ~pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        texts = texts.filter(pa.array(plain))
+        if not rule:
+            texts = pc.utf8_lower(texts)
+        # Each match is followed by a separator, so the list of a piece ends with an empty string.
+        ends, coded = split_lists(pc.split_pattern(pc.replace_substring_regex(texts, matches, "\\0\x00"), "\x00"))
+        codes = np.delete(coded.indices.to_numpy(zero_copy_only=False), ends[1:] - 1)
+        ends -= np.arange(len(ends))
+        match_ids, match_counts = encode_matches(coded.dictionary.to_pylist())
+        sizes = match_counts[codes]
+        ids = match_ids[ragged_positions((np.cumsum(match_counts) - match_counts)[codes], sizes)]
+        counts = np.zeros(len(pieces), np.int64)
+        counts[plain] = np.diff(np.concatenate([[0], np.cumsum(sizes)])[ends])
+        if plain.all():
+            return ids, counts
+        others, counts[~plain] = encode_each(list(compress(pieces, ~plain)))
+        out = np.empty(int(counts.sum()), np.uint32)
+        from_matches = np.repeat(plain, counts)
+        out[from_matches], out[~from_matches] = ids, others
+        return out, counts
+
+    return PieceEncoder(encode_pieces, lambda text: encode_each([text])[0], rule)
+
+
+def _as_symbols(words: list[str]) -> list[str]:
+    """Each word with the characters that stand for its bytes in byte-level vocabularies: printable
+    ones for themselves, the others, in order, for those from 256 on."""
     shown = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
     hidden = [b for b in range(256) if b not in shown]
-    return {b: chr(256 + n) for n, b in enumerate(hidden)}
+    symbols = np.arange(256, dtype="<u4")
+    symbols[hidden] = 256 + np.arange(len(hidden))
+    symbols[0] = 0  # the separator
+    points = np.frombuffer("\x00".join(words).encode(), np.uint8)
+    return symbols[points].tobytes().decode("utf-32-le").split("\x00") if words else []
 
 
 class WholeEncoder:

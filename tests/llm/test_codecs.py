@@ -10,7 +10,7 @@ import tiktoken
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from rideframe.llm.encoding import append_id, encoder
+from rideframe.llm.encoding import append_id, encoder, library_encoder
 from rideframe.llm.merge_replay import MergeReplay, read_ranks, replay_encoder
 from rideframe.llm.packing import SumOfSquaresPacker
 from rideframe.llm.simple8b import decode_blocks, encode_blocks
@@ -143,3 +143,20 @@ def test_packing_takes_the_level_with_the_least_sum_of_squares():
         least = min(map(cost, choices))
         packer.add((0, 0, size, size, np.zeros(size, np.uint32)))
         assert (packer.levels[1:16] ** 2).sum() == least
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_equals_the_library_on_odd_texts(name):
+    """Whole texts of odd characters, contractions and runs of white space, with a memory that is often full."""
+    parts = ["a", "B", "foo", "'s", "'t", "'", "'LL", "\n", "\n\n", " ", "  ", "\t", "1", "23", "²", "½", "é", "İ", "ı", "ß", "Ÿ", "ǅ", "ɏ", "ɐ", "́", "日", "👍🏽"]
+    parts += [".", "!", ",", "#$", "-", "<|endoftext|>", "<|startoftext|>", "<|", " ", "\u0085", "​", " ", "\x00", "\x1c", "\x7f", "\xad", "ª", "_", "ſ", "\r\n", "K"]
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(4000)]
+    own, library = library_encoder(public_tokenizers.path(name)), Tokenizer.from_file(public_tokenizers.path(name))
+    own.kept = 300
+    for first in range(0, len(texts), 200):
+        part = texts[first : first + 200]
+        ids, ends = own.encode(pa.array(part))
+        wanted = [e.ids for e in library.encode_batch(part, add_special_tokens=False)]
+        assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == wanted
+        assert own.count(pa.array(part)).tolist() == list(map(len, wanted))
