@@ -8,9 +8,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from rideframe.llm.support import filled, ragged_positions, reach_workers, split_lists, split_words, text_slices
+from rideframe.session import stage
 
 WINDOW = 5
 
@@ -43,8 +45,9 @@ SCRIPT_BANDS = {
     "other": Band((0.3, 6.0), 0.95, 4.0, 0.60),
 }
 
-#: Cells of fewer texts say too little about what is usual; their texts have the declared band.
-LEAST_TEXTS = 100
+#: What the texts of the next wider kind weigh among those of a cell, and the declared band among those of all
+#: kinds, in texts: a cell of few texts follows these, one of many itself, at every size.
+WIDER_TEXTS = 50
 #: How many distances between the quartiles a text may lie below the median of its cell.
 REACH = 2.5
 #: Bins of the counted measures, per unit.
@@ -149,77 +152,109 @@ def _kinds(texts: pa.Array, langs: pa.Array) -> list[str]:
     return kinds
 
 
-def _base_failed(measures: dict[str, np.ndarray]) -> np.ndarray:
-    return (measures["n_words"] < 10) | (100 * measures["n_repeat_words"] > 20 * measures["n_words"])
+#: Columns of the measures; ``kind`` is the language or script whose band holds, ``length_class`` the
+#: doublings of the number of tokens, on which the measures depend.
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens", "n_byte_tokens")
+MEASURES = ", ".join(f"{n} long" for n in COUNTS) + ", token_bits double, kind string, length_class long"
 
 
-def _length_class(n_tokens: np.ndarray) -> np.ndarray:
-    """Doublings of the number of tokens, on which both measures depend."""
-    return np.floor(np.log2(np.maximum(1, n_tokens))).astype(np.int64)
+def _measure_columns(texts: pa.Array, langs: pa.Array, model_path: str) -> dict[str, pa.Array]:
+    found = measure_texts(texts, model_path)
+    length = np.floor(np.log2(np.maximum(1, found["n_tokens"]))).astype(np.int64)
+    columns = {n: pa.array(found[n].astype(np.int64)) for n in COUNTS}
+    return columns | {"token_bits": pa.array(found["token_bits"]), "kind": pa.array(_kinds(texts, langs), pa.string()), "length_class": pa.array(length)}
 
 
-#: Least characters per token and least token bits by kind of text and class of length.
-Limits = dict[tuple[str, int], tuple[float, float]]
+def _base_failed() -> Column:
+    return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
-def usual_limits(docs: DataFrame, model_path: str) -> Limits:
-    """Lower limits from all texts that pass the base rule, by language or script and by length.
+def _per_token() -> Column:
+    return F.col("word_chars") / F.greatest("n_tokens", F.lit(1))
 
-    Each task counts the values of its texts in bins of a thousandth, so that counts merge
-    exactly; the quartiles of the sums give the limits. Only the sums come to the driver.
-    """
-    reach_workers(docs.sparkSession)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, "text"):
-            found = measure_texts(part.column("text"), model_path)
-            rows = np.flatnonzero(~_base_failed(found))
-            kinds = np.array(_kinds(part.column("text"), part.column("lang")), object)[rows]
-            length = _length_class(found["n_tokens"][rows])
-            tokens = np.maximum(1, found["n_tokens"][rows])
-            for measure, values in enumerate((found["word_chars"][rows] / tokens, found["token_bits"][rows])):
-                columns = [pa.array(kinds, pa.string()), pa.array(length), pa.array(np.full(len(rows), measure)), pa.array(np.floor(values * BINS).astype(np.int64))]
-                counts = pa.table(columns, ["kind", "length", "measure", "bin"]).group_by(["kind", "length", "measure", "bin"]).aggregate([([], "count_all")])
-                yield from counts.select(["kind", "length", "measure", "bin", "count_all"]).rename_columns(["kind", "length", "measure", "bin", "n"]).to_batches()
-
-    source = docs.select(F.col("text").cast("string"), F.col("lang").cast("string"))
-    counted = source.mapInArrow(count, "kind string, length long, measure long, bin long, n long").groupBy("kind", "length", "measure", "bin").agg(F.sum("n").alias("n"))
-    cells: dict[tuple[str, int], list[list[tuple[int, int]]]] = {}
-    for row in counted.toArrow().to_pylist():
-        cells.setdefault((row["kind"], row["length"]), [[], []])[row["measure"]].append((row["bin"], row["n"]))
-    limits = {}
-    for cell, measures in cells.items():
-        found = []
-        for values in measures:
-            bins, uses = np.array(sorted(values)).T
-            below = np.cumsum(uses)
-            low, middle, high = (bins[np.searchsorted(below, part * below[-1])] for part in (0.25, 0.5, 0.75))
-            found.append(float(middle - REACH * max(1, high - low)) / BINS)
-        if below[-1] >= LEAST_TEXTS:
-            limits[cell] = found[0], found[1]
+def _band(kind: str) -> Band:
+    return LANGUAGE_BANDS.get(kind) or SCRIPT_BANDS[kind]
+
+
+def _script(kind: str) -> str:
+    return kind if kind in SCRIPT_BANDS else "latin"
+
+
+#: Uses of each bin.
+Counts = dict[int, float]
+
+
+def _shares(counts: Counts) -> Counts:
+    total = sum(counts.values())
+    return {b: n / total for b, n in counts.items()}
+
+
+def _mixed(counts: Counts, wider: Counts) -> Counts:
+    """Shares of a cell's bins, the wider cell among them as ``WIDER_TEXTS`` texts."""
+    total = sum(counts.values()) + WIDER_TEXTS
+    return {b: (counts.get(b, 0) + WIDER_TEXTS * wider.get(b, 0.0)) / total for b in counts.keys() | wider.keys()}
+
+
+def _least(shares: Counts) -> float:
+    """The median less ``REACH`` times the distance of the quartiles, in units of the measure."""
+    bins = np.array(sorted(shares))
+    below = np.cumsum([shares[b] for b in bins.tolist()])
+    low, middle, high = (bins[min(np.searchsorted(below, part - 1e-9), len(bins) - 1)] for part in (0.25, 0.5, 0.75))
+    return float(middle - REACH * max(1, high - low)) / BINS
+
+
+def usual_limits(measured: DataFrame) -> list[tuple]:
+    """kind, length_class, least characters per token, least token bits and their trust, from a table of measures.
+
+    All texts that pass the base rule are counted in bins of a thousandth, by kind and class of length, by the
+    engine; only these counts come to the driver, as many as there are bins and cells. The
+    counts of a language are mixed with those of its script, these with those of all
+    texts of the class; ``trust`` is what the result weighs against the declared band.
+    """
+    texts = measured.filter(~_base_failed())
+    measures = F.explode(F.array(F.struct(F.lit(0).alias("measure"), _per_token().alias("value")), F.struct(F.lit(1).alias("measure"), F.col("token_bits").alias("value"))))
+    values = texts.select("kind", "length_class", measures.alias("m")).select("kind", "length_class", "m.measure", F.floor(F.col("m.value") * BINS).alias("bin"))
+    cells: dict[tuple[str, int], list[Counts]] = {}
+    for row in values.groupBy("kind", "length_class", "measure", "bin").count().toArrow().to_pylist():
+        for name in {row["kind"], f"script {_script(row['kind'])}", "all"}:
+            counts = cells.setdefault((name, row["length_class"]), [{}, {}])[row["measure"]]
+            counts[row["bin"]] = counts.get(row["bin"], 0) + row["count"]
+    limits = []
+    for (kind, length), own in sorted(cells.items()):
+        if kind not in LANGUAGE_BANDS and kind not in SCRIPT_BANDS:
+            continue
+        least = []
+        for measure in (0, 1):
+            every = cells["all", length][measure]
+            shares = _mixed(cells[f"script {_script(kind)}", length][measure], _shares(every))
+            if kind in LANGUAGE_BANDS:
+                shares = _mixed(own[measure], shares)
+            least.append(_least(shares))
+        n = sum(cells["all", length][0].values())
+        limits.append((kind, length, *least, n / (n + WIDER_TEXTS)))
     return limits
 
 
-def judge_texts(texts: pa.Array, langs: pa.Array, model_path: str, limits: Limits | None = None) -> dict[str, np.ndarray]:
-    """The measures, ``base_failed`` and ``kept``; without limits the declared bands alone decide."""
-    out = measure_texts(texts, model_path)
-    kinds = _kinds(texts, langs)
-    bands = [LANGUAGE_BANDS.get(kind) or SCRIPT_BANDS[kind] for kind in kinds]
-    low, high, byte_share, least_bits, evenness = (
-        np.array([f(b) for b in bands], float)
-        for f in (lambda b: b.chars_per_token[0], lambda b: b.chars_per_token[1], lambda b: b.byte_share, lambda b: b.token_bits, lambda b: b.token_evenness)
-    )
-    tokens = np.maximum(1, out["n_tokens"])
-    per_token = out["word_chars"] / tokens
-    needed = np.minimum(least_bits, evenness * np.log2(tokens))
-    if limits:
-        own = [limits.get(cell, (-np.inf, -np.inf)) for cell in zip(kinds, _length_class(out["n_tokens"]).tolist())]
-        least_chars, usual_bits = np.array(own, float).reshape(-1, 2).T
-        low, needed = np.maximum(low, least_chars), np.maximum(needed, usual_bits)
-    out["base_failed"] = _base_failed(out)
-    good = (per_token >= low) & (per_token <= high) & (out["n_byte_tokens"] <= byte_share * tokens) & (out["token_bits"] >= needed)
-    out["kept"] = ~out["base_failed"] & good
-    return out
+def judged(measured: DataFrame, limits: list[tuple]) -> DataFrame:
+    """``measured`` with ``base_failed`` and ``kept`` by the declared bands and the limits of its own texts."""
+    names = "chars_low double, chars_high double, byte_share double, bits double, evenness double"
+    rows = []
+    for kind, length, least_chars, least_bits, trust in limits:
+        band = _band(kind)
+        rows.append((kind, length, least_chars, least_bits, trust, *band.chars_per_token, band.byte_share, band.token_bits, band.token_evenness))
+    table = measured.sparkSession.createDataFrame(rows, f"kind string, length_class long, least_chars double, least_bits double, trust double, {names}")
+    tokens = F.greatest("n_tokens", F.lit(1))
+    own_bits = F.least("bits", F.col("evenness") * F.log2(tokens))
+
+    def trusted(usual: str, declared: Column) -> Column:
+        return F.greatest(declared, F.col("trust") * F.col(usual) + (1 - F.col("trust")) * declared)
+
+    good = (_per_token() >= trusted("least_chars", F.col("chars_low"))) & (_per_token() <= F.col("chars_high"))
+    good = good & (F.col("n_byte_tokens") <= F.col("byte_share") * tokens) & (F.col("token_bits") >= trusted("least_bits", own_bits))
+    # A row per kind and class of length. A text of a cell without limits has failed the base rule.
+    joined = measured.join(F.broadcast(table), ["kind", "length_class"], "left")
+    return joined.select(measured["*"], _base_failed().alias("base_failed"), (~_base_failed() & F.coalesce(good, F.lit(False))).alias("kept"))
 
 
 def judge_quality(docs: DataFrame, model_path: str) -> DataFrame:
@@ -230,29 +265,39 @@ def judge_quality(docs: DataFrame, model_path: str) -> DataFrame:
     space; tokens are those of each word on its own. A text fails the base rule with fewer
     than ten words or with more than a fifth of its words in repeated five-word windows;
     ``kept`` also asks for the bands of its language, or of its main script where the language
-    is null or has none, and for the ``usual_limits`` of all texts of the table, which take a
-    pass of their own. A null text has no words and fails; null and repeated ids stay; further
-    columns are ignored; an empty table gives no rows. Only counts are shuffled.
+    is null or has none, and for the ``usual_limits`` of all texts of the table. Texts are measured once: the
+    measures are written, counted, and judged by expressions.
+
+    A null text has no words and fails; null and repeated ids stay; further columns are ignored; an empty table
+    gives no rows.
     """
-    limits = usual_limits(docs, model_path)
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_tokens", "n_byte_tokens", "token_bits")
+    reach_workers(docs.sparkSession)
 
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "text"):
-            found = judge_texts(part.column("text"), part.column("lang"), model_path, limits)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *[pa.array(found[n]) for n in names]], ["doc_id", *names])
+            yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), **_measure_columns(part.column("text"), part.column("lang"), model_path)})
 
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"))
-    counts = ", ".join(f"{n} long" for n in names[:5])
-    return source.mapInArrow(judge, f"doc_id long, {counts}, base_failed boolean, kept boolean, n_tokens long, n_byte_tokens long, token_bits double")
+    measured = stage(source.mapInArrow(measure, f"doc_id long, {MEASURES}"), "measures")
+    names = ("doc_id", *COUNTS[:5], "base_failed", "kept", *COUNTS[5:], "token_bits")
+    return judged(measured, usual_limits(measured)).select(*names)
 
 
 def drop_low_quality(docs: DataFrame, model_path: str) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, that the rules keep."""
-    limits = usual_limits(docs, model_path)
+    """The rows of ``docs``, all columns as they are and whatever their names, that the rules keep.
+
+    Null, empty and short texts go, as they fail the base rule; repeated rows stay or go
+    together; an empty table stays empty. Rows that pass the base rule are written with their measures, so
+    that texts are measured once.
+    """
+    reach_workers(docs.sparkSession)
+    columns = [F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["text"].cast("string").alias("text"), docs["lang"].cast("string").alias("lang")]
+    source = docs.select(*columns)
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "text"):
-            yield part.filter(pa.array(judge_texts(part.column("text"), part.column("lang"), model_path, limits)["kept"]))
+            yield pa.RecordBatch.from_pydict({"row": part.column("row"), **_measure_columns(part.column("text"), part.column("lang"), model_path)})
 
-    return docs.mapInArrow(keep, docs.schema)
+    measured = source.mapInArrow(measure, StructType([source.schema["row"], *StructType.fromDDL(MEASURES)]))
+    measured = stage(measured.filter(~_base_failed()), "measured-rows")
+    return judged(measured, usual_limits(measured)).filter("kept").select("row.*")

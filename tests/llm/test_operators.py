@@ -187,29 +187,62 @@ def piece_model():
     return sentencepiece.SentencePieceProcessor(model_file=PIECES)
 
 
-def verdict(text, lang, failed):
-    model = piece_model()
-    tokens = [t for w in re.findall(r"[^\x20\x09-\x0D]+", text or "") for t in model.encode(w)]
-    if failed or not tokens:
-        return False
-    band = fertility.LANGUAGE_BANDS.get(lang) or fertility.SCRIPT_BANDS["latin"]
-    shares = np.array(list(collections.Counter(tokens).values())) / len(tokens)
-    bits = float(-(shares * np.log2(shares)).sum())
-    chars = sum(map(len, re.findall(r"[^\x20\x09-\x0D]+", text))) / len(tokens)
-    return (
-        band.chars_per_token[0] <= chars <= band.chars_per_token[1]
-        and sum(map(model.is_byte, tokens)) <= band.byte_share * len(tokens)
-        and bits >= min(band.token_bits, band.token_evenness * np.log2(len(tokens))) - 1e-12
-    )
-
-
-def test_quality_query(spark):
-    langs = dict(duckdb.sql(f"select doc_id, lang from '{SF_DIR}/documents.parquet'").fetchall())
-    got = rows_by_id(QUERIES["op2_fertility"](spark, SF_DIR))
-    for doc, text in texts_of():
+def brute_verdicts(rows):
+    """base measures and verdict by id, for (id, text, lang) rows: declared bands and the limits of all the texts."""
+    model, found, counts = piece_model(), {}, collections.defaultdict(collections.Counter)
+    for doc, text, lang in rows:
         base = base_measures(text)
-        assert got[doc][:6] == base
-        assert got[doc][6] == verdict(text, langs[doc], base[5])
+        tokens = [t for w in re.findall(r"[^\x20\x09-\x0D]+", text or "") for t in model.encode(w)]
+        n = max(1, len(tokens))
+        shares = np.array(list(collections.Counter(tokens).values())) / n
+        chars, bits = base[1] / n, float(-(shares * np.log2(shares)).sum())
+        kind = lang if lang in fertility.LANGUAGE_BANDS else "latin"
+        length = int(np.log2(n))
+        found[doc] = base, kind, length, n, chars, bits, sum(map(model.is_byte, tokens)) / n
+        if not base[5]:
+            for measure, value in enumerate((chars, bits)):
+                for cell in ("all", "script", kind):
+                    counts[cell, length, measure][int(np.floor(value * 1000))] += 1
+
+    def mixed(own, wider):
+        total = sum(own.values()) + 50
+        return {b: (own[b] + 50 * wider.get(b, 0)) / total for b in own.keys() | wider.keys()}
+
+    def quantile(shares, part):
+        run = 0.0
+        for b in sorted(shares):
+            run += shares[b]
+            if run >= part - 1e-9:
+                return b
+
+    verdicts = {}
+    for doc, (base, kind, length, n, chars, bits, byte_share) in found.items():
+        band = fertility.LANGUAGE_BANDS.get(kind) or fertility.SCRIPT_BANDS["latin"]
+        low, needed = band.chars_per_token[0], min(band.token_bits, band.token_evenness * np.log2(n))
+        kept = not base[5] and chars <= band.chars_per_token[1] and byte_share <= band.byte_share
+        if kept:
+            every = counts["all", length, 0].total()
+            trust = every / (every + 50)
+            for measure, (value, declared) in enumerate(((chars, low), (bits, needed))):
+                whole = counts["all", length, measure]
+                shares = mixed(counts["script", length, measure], {b: c / whole.total() for b, c in whole.items()})
+                if kind != "latin":
+                    shares = mixed(counts[kind, length, measure], shares)
+                q1, q2, q3 = (quantile(shares, p) for p in (0.25, 0.5, 0.75))
+                usual = (q2 - 2.5 * max(1, q3 - q1)) / 1000
+                kept &= value >= max(declared, trust * usual + (1 - trust) * declared) - 1e-12
+        verdicts[doc] = base, bool(kept)
+    return verdicts
+
+
+@pytest.mark.parametrize("folder", [SF_DIR, "/root/testdata/sf0.01"])
+def test_quality_query(spark, folder):
+    rows = duckdb.sql(f"select doc_id, text, lang from '{folder}/documents.parquet'").fetchall()
+    got = rows_by_id(QUERIES["op2_fertility"](spark, folder))
+    wanted = brute_verdicts(rows)
+    assert {i: (tuple(r[:6]), r[6]) for i, r in got.items()} == wanted
+    rejected = [not kept and not base[5] for base, kept in wanted.values()]
+    assert sum(rejected) >= len(rows) // 100 or len(rows) < 500  # the limits act where there are texts enough
 
 
 def test_quality_of_odd_rows(spark):
@@ -223,17 +256,19 @@ def test_quality_of_odd_rows(spark):
     assert kept.columns == odd_docs(spark).columns
     good = {r.doc_id for r in rows if r.kept}
     assert {r.doc_id for r in kept.collect()} == good
+    clash = odd_docs(spark).withColumnRenamed("ids", "kind").withColumn("row", F.lit(1)).withColumn("n_words", F.lit("x"))
+    kept = fertility.drop_low_quality(clash, PIECES)
+    assert kept.columns == clash.columns and {r.doc_id for r in kept.collect()} == good
 
 
-def test_bands_reject_noise_and_keep_prose():
-    import pyarrow as pa
-
+def test_bands_reject_noise_and_keep_prose(spark):
     prose = "The river rose after three days of rain, and by noon the lower road was closed to every cart from the mill."
     noise = "x7 q9z kk0 #4f 9a0b 7e7f aa01 b2c3 d4e5 f607 1829 3a4b 5c6d 7e8f 90a1 b2c3 d5e6 f708 192a 3b4c"
     dull = " ".join(["la"] * 3 + ["lo"] * 2) + " " + " ".join(f"la lo{'o' * (i % 2)}" for i in range(60))
     foreign = "Река поднялась после трёх дней дождя, и к полудню нижняя дорога была закрыта для всех телег с мельницы."
-    found = fertility.judge_texts(pa.array([prose, noise, dull, foreign]), pa.array(["en", "en", "en", None]), PIECES)
-    assert found["kept"].tolist() == [True, False, False, True]
+    docs = spark.createDataFrame([*enumerate([prose, noise, dull, foreign])], "doc_id int, text string").withColumn("lang", F.when(F.col("doc_id") < 3, "en"))
+    found = {r.doc_id: r.kept for r in fertility.judge_quality(docs, PIECES).collect()}
+    assert found == {0: True, 1: False, 2: False, 3: True}
 
 
 # --- toxicity -------------------------------------------------------------------------
@@ -483,7 +518,8 @@ def test_pipeline_against_its_stages_by_brute_force(spark):
     texts = {r.doc_id: (r.text, r.lang) for r in documents.collect()}
     toxic = {r.doc_id for r in toxicity.score_toxicity(documents, model).collect() if r.score >= 0.7}
     left = {i: t for i, t in texts.items() if i not in toxic}
-    left = {i: t for i, t in left.items() if verdict(*t, base_measures(t[0])[5])}
+    good = brute_verdicts([(i, *t) for i, t in left.items()])
+    left = {i: t for i, t in left.items() if good[i][1]}
     sets = {i: shingle_set(t[0]) for i, t in left.items()}
     ids = sorted(sets)
     pairs = [(a, b) for n, a in enumerate(ids) for b in ids[n + 1 :] if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
