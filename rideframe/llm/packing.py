@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame, functions as F
 from rideframe.llm.encoding import append_id, encoder
 from rideframe.llm.support import binary_array, reach_workers, text_slices
 
+#: Open windows that a packer holds at most.
+MAX_OPEN = 4096
 #: doc, position in the document, length, tokens of the document, ids.
 Piece = tuple[object, int, int, int, np.ndarray]
 SEQUENCES_PER_TASK = 1 << 32
-MAX_OPEN = 4096
 
 PIECE_SCHEMA = pa.schema(
     [
@@ -35,8 +36,9 @@ class SumOfSquaresPacker:
 
     ``levels[h]`` counts open windows with ``h`` tokens. A piece of ``s`` tokens goes to the
     level ``h`` (or to a new window) that minimises the sum of the squared counts afterwards;
-    the fullest such level wins a tie. Full windows leave at once. ``flush`` cuts the pieces of
-    the emptiest open windows to fill the others, so at most one window stays partly filled.
+    the fullest such level wins a tie. Full windows leave at once. With more than ``max_open``
+    open windows the fullest one is filled up from the emptiest one and leaves, which may cut a
+    piece. ``flush`` does so until no window is left, so one window at most, the last, stays partly filled.
     """
 
     def __init__(self, window: int, first_id: int = 0, max_open: int = MAX_OPEN):
@@ -67,9 +69,7 @@ class SumOfSquaresPacker:
         level = self._best_level(size) if size < self.window else 0
         pieces: list[Piece] = []
         if level:
-            pieces = self.open[level].pop()
-            self.levels[level] -= 1
-            self.n_open -= 1
+            pieces = self._take(level)
         pieces.append(piece)
         if level + size == self.window:
             self._close(pieces)
@@ -78,7 +78,32 @@ class SumOfSquaresPacker:
         self.levels[level + size] += 1
         self.n_open += 1
         if self.n_open > self.max_open:
-            self.flush()
+            self._fill_fullest()
+
+    def _take(self, level: int) -> list[Piece]:
+        self.levels[level] -= 1
+        self.n_open -= 1
+        return self.open[level].pop()
+
+    def _fill_fullest(self) -> None:
+        used = np.flatnonzero(self.levels)
+        full, giving = self._take(int(used[-1])), self._take(int(used[np.flatnonzero(self.levels[used])[0]]))
+        room = self.window - int(used[-1])
+        while room and giving:
+            doc, start, length, total, ids = giving.pop()
+            taken = min(room, length)
+            full.append((doc, start + length - taken, taken, total, ids[length - taken :]))
+            if taken < length:
+                giving.append((doc, start, length - taken, total, ids[: length - taken]))
+            room -= taken
+        for pieces in (full, giving):
+            level = sum(p[2] for p in pieces)
+            if level == self.window:
+                self._close(pieces)
+            elif level:
+                self.open.setdefault(level, []).append(pieces)
+                self.levels[level] += 1
+                self.n_open += 1
 
     def add_document(self, doc, ids: np.ndarray) -> None:
         """Whole windows first, then the rest by the rule above."""
@@ -87,22 +112,10 @@ class SumOfSquaresPacker:
             self.add((doc, start, len(part), len(ids), part))
 
     def flush(self) -> None:
-        windows = [pieces for level in sorted(self.open, reverse=True) for pieces in self.open[level]]
-        self.open, self.n_open = {}, 0
-        self.levels[:] = 0
-        while windows:
-            pieces = windows.pop(0)
-            room = self.window - sum(p[2] for p in pieces)
-            while room and windows:
-                doc, start, length, total, ids = windows[-1].pop()
-                taken = min(room, length)
-                pieces.append((doc, start + length - taken, taken, total, ids[length - taken :]))
-                if taken < length:
-                    windows[-1].append((doc, start, length - taken, total, ids[: length - taken]))
-                if not windows[-1]:
-                    windows.pop()
-                room -= taken
-            self._close(pieces)
+        while self.n_open > 1:
+            self._fill_fullest()
+        if self.n_open:
+            self._close(self._take(int(np.flatnonzero(self.levels)[0])))
 
     def take(self) -> list[tuple[int, int, Piece]]:
         done, self.closed = self.closed, []
@@ -119,13 +132,13 @@ def _rows(placed: list[tuple[int, int, Piece]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, schema=PIECE_SCHEMA)
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = 2048, end_id: int = 1, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = 2048, end_id: int = 1, id_column: str = "doc_id", text_column: str = "text", max_open: int = MAX_OPEN) -> DataFrame:
     """Pack the token ids of all documents into windows of ``window`` tokens.
 
     Returns one row per piece: doc_id, start, length, ids (little-endian unsigned 32-bit),
     doc_tokens, sequence_id, offset. Every id of a document, and ``end_id`` after it, lies in
     exactly one piece. Each task packs its own part of the input online, without a shuffle,
-    holds at most 4096 open windows and leaves at most one window partly filled. A sequence id
+    holds at most ``max_open`` open windows and leaves at most one window partly filled. A sequence id
     is the number of the task times 2^32 plus a count. A null or empty text is its end id
     alone; a null id stays null, repeated rows are packed each, further columns are ignored,
     an empty table gives no rows.
@@ -134,7 +147,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = 2048, end
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_path)
-        packer = SumOfSquaresPacker(window, TaskContext.get().partitionId() * SEQUENCES_PER_TASK)
+        packer = SumOfSquaresPacker(window, TaskContext.get().partitionId() * SEQUENCES_PER_TASK, max_open)
         for part in text_slices(batches, "text"):
             ids, ends = append_id(*encode.encode(part.column("text")), end_id)
             for row, doc in enumerate(part.column("doc_id").to_pylist()):
@@ -145,7 +158,6 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = 2048, end
         if packer.closed:
             yield _rows(packer.take())
         encode.forget()
-        pa.default_memory_pool().release_unused()
 
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     return source.mapInArrow(pack, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")

@@ -8,16 +8,23 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rideframe.llm.support import filled, ragged_positions, reach_workers, split_words, text_slices
+from rideframe.session import stage
 
 #: Bound of the training sample: at most so many labelled documents of each class.
 ROWS_PER_CLASS = 4000
+#: Bound of what the sample takes on the driver; documents beyond it, in the order of the sample, are left out.
+SAMPLE_BYTES = 256 << 20
 #: N-grams take many times the memory of their text.
 SLICE_BYTES = 4 << 20
 
 
+#: Holds bucket numbers of up to 16 bits.
+BUCKET_TYPE = "<u2"
+
+
 @dataclass(frozen=True)
 class Settings:
     bucket_bits: int = 16
@@ -33,6 +40,10 @@ class Settings:
     gain: float = 60.0
     seed: int = 7
 
+    def __post_init__(self):
+        if not 1 <= self.bucket_bits <= 16:
+            raise ValueError("bucket_bits must be 1 to 16")
+
 
 @dataclass(frozen=True)
 class ToxicityModel:
@@ -109,7 +120,9 @@ def fit(features: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, setti
     class_weight = len(labels) / (2 * np.bincount(labels, minlength=2))
     # An n-gram counts by n / (n + shrinkage), n being the sampled documents that hold it, so rare
     # ones are learnt more slowly, but none is left out at any size of the sample.
-    held = np.bincount(np.concatenate([b for b, _ in features]), minlength=size)
+    held = np.zeros(size)
+    for buckets, _ in features:
+        held[buckets] += 1
     trust = held / (held + settings.shrinkage)
     # A small sample is gone through more often, or its few steps would leave the model as it began.
     epochs = max(settings.epochs, -(-settings.least_steps // -(-len(labels) // settings.batch)))
@@ -161,12 +174,14 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), rows_per_class: int = ROWS_PER_CLASS) -> ToxicityModel:
+def train_toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), rows_per_class: int = ROWS_PER_CLASS, sample_bytes: int = SAMPLE_BYTES) -> ToxicityModel:
     """Fit the model on labelled documents that are not held out.
 
     The sample is bounded: of each class the ``rows_per_class`` documents with the smallest
-    hash of their id. Only their n-gram shares come to the driver. Labels other than 0 and 1
-    are ignored; a document with several labels has the largest; ids without a document too.
+    hash of their id, and of both together, in that order, as many as take ``sample_bytes``. Only their
+    n-gram shares come to the driver. Labels other than 0 and 1 are ignored, and ids
+    without a document; an id with several labels has the largest, one with several texts the first of
+    them in the order of their bytes; a null text is empty.
     """
     spark = docs.sparkSession
     reach_workers(spark)
@@ -175,7 +190,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Sett
     hashed = F.xxhash64(F.col("doc_id"))
     parts = [usable.filter(F.col("toxic") == kind).orderBy(hashed, "doc_id").limit(rows_per_class) for kind in (0, 1)]
     sample = F.broadcast(parts[0].unionAll(parts[1]))
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(sample, "doc_id")
+    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(sample, "doc_id")
+    texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, "text", SLICE_BYTES):
@@ -183,15 +199,26 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Sett
             columns = [
                 part.column("doc_id"),
                 part.column("toxic"),
-                pa.array([b for b, _ in found], pa.list_(pa.int32())),
-                pa.array([w for _, w in found], pa.list_(pa.float32())),
+                pa.array([b.astype(BUCKET_TYPE).tobytes() for b, _ in found], pa.binary()),
+                pa.array([w.astype("<f4").tobytes() for _, w in found], pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "toxic", "buckets", "shares"])
 
-    rows = texts.mapInArrow(features, "doc_id long, toxic int, buckets array<int>, shares array<float>").toArrow().sort_by("doc_id")
-    buckets, shares = (rows.column(name).combine_chunks() for name in ("buckets", "shares"))
-    sample_features = [(buckets[i].values.to_numpy(), shares[i].values.to_numpy()) for i in range(len(rows))]
-    return fit(sample_features, rows.column("toxic").to_numpy().astype(np.int64), settings)
+    found = stage(texts.mapInArrow(features, "doc_id long, toxic int, buckets binary, shares binary"), "toxicity-sample")
+    # Some thousand rows, so one task may order them.
+    upto = F.sum(F.length("buckets") + F.length("shares")).over(Window.orderBy(hashed, "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = found.withColumn("upto", upto).filter(F.col("upto") <= sample_bytes).drop("upto").toArrow()
+    held = [pair for batch in rows.to_batches() for pair in zip(_views(batch.column("buckets"), BUCKET_TYPE), _views(batch.column("shares"), "<f4"))]
+    order = np.argsort(rows.column("doc_id").to_numpy(), kind="stable")
+    return fit([held[i] for i in order.tolist()], rows.column("toxic").to_numpy()[order].astype(np.int64), settings)
+
+
+def _views(values: pa.Array, kind: str) -> list[np.ndarray]:
+    """The numbers in each value of a binary array, without a copy."""
+    _, offsets, data = values.buffers()
+    ends = np.frombuffer(offsets, np.int32, len(values) + 1, 4 * values.offset).tolist()
+    raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+    return [raw[a:b].view(kind) for a, b in zip(ends[:-1], ends[1:])]
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
@@ -212,7 +239,11 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose score is below ``threshold``."""
+    """The rows of ``docs``, all columns as they are and whatever their names, whose score is below ``threshold``.
+
+    Null and empty texts have the score of the bias, so they all stay or all go; repeated rows
+    stay or go together; an empty table stays empty.
+    """
     reach_workers(docs.sparkSession)
     weights, bias, settings = model.gram_weights(), float(model.bias[1] - model.bias[0]), model.settings
 
