@@ -33,7 +33,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each part holds at most ``limit`` bytes of text, or one row."""
+    """Cut batches so that each part holds at most ``limit`` bytes of text, or one row.
+
+    After the last part the memory that Arrow holds unused goes back, as a worker lives on.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -45,6 +48,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLI
             last = max(first + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(first, last - first)
             first = last
+    pa.default_memory_pool().release_unused()
 
 
 def filled(texts: pa.Array) -> pa.Array:
