@@ -79,6 +79,15 @@ def read_fingerprint(text: Column) -> Column:
     return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ","))
 
 
+def packed(sketch: Column) -> Column:
+    """The sketch as bytes, eight for each hash, to be moved; ``unpacked`` undoes it."""
+    return F.unhex(F.array_join(sketch, ""))
+
+
+def unpacked(sketch: Column) -> Column:
+    return F.regexp_extract_all(F.lower(F.hex(sketch)), F.lit(f".{{{DIGITS}}}"), F.lit(0))
+
+
 def next_keys(keys: DataFrame, ranges: int) -> DataFrame:
     """The key after each key in descending order of known, id and tie, the first one after the last.
 
@@ -135,13 +144,13 @@ def fingerprint_documents(docs: DataFrame, scale: int = SCALE) -> DataFrame:
         F.col("next_known").alias("known"), F.col("next_id").alias("id"), F.col("next_tie").alias("tie"),
         F.struct("known", "id", "tie").alias("asker"), F.floor(F.col("n_chars") / 3).cast("int").alias("wanted"),
     )
-    held = with_sketch(keyed, "text", "sketch", scale)
+    held = with_sketch(keyed, "text", "sketch", scale).withColumn("sketch", packed(F.col("sketch")))
     unique = held.groupBy(*KEY).agg(F.first(F.struct("text", "sketch")).alias("doc")).select(*KEY, "doc.text", "doc.sketch")
     answers = unique.join(asks.hint("merge"), KEY).select("asker.*", F.substring("text", F.lit(1), F.col("wanted")).alias("head"), F.col("sketch").alias("next_sketch"))
     both = unique.join(answers.hint("merge"), KEY)
     n_chars = F.length("text")
     edited = F.concat(F.substring("text", F.lit(1), n_chars - F.floor(n_chars / 3).cast("int")), F.col("head"))
-    both = both.select(*KEY, n_chars.cast("long").alias("n_chars"), edited.alias("edited"), "sketch", "next_sketch")
+    both = both.select(*KEY, n_chars.cast("long").alias("n_chars"), edited.alias("edited"), *[unpacked(F.col(s)).alias(s) for s in ("sketch", "next_sketch")])
     both = with_sketch(both, "edited", "edited_sketch", scale)
     found = keyed.select(*KEY).join(both.hint("merge"), KEY)
     return found.select(
