@@ -26,8 +26,14 @@ from rideframe.spec import PRICE_CLASS_COLUMNS
 # --- price classes ----------------------------------------------------------
 
 
-def price_features_sql(service: str, distinct_fees: bool = False, gap: int = 0) -> str:
-    """Common tables up to ``price_rows``: clean trips of a service with all price features."""
+def years_sql(first_year: int, last_year: int | None) -> str:
+    upto = "" if last_year is None else f" AND {{0}} < '{last_year + 1}-01-01'::TIMESTAMP"
+    within = f"{{0}} >= '{first_year}-01-01'::TIMESTAMP{upto}"
+    return " AND ".join(within.format(column) for column in ("pickup_datetime", "dropoff_datetime"))
+
+
+def price_features_sql(service: str, distinct_fees: bool = False, gap: int = 0, years: str = "true") -> str:
+    """Common tables up to ``price_rows``: clean trips of a service with all price features, of all years unless a condition is given."""
     fees = ["extra", "mta_tax", "improvement_surcharge", "congestion_surcharge"]
     if service == "yellow":
         fees.append("airport_fee")
@@ -56,8 +62,7 @@ def price_features_sql(service: str, distinct_fees: bool = False, gap: int = 0)
   WHERE service_type = '{service}' AND passenger_count >= 1 AND trip_distance > 0
     AND (ratecode_id BETWEEN 1 AND 6 OR ratecode_id = 99) AND payment_type BETWEEN 1 AND 6
     AND fare_amount > 0 AND tolls_amount >= 0 AND tolls_amount < 200 AND {in_range}
-    AND year(pickup_datetime) BETWEEN {fx.FIRST_YEAR} AND {fx.LAST_YEAR}
-    AND year(dropoff_datetime) BETWEEN {fx.FIRST_YEAR} AND {fx.LAST_YEAR}
+    AND {years}
     AND dropoff_datetime > pickup_datetime
 ), price_zones AS (
   SELECT *, CAST({overnight} AS DOUBLE) AS overnight_duration FROM price_clean
@@ -94,7 +99,7 @@ def class_averages_sql(keys: str, source: str = "price_rows") -> str:
 
 def price_rows(spark, sf_dir, service="yellow"):
     raw = fx.raw_trips(spark, sf_dir, service)
-    trips = price_plan.clean_price_trips(raw, service, fx.FIRST_YEAR, fx.LAST_YEAR)
+    trips = price_plan.clean_price_trips(raw, service, *fx.ALL_YEARS)
     trips = price_plan.label_price_features(price_plan.with_price_features(trips))
     return trips.withColumn("payment_type", F.col("payment_type").cast("double"))
 

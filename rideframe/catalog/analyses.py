@@ -19,6 +19,7 @@ from rideframe.catalog.aggregates import (
     class_averages_sql,
     nudged,
     price_features_sql,
+    years_sql,
     profile_sql,
     rounded,
     tip_by_feature_sql,
@@ -52,16 +53,16 @@ def deviation_sql(rows: str, keys: str) -> str:
 )"""
 
 
-def price_anomaly_sql(service: str, distinct_fees: bool = False, gap: int = 0) -> str:
+def price_anomaly_sql(service: str, distinct_fees: bool = False, gap: int = 0, years: str = "true") -> str:
     return on_trips(
         profile_sql("deviation_labels", list(PRICE_CLASS_COLUMNS), "d_label", "t_label"),
-        price_features_sql(service, distinct_fees, gap),
+        price_features_sql(service, distinct_fees, gap, years),
         class_averages_sql(PRICE_KEYS_SQL),
         deviation_sql("price_rows", PRICE_KEYS_SQL),
     )
 
 
-@query("price_anomaly", union_sql(price_anomaly_sql))
+@query("price_anomaly", union_sql(lambda s: price_anomaly_sql(s, years=years_sql(fx.FIRST_YEAR, fx.LAST_YEAR))))
 def price_anomaly(spark, sf_dir):
     raw = fx.both_services(spark, sf_dir)
     return per_service(
@@ -71,16 +72,15 @@ def price_anomaly(spark, sf_dir):
     )
 
 
-@query("price_anomaly_literal", union_sql(lambda s: price_anomaly_sql(s, True, 1)))
+@query("price_anomaly_literal", union_sql(lambda s: price_anomaly_sql(s, True, 1, years_sql(fx.FIRST_YEAR, None))))
 def price_anomaly_literal(spark, sf_dir):
-    """Equal fees count once and the overnight zone ends at 23:59:59."""
+    """Equal fees count once and the overnight zone ends at 23:59:59; all years from the first on."""
     raw = fx.both_services(spark, sf_dir)
     return per_service(
         lambda service: price_plan.price_anomaly(
             raw[service],
             service,
             fx.FIRST_YEAR,
-            fx.LAST_YEAR,
             distinct_fees=True,
             midnight_gap_s=1,
         )
@@ -374,7 +374,7 @@ ranges AS (
 def one_profile(spark, sf_dir, service="yellow"):
     """The written profile of a service, which the report tables read several times."""
     report = price_plan.price_anomaly(
-        fx.raw_trips(spark, sf_dir, service), service, fx.FIRST_YEAR, fx.LAST_YEAR
+        fx.raw_trips(spark, sf_dir, service), service, *fx.ALL_YEARS
     )
     path = new_shared_path(spark, f"price-anomaly-{service}")
     write_report(report, path)

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from rideframe.session import new_shared_path, path_exists
 from rideframe.spec import SERVICES
 
+#: The window of the query that has one; all other queries cover every year.
 FIRST_YEAR, LAST_YEAR = 1996, 2001
+ALL_YEARS = (1, None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

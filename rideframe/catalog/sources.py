@@ -5,45 +5,71 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rideframe.catalog import fixtures as fx
-from rideframe.catalog.registry import on_trips, on_weather, query
+from rideframe.catalog.registry import on_trips, on_weather, per_service, query, union_sql
 from rideframe.session import new_shared_path
 from rideframe.sources import reports, trips as trip_sources, weather as weather_sources
 from rideframe.spec import SERVICES
 
 RAW_COLUMNS = """
-  vendor_id AS VendorID, pickup_datetime AS {p}_pickup_datetime, dropoff_datetime AS {p}_dropoff_datetime,
+  vendor_id AS VendorID, pickup_datetime, dropoff_datetime,
   passenger_count, trip_distance, ratecode_id AS RatecodeID, store_and_fwd_flag, payment_type, fare_amount,
   extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge, total_amount, congestion_surcharge"""
 
 
+def without_prefix(df, service):
+    prefix = {"yellow": "tpep_", "green": "lpep_"}[service]
+    return df.select(*[F.col(c).alias(c.removeprefix(prefix)) for c in df.columns])
+
+
+def alike(df, service):
+    """Times without the prefix of the service; the airport fee, which only yellow trips have, is null in green ones."""
+    df = without_prefix(df, service).drop("ehail_fee")
+    if "airport_fee" in (c.lower() for c in df.columns):
+        return df.withColumnRenamed("Airport_fee", "airport_fee")
+    return df.withColumn("airport_fee", F.lit(None).cast("double"))
+
+
+def airport_fee_sql(service):
+    return "airport_fee" if service == "yellow" else "CAST(NULL AS DOUBLE) AS airport_fee"
+
+
 @query(
     "scan_trips",
-    on_trips(
-        f"SELECT {RAW_COLUMNS.format(p='tpep')}, airport_fee AS Airport_fee"
-        " FROM trips WHERE service_type = 'yellow'"
+    union_sql(
+        lambda s: on_trips(
+            f"SELECT {RAW_COLUMNS}, {airport_fee_sql(s)} FROM trips WHERE service_type = '{s}'"
+        )
     ),
 )
 def scan_trips(spark, sf_dir):
-    path = new_shared_path(spark, "yellow")
-    fx.raw_trips(spark, sf_dir, "yellow").write.parquet(path)
-    return trip_sources.scan_trips(spark, path)
+    def scan(service):
+        path = new_shared_path(spark, service)
+        fx.raw_trips(spark, sf_dir, service).write.parquet(path)
+        return alike(trip_sources.scan_trips(spark, path), service)
+
+    return per_service(scan)
 
 
 @query(
     "scan_trips_typed",
-    on_trips(
-        """SELECT pickup_datetime AS lpep_pickup_datetime, dropoff_datetime AS lpep_dropoff_datetime,
-        vendor_id AS VendorID, fare_amount, tip_amount, payment_type, trip_distance, total_amount
-        FROM trips WHERE service_type = 'green'"""
+    union_sql(
+        lambda s: on_trips(
+            f"""SELECT pickup_datetime, dropoff_datetime, vendor_id AS VendorID, fare_amount, tip_amount,
+            payment_type, trip_distance, total_amount FROM trips WHERE service_type = '{s}'"""
+        )
     ),
 )
 def scan_trips_typed(spark, sf_dir):
     """Files lie in sub-folders of different depth."""
-    path = new_shared_path(spark, "green")
-    raw = fx.raw_trips(spark, sf_dir, "green")
-    raw.filter("payment_type <= 3").write.parquet(f"{path}/first")
-    raw.filter("payment_type > 3").write.parquet(f"{path}/second/deeper")
-    return trip_sources.scan_trips_typed(spark, path, "green")
+
+    def scan(service):
+        path = new_shared_path(spark, f"{service}-typed")
+        raw = fx.raw_trips(spark, sf_dir, service)
+        raw.filter("payment_type <= 3").write.parquet(f"{path}/first")
+        raw.filter("payment_type > 3").write.parquet(f"{path}/second/deeper")
+        return without_prefix(trip_sources.scan_trips_typed(spark, path, service), service)
+
+    return per_service(scan)
 
 
 @query(
@@ -88,20 +114,27 @@ def wmo_lookup(spark, sf_dir):
 
 @query(
     "normalize_columns",
-    on_trips(
-        """SELECT pickup_datetime AS lpep_pickup_datetime, dropoff_datetime AS lpep_dropoff_datetime,
-        passenger_count, trip_distance, ratecode_id AS ratecodeid, store_and_fwd_flag, payment_type,
-        fare_amount, extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge, total_amount,
-        congestion_surcharge FROM trips WHERE service_type = 'green'"""
+    union_sql(
+        lambda s: on_trips(
+            f"""SELECT pickup_datetime, dropoff_datetime,
+            passenger_count, trip_distance, ratecode_id AS ratecodeid, store_and_fwd_flag, payment_type,
+            fare_amount, extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge, total_amount,
+            congestion_surcharge, {airport_fee_sql(s)} FROM trips WHERE service_type = '{s}'"""
+        )
     ),
 )
 def normalize_columns(spark, sf_dir):
-    return trip_sources.normalize_columns(fx.raw_trips(spark, sf_dir, "green"))
+    return per_service(lambda s: alike(trip_sources.normalize_columns(fx.raw_trips(spark, sf_dir, s)), s))
 
 
-@query("canonical_trips", on_trips("SELECT * FROM trips WHERE service_type = 'yellow'"))
+@query(
+    "canonical_trips",
+    on_trips("SELECT * REPLACE (CASE WHEN service_type = 'yellow' THEN airport_fee END AS airport_fee) FROM trips"),
+)
 def canonical_trips(spark, sf_dir):
-    return trip_sources.canonical_trips(fx.raw_trips(spark, sf_dir, "yellow"), "yellow")
+    """Green trips have no airport fee, so it is null."""
+    yellow, green = (trip_sources.canonical_trips(df, s) for s, df in fx.both_services(spark, sf_dir).items())
+    return yellow.unionByName(green, allowMissingColumns=True)
 
 
 @query(

@@ -169,3 +169,17 @@ def test_staged_tables_can_be_dropped(spark):
     drop_stages(spark)
     assert not path_exists(spark, folder)
     assert shuffle_partitions_for(10**15, 8, most=1000) == 1000
+
+
+def test_price_rows_of_every_year(spark):
+    """The class and profile queries drop no trip for its year; the window of price_anomaly does."""
+    raw = fx.raw_trips(spark, "/root/testdata/sf0.001", "yellow")
+    good = price_plan.clean_price_trips(raw, "yellow", *fx.ALL_YEARS).limit(1)
+    one = raw.join(good.selectExpr("pickup_datetime AS tpep_pickup_datetime", "dropoff_datetime AS tpep_dropoff_datetime"), ["tpep_pickup_datetime", "tpep_dropoff_datetime"], "left_semi").limit(1)
+    for year, inside in ((1992, False), (1996, True), (2030, False)):
+        moved = one.withColumns(
+            {"tpep_pickup_datetime": F.lit(dt.datetime(year, 3, 4, 10)).cast("timestamp_ntz"), "tpep_dropoff_datetime": F.lit(dt.datetime(year, 3, 4, 11)).cast("timestamp_ntz")}
+        )
+        assert price_plan.clean_price_trips(moved, "yellow", *fx.ALL_YEARS).count() == 1
+        assert price_plan.clean_price_trips(moved, "yellow", fx.FIRST_YEAR, fx.LAST_YEAR).count() == int(inside)
+        assert price_plan.clean_price_trips(moved, "yellow", fx.FIRST_YEAR, None).count() == int(year >= fx.FIRST_YEAR)
