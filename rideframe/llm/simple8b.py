@@ -43,26 +43,22 @@ def encode_blocks(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, n
         return np.zeros(0, np.uint64), np.zeros(1, np.int64)
     grid = np.zeros(n_blocks * block, np.uint64)
     grid[:n] = values
-    bits = _bits(grid).reshape(n_blocks, block)
+    # widest[b, i]: most bits of the next ``count`` values from value i of block b on; none past its end
+    widest = _bits(grid).astype(np.uint8).reshape(n_blocks, block)
     fill = np.full(n_blocks, block, np.int64)
     fill[-1] = n - (n_blocks - 1) * block
     # choice[b, i]: the selector of a word that begins at value i of block b
     choice = np.zeros((n_blocks, block), np.int8)
-    undecided = np.ones((n_blocks, block), bool)
-    column = np.arange(block, dtype=np.int16)
-    beyond = np.int16(block + 240)
-    for selector in range(1, 16):
+    reached = 1
+    for selector in range(15, 0, -1):
         count, width = SELECTORS[selector]
-        # Few blocks hold enough values that narrow.
-        rows = np.flatnonzero(np.count_nonzero(bits <= width, axis=1) >= count) if count > 5 else np.arange(n_blocks)
-        if not len(rows):
-            continue
-        # next value at or after i that is too wide; values past the end of the block never are
-        wide = np.where(bits[rows] > width, column, beyond)
-        following = np.minimum.accumulate(wide[:, ::-1], axis=1)[:, ::-1]
-        fits = undecided[rows] & (following - column >= count)
-        choice[rows] = np.where(fits, np.int8(selector), choice[rows])
-        undecided[rows] &= ~fits
+        if count > reached:  # two overlapping runs make a longer one, of twice the length at most
+            longer = widest.copy()
+            step = count - reached
+            if step < block:
+                np.maximum(widest[:, :-step], widest[:, step:], out=longer[:, :-step])
+            widest, reached = longer, count
+        np.putmask(choice, widest <= width, np.int8(selector))
     position = np.zeros(n_blocks, np.int64)
     active = np.arange(n_blocks)
     steps: list[tuple[np.ndarray, np.ndarray]] = []
