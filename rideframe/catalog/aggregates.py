@@ -18,9 +18,11 @@ from rideframe.catalog.scalars import (
 )
 from rideframe.functions import bins, dates, labels, money
 from rideframe.operators import binning, classes, clean, compare, impact, profile
+from rideframe.operators import quantile_sketches as sketch_ops
 from rideframe.operators import quantiles as quantile_ops
 from rideframe.operators import weather as weather_ops
 from rideframe.plans import price_anomaly as price_plan
+from rideframe.session import stage
 from rideframe.spec import PRICE_CLASS_COLUMNS
 
 # --- price classes ----------------------------------------------------------
@@ -325,6 +327,70 @@ def approx_quantiles(spark, sf_dir):
     return spark.createDataFrame(rows, "feature string, q double, n bigint, lowest double, highest double, within boolean")
 
 
+SERVICE_RANKED_SQL = ", ".join(
+    f"""{c}_ranked AS (SELECT service_type, {c} AS v, row_number() OVER (PARTITION BY service_type ORDER BY {c}) AS rn,
+    count(*) OVER (PARTITION BY service_type) AS n FROM tip_clean)"""
+    for c in QUANTILE_COLUMNS
+)
+
+
+def sketch_rank_sql(column: str, q: float) -> str:
+    low = f"greatest(1, CAST(floor(({q}::DOUBLE - 0.01::DOUBLE) * n) AS BIGINT))"
+    high = f"least(n, CAST(ceil(({q}::DOUBLE + 0.01::DOUBLE) * n) AS BIGINT))"
+    return f"""SELECT service_type, '{column}' AS feature, {q}::DOUBLE AS q, max(n) AS n,
+      min(v) FILTER (rn = {low}) AS lowest, max(v) FILTER (rn = {high}) AS highest, true AS within
+    FROM {column}_ranked GROUP BY service_type"""
+
+
+@query(
+    "sketch_quantiles",
+    on_trips(
+        " UNION ALL ".join(sketch_rank_sql(c, q) for c in QUANTILE_COLUMNS for q in QUANTILES),
+        TIP_CLEAN_SQL,
+        SERVICE_RANKED_SQL,
+    ),
+)
+def sketch_quantiles(spark, sf_dir):
+    """Quantiles of each service from stored sketches of its months, and the exact values around them.
+
+    As in ``approx_quantiles``, each must lie between the exact values one percent of ranks
+    below and above.
+    """
+    trips = tip_clean(spark, sf_dir)
+    months = trips.withColumn("month", F.trunc("pickup_datetime", "month"))
+    stored = stage(
+        sketch_ops.quantile_sketches(months, QUANTILE_COLUMNS, ["service_type", "month"]), "month-sketches"
+    )
+    merged = sketch_ops.merge_sketches(stored, QUANTILE_COLUMNS, ["service_type"])
+    counts = [F.kll_sketch_get_n_double(c).alias(f"{c}_n") for c in QUANTILE_COLUMNS]
+    found = sketch_ops.sketch_quantiles(merged.select("*", *counts), QUANTILE_COLUMNS, QUANTILES).collect()
+
+    error = sketch_ops.QUANTILE_ERROR
+    wanted, columns = {}, []
+    for row in found:  # one row per service
+        for c in QUANTILE_COLUMNS:
+            n, name = row[f"{c}_n"], f"{row.service_type}:{c}"
+            ranks = [
+                r
+                for q in QUANTILES
+                for r in (max(1, math.floor((q - error) * n)), min(n, math.ceil((q + error) * n)))
+            ]
+            # A probability that stands for a rank exactly, so the exact quantiles are those values.
+            wanted[name] = [(r - 0.5) / n for r in ranks]
+            columns.append(F.when(F.col("service_type") == row.service_type, F.col(c)).alias(name))
+    exact = quantile_ops.exact_quantiles(trips.select(*columns), wanted)
+    rows = []
+    for row in found:
+        for c in QUANTILE_COLUMNS:
+            ends = exact[f"{row.service_type}:{c}"]
+            for i, q in enumerate(QUANTILES):
+                low, high = ends[2 * i], ends[2 * i + 1]
+                rows.append((row.service_type, c, q, row[f"{c}_n"], low, high, low <= row[c][i] <= high))
+    return spark.createDataFrame(
+        rows, "service_type string, feature string, q double, n bigint, lowest double, highest double, within boolean"
+    )
+
+
 @query(
     "exact_quantile",
     on_trips(

@@ -65,26 +65,14 @@ def price_anomaly_sql(service: str, distinct_fees: bool = False, gap: int = 0, y
 @query("price_anomaly", union_sql(lambda s: price_anomaly_sql(s, years=years_sql(fx.FIRST_YEAR, fx.LAST_YEAR))))
 def price_anomaly(spark, sf_dir):
     raw = fx.both_services(spark, sf_dir)
-    return per_service(
-        lambda service: price_plan.price_anomaly(
-            raw[service], service, fx.FIRST_YEAR, fx.LAST_YEAR
-        )
-    )
+    return price_plan.price_anomaly_services(raw, fx.FIRST_YEAR, fx.LAST_YEAR)
 
 
 @query("price_anomaly_literal", union_sql(lambda s: price_anomaly_sql(s, True, 1, years_sql(fx.FIRST_YEAR, None))))
 def price_anomaly_literal(spark, sf_dir):
     """Equal fees count once and the overnight zone ends at 23:59:59; all years from the first on."""
     raw = fx.both_services(spark, sf_dir)
-    return per_service(
-        lambda service: price_plan.price_anomaly(
-            raw[service],
-            service,
-            fx.FIRST_YEAR,
-            distinct_fees=True,
-            midnight_gap_s=1,
-        )
-    )
+    return price_plan.price_anomaly_services(raw, fx.FIRST_YEAR, distinct_fees=True, midnight_gap_s=1)
 
 
 def price_df_ctes(service: str, literal: bool = False) -> tuple[str, ...]:
@@ -172,25 +160,14 @@ def price_anomaly_df_sql(service: str, literal: bool = False) -> str:
 
 @query("price_anomaly_df", union_sql(price_anomaly_df_sql))
 def price_anomaly_df(spark, sf_dir):
-    raw = fx.both_services(spark, sf_dir)
-    return per_service(
-        lambda service: price_plan.price_anomaly_df(raw[service], service, quantile_method="exact")
-    )
+    return price_plan.price_anomaly_df_services(fx.both_services(spark, sf_dir))
 
 
 @query("price_anomaly_df_literal", union_sql(lambda s: price_anomaly_df_sql(s, True)))
 def price_anomaly_df_literal(spark, sf_dir):
     """Overnight minutes are cut to whole minutes and end at 23:59:59."""
     raw = fx.both_services(spark, sf_dir)
-    return per_service(
-        lambda service: price_plan.price_anomaly_df(
-            raw[service],
-            service,
-            quantile_method="exact",
-            zone_unit="minute_trunc",
-            midnight_gap_s=1,
-        )
-    )
+    return price_plan.price_anomaly_df_services(raw, zone_unit="minute_trunc", midnight_gap_s=1)
 
 
 @query(
@@ -205,8 +182,7 @@ def price_anomaly_df_literal(spark, sf_dir):
     ),
 )
 def class_averages_df(spark, sf_dir):
-    raw = fx.both_services(spark, sf_dir)
-    return per_service(lambda service: price_plan.class_averages_df(raw[service], service, quantile_method="exact"))
+    return price_plan.class_averages_df_services(fx.both_services(spark, sf_dir))
 
 
 # --- tip impact -------------------------------------------------------------
@@ -251,10 +227,9 @@ def tip_impact_weather_sql(
     )
 
 
-def weather_reports(spark, sf_dir, service, **options):
-    return tip_plan.tip_impact_weather(
-        fx.raw_trips(spark, sf_dir, service),
-        service,
+def weather_reports(spark, sf_dir, **options):
+    return tip_plan.tip_impact_weather_services(
+        fx.both_services(spark, sf_dir),
         fx.weather(spark, sf_dir),
         fx.wmo_lookup(spark, sf_dir),
         quantile_method="exact",
@@ -264,12 +239,8 @@ def weather_reports(spark, sf_dir, service, **options):
 
 @query("tip_impact_weather", union_sql(tip_impact_weather_sql))
 def tip_impact_weather(spark, sf_dir):
-    long = per_service(
-        lambda service: tip_plan.long_report(
-            weather_reports(spark, sf_dir, service), tip_plan.WEATHER_REPORT_KEYS
-        )
-    )
-    return rounded(long, "value")
+    reports = weather_reports(spark, sf_dir)
+    return rounded(tip_plan.long_report(reports, tip_plan.WEATHER_REPORT_KEYS, [tip_plan.SERVICE]), "value")
 
 
 LITERAL_TRIM = ("payment_type", "trip_duration_min")
@@ -281,15 +252,8 @@ LITERAL_TRIM = ("payment_type", "trip_duration_min")
 )
 def tip_impact_weather_literal(spark, sf_dir):
     """Trips are trimmed by payment type, and repeat on dates with two weather rows."""
-    long = per_service(
-        lambda service: tip_plan.long_report(
-            weather_reports(
-                spark, sf_dir, service, trim_columns=LITERAL_TRIM, dedupe_weather=False
-            ),
-            tip_plan.WEATHER_REPORT_KEYS,
-        )
-    )
-    return rounded(long, "value")
+    reports = weather_reports(spark, sf_dir, trim_columns=LITERAL_TRIM, dedupe_weather=False)
+    return rounded(tip_plan.long_report(reports, tip_plan.WEATHER_REPORT_KEYS, [tip_plan.SERVICE]), "value")
 
 
 def melt_sql(report: str, keys: list[str], metrics: dict[str, str], source: str) -> str:
@@ -371,14 +335,13 @@ ranges AS (
 )"""
 
 
-def one_profile(spark, sf_dir, service="yellow"):
-    """The written profile of a service, which the report tables read several times."""
-    report = price_plan.price_anomaly(
-        fx.raw_trips(spark, sf_dir, service), service, *fx.ALL_YEARS
-    )
-    path = new_shared_path(spark, f"price-anomaly-{service}")
-    write_report(report, path)
-    return read_report(spark, path)
+def profiles(spark, sf_dir):
+    """The written profile of every service, which the report tables read several times."""
+    report = price_plan.price_anomaly_services(fx.both_services(spark, sf_dir), *fx.ALL_YEARS)
+    path = new_shared_path(spark, "price-anomaly")
+    write_report(report, path, partition_by=[price_plan.SERVICE])
+    written = read_report(spark, path)
+    return lambda service: written.filter(F.col(price_plan.SERVICE) == service).drop(price_plan.SERVICE)
 
 
 REBIN_COLUMNS = "feature, value, cost_distance_label, cost_time_label, count, pcg"
@@ -389,7 +352,8 @@ REBIN_COLUMNS = "feature, value, cost_distance_label, cost_time_label, count, pc
     union_sql(lambda s: f"WITH {rebin_sql(price_anomaly_sql(s))} SELECT {REBIN_COLUMNS} FROM rebinned"),
 )
 def rebin_equal_width(spark, sf_dir):
-    return per_service(lambda s: binning.rebin_equal_width(one_profile(spark, sf_dir, s)))
+    profile_of = profiles(spark, sf_dir)
+    return per_service(lambda service: binning.rebin_equal_width(profile_of(service)))
 
 
 @query(
@@ -398,13 +362,14 @@ def rebin_equal_width(spark, sf_dir):
 )
 def rebin_equal_width_df(spark, sf_dir):
     """The fee bins of the DataFrame form have decimal bounds, and more of them than are kept."""
-    raw = fx.both_services(spark, sf_dir)
+    report = price_plan.price_anomaly_df_services(fx.both_services(spark, sf_dir))
+    path = new_shared_path(spark, "price-anomaly-df")
+    write_report(report, path, partition_by=[price_plan.SERVICE])
+    written = read_report(spark, path)
 
     def build(service):
-        report = price_plan.price_anomaly_df(raw[service], service, quantile_method="exact")
-        path = new_shared_path(spark, f"price-anomaly-df-{service}")
-        write_report(report, path)
-        return binning.rebin_equal_width(read_report(spark, path), max_values=6)
+        own = written.filter(F.col(price_plan.SERVICE) == service).drop(price_plan.SERVICE)
+        return binning.rebin_equal_width(own, max_values=6)
 
     return per_service(build)
 
@@ -434,7 +399,8 @@ def share_sql(source: str, metric: str) -> str:
     ),
 )
 def share_within_value(spark, sf_dir):
-    return per_service(lambda s: profile.share_within_value(one_profile(spark, sf_dir, s), ["distance", "time"]))
+    profile_of = profiles(spark, sf_dir)
+    return per_service(lambda service: profile.share_within_value(profile_of(service), ["distance", "time"]))
 
 
 def price_anomaly_report_sql(service: str) -> str:
@@ -444,9 +410,8 @@ def price_anomaly_report_sql(service: str) -> str:
 
 @query("price_anomaly_report", union_sql(price_anomaly_report_sql))
 def price_anomaly_report(spark, sf_dir):
-    return per_service(
-        lambda service: report_plan.price_anomaly_report(one_profile(spark, sf_dir, service))
-    )
+    profile_of = profiles(spark, sf_dir)
+    return per_service(lambda service: report_plan.price_anomaly_report(profile_of(service)))
 
 
 def tip_diff_report_sql(service: str) -> str:
@@ -470,13 +435,14 @@ def tip_diff_report_sql(service: str) -> str:
 @query("tip_diff_report", union_sql(tip_diff_report_sql))
 def tip_diff_report(spark, sf_dir):
     """Both kinds of differences, from the tip report of each service."""
+    path = new_shared_path(spark, "tip-features")
+    write_report(weather_reports(spark, sf_dir)["all_features"], path, single_file=True)
+    tips = read_report(spark, path)
 
     def build(service):
-        path = new_shared_path(spark, f"tip-features-{service}")
-        write_report(weather_reports(spark, sf_dir, service)["all_features"], path, single_file=True)
-        tips = read_report(spark, path)
+        own = tips.filter(F.col(tip_plan.SERVICE) == service).drop(tip_plan.SERVICE)
         modes = [
-            report_plan.tip_diff_report(tips, mode).select(F.lit(mode).alias("mode"), "*")
+            report_plan.tip_diff_report(own, mode).select(F.lit(mode).alias("mode"), "*")
             for mode in ("pair", "same")
         ]
         return modes[0].unionByName(modes[1])

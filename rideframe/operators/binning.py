@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rideframe.functions import bins, labels
-from rideframe.operators.quantiles import approx_quantiles, exact_quantiles
+from rideframe.operators.quantiles import approx_quantiles, exact_quantiles, exact_quantiles_by_key
 from rideframe.spec import QUANTILE_ERROR, TIP_BINS, BinSpec
 
 
@@ -26,18 +26,13 @@ def quantile_splits(
     scales: Mapping[str, int],
     method: str = "approx",
     relative_error: float = QUANTILE_ERROR,
-    weight: str | None = None,
 ) -> dict[str, list[float]]:
-    """Distinct ascending splits at equally spaced quantiles, for all columns in one job.
-
-    Rows that stand for several, by ``weight``, have exact splits whatever the method: they
-    are counted already, which is what exact quantiles cost.
-    """
-    steps = {c: [i / n for i in range(n + 1)] for c, n in scales.items()}
+    """Distinct ascending splits at equally spaced quantiles, for all columns in one job."""
+    steps = _steps(scales)
     if method not in ("approx", "exact"):
         raise ValueError(f"unknown quantile method {method!r}")
-    if method == "exact" or weight:
-        found = exact_quantiles(df, steps, weight=weight)
+    if method == "exact":
+        found = exact_quantiles(df, steps)
     else:
         union = sorted({q for points in steps.values() for q in points})
         rows = approx_quantiles(df, list(scales), union, relative_error)
@@ -45,7 +40,26 @@ def quantile_splits(
             c: [value for q, value in zip(union, rows[c]) if q in points]
             for c, points in steps.items()
         }
-    return {c: sorted({v for v in values if v is not None}) for c, values in found.items()}
+    return {c: _distinct(values) for c, values in found.items()}
+
+
+def quantile_splits_by_key(
+    df: DataFrame, scales: Mapping[str, int], key: str, values: Sequence[str], weight: str
+) -> dict[str, dict[str, list[float]]]:
+    """Splits of each column for each value of ``key``, from rows that stand for ``weight`` rows each.
+
+    They are exact: the rows are counted already, which is what exact quantiles cost.
+    """
+    found = exact_quantiles_by_key(df, list(scales), _steps(scales), key, values, weight)
+    return {value: {c: _distinct(points) for c, points in found[value].items()} for value in values}
+
+
+def _steps(scales: Mapping[str, int]) -> dict[str, list[float]]:
+    return {c: [i / n for i in range(n + 1)] for c, n in scales.items()}
+
+
+def _distinct(values: Sequence[float | None]) -> list[float]:
+    return sorted({v for v in values if v is not None})
 
 
 def with_quantile_bin(df: DataFrame, column: str, splits: Sequence[float]) -> DataFrame:

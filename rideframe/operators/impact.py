@@ -59,33 +59,35 @@ def average_tip(cells: DataFrame, keys: Sequence[Column | str]) -> DataFrame:
 
 
 def tip_by_feature_bin(
-    df: DataFrame, features: Mapping[str, str] = TIP_REPORT_FEATURES, cells: bool = False
+    df: DataFrame, features: Mapping[str, str] = TIP_REPORT_FEATURES, cells: bool = False, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Average tip rate per feature and bin, keyed ``<feature>_<bin>``.
 
-    ``cells`` says that the rows are already the output of ``tip_cells``.
+    ``cells`` says that the rows are already the output of ``tip_cells``; here and below,
+    ``keys`` ask for a report per combination of them.
     """
     columns = {report: f"{name}_bin" for report, name in features.items()}
     if not cells:
-        df = tip_cells(df, list(columns.values()))
+        df = tip_cells(df, [*keys, *columns.values()])
     keyed = df.select(
+        *keys,
         *[F.concat_ws("_", F.lit(report), F.col(c)).alias(report) for report, c in columns.items()],
         "tip_sum",
         "tip_count",
-    ).unpivot(["tip_sum", "tip_count"], list(columns), "name", "feature")
-    return average_tip(keyed, ["feature"])
+    ).unpivot([*keys, "tip_sum", "tip_count"], list(columns), "name", "feature")
+    return average_tip(keyed, [*keys, "feature"])
 
 
-def tip_by_weather(df: DataFrame, cells: bool = False) -> DataFrame:
+def tip_by_weather(df: DataFrame, cells: bool = False, keys: Sequence[str] = ()) -> DataFrame:
     if not cells:
-        df = tip_cells(df, ["weather"])
-    return average_tip(df, ["weather"])
+        df = tip_cells(df, [*keys, "weather"])
+    return average_tip(df, [*keys, "weather"])
 
 
-def tip_by_hour_bucket(df: DataFrame, cells: bool = False) -> DataFrame:
+def tip_by_hour_bucket(df: DataFrame, cells: bool = False, keys: Sequence[str] = ()) -> DataFrame:
     if not cells:
-        df = tip_cells(df, ["trip_hour_bucket"])
-    return average_tip(df, [F.col("trip_hour_bucket").alias("hour_bucket")])
+        df = tip_cells(df, [*keys, "trip_hour_bucket"])
+    return average_tip(df, [*keys, F.col("trip_hour_bucket").alias("hour_bucket")])
 
 
 # --- reports of the DataFrame form -------------------------------------------------

@@ -38,38 +38,45 @@ def feature_profile(
     time_label: str,
     decimals: int = 4,
     weight: str | None = None,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """Rows per feature value and pair of deviation bins, with their share of all rows.
 
+    With ``keys`` there is one profile per combination of them, and shares are of its rows.
+
     Rows are first counted per combination of all features and labels, which needs one
     update per row; only these combinations are turned into one row per feature. Values
     are written as text there too, not on every row.
     """
+    keys = list(keys)
     count = F.sum(weight) if weight else F.count(F.lit(1))
-    cells = df.groupBy(*features, distance_label, time_label).agg(count.alias("n_rows"))
+    cells = df.groupBy(*keys, *features, distance_label, time_label).agg(count.alias("n_rows"))
     counted = (
         cells.select(
+            *keys,
             *[F.col(f).cast("string").alias(f) for f in features],
             F.col(distance_label).alias("cost_distance_label"),
             F.col(time_label).alias("cost_time_label"),
             "n_rows",
         )
         .unpivot(
-            ["cost_distance_label", "cost_time_label", "n_rows"],
+            [*keys, "cost_distance_label", "cost_time_label", "n_rows"],
             list(features),
             "feature",
             "value",
         )
-        .groupBy("feature", "value", "cost_distance_label", "cost_time_label")
+        .groupBy(*keys, "feature", "value", "cost_distance_label", "cost_time_label")
         .agg(F.sum("n_rows").alias("count"))
     )
     # Every row has a value of every feature, so all features share one total. It becomes
-    # one row per feature: the broadcast side is as short as the list of features.
+    # one row per feature: the broadcast side is as short as the list of features. With keys
+    # its length is that of their combinations, so Spark decides by its size.
     names = F.array(*[F.lit(f) for f in features])
-    totals = cells.agg(F.sum("n_rows").alias("total")).select(
-        F.explode(names).alias("feature"), "total"
+    totals = cells.groupBy(*keys).agg(F.sum("n_rows").alias("total")).select(
+        *keys, F.explode(names).alias("feature"), "total"
     )
-    return counted.join(F.broadcast(totals), "feature").select(
+    return counted.join(totals if keys else F.broadcast(totals), [*keys, "feature"]).select(
+        *keys,
         "feature",
         "value",
         "count",

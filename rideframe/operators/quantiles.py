@@ -1,17 +1,20 @@
 """Quantiles of numeric columns and trimming by them.
 
-Both methods return a handful of numbers to the driver, whatever the size of the input.
+What returns numbers returns a handful to the driver, whatever the size of the input.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rideframe.operators.quantile_sketches import trim_by_sketch
 from rideframe.spec import QUANTILE_ERROR, TRIM_QUANTILES
 
 # Sub-ranges per pass and quantile. It bounds the rows that a pass returns.
@@ -158,21 +161,62 @@ def quantiles(
     raise ValueError(f"unknown quantile method {method!r}")
 
 
+def exact_quantiles_by_key(
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float] | Mapping[str, Sequence[float]],
+    key: str,
+    values: Sequence[str],
+    weight: str | None = None,
+) -> dict[str, dict[str, list[float]]]:
+    """Exact quantiles of each column for each of the given values of ``key``, in one job.
+
+    ``values`` are few, such as the names of services; rows with another key are left out.
+    """
+    parts = {(value, c): f"{i}:{c}" for i, value in enumerate(values) for c in columns}
+    split = df.select(
+        *([weight] if weight else []),
+        *[F.when(F.col(key) == value, F.col(c)).alias(name) for (value, c), name in parts.items()],
+    )
+    wanted = {
+        name: list(probabilities[c] if isinstance(probabilities, Mapping) else probabilities)
+        for (_, c), name in parts.items()
+    }
+    found = exact_quantiles(split, wanted, weight=weight)
+    return {value: {c: found[parts[value, c]] for c in columns} for value in values}
+
+
 def trim_outliers(
     df: DataFrame,
     columns: Sequence[str] = ("trip_distance", "trip_duration_min"),
     probabilities: Sequence[float] = TRIM_QUANTILES,
     method: str = "approx",
     relative_error: float = QUANTILE_ERROR,
+    key: str | None = None,
+    values: Sequence[str] = (),
 ) -> DataFrame:
     """Keep rows within the quantile bounds of every column, both ends included.
 
-    The bounds of all columns are taken before any row is removed. They come back as
-    literals, which the scan of a written table can use.
+    The bounds of all columns are taken before any row is removed; with ``key`` each group
+    has its own. Approximate bounds come from sketches and stay on the executors. Exact
+    ones come back as literals, which the scan of a written table can use; they need the
+    ``values`` of the key, and rows with another one go.
     """
-    bounds = quantiles(df, columns, probabilities, method, relative_error)
-    for name in columns:
-        if any(b is None for b in bounds[name]) or not bounds[name]:
-            return df.filter(F.lit(False))
-        df = df.filter(F.col(name).between(bounds[name][0], bounds[name][-1]))
-    return df
+    if method == "approx":
+        return trim_by_sketch(df, columns, probabilities, [key] if key else [], relative_error)
+    if key is None:
+        return df.filter(_within(quantiles(df, columns, probabilities, method, relative_error)))
+    if method != "exact":
+        raise ValueError(f"unknown quantile method {method!r}")
+    bounds = exact_quantiles_by_key(df, columns, probabilities, key, values)
+    kept = [(F.col(key) == value) & _within(bounds[value]) for value in values]
+    return df.filter(reduce(or_, kept, F.lit(False)))
+
+
+def _within(bounds: Mapping[str, Sequence[float | None]]) -> Column:
+    """Whether every column lies between its first and its last bound; never, where it has none."""
+    inside = [
+        F.col(c).between(found[0], found[-1]) if found and None not in found else F.lit(False)
+        for c, found in bounds.items()
+    ]
+    return reduce(and_, inside, F.lit(True))

@@ -1,24 +1,24 @@
 """Price anomaly: how far the price of each trip is from the average of its class.
 
-Both forms run on the trips of one service, as read from its files, and return the
-profile of price deviations per feature value. The plan is one scan of the trips, one
-shuffle of their cells, and small steps after that.
+Both forms run on the trips of any services, as read from their files, and return the
+profile of price deviations per service and feature value. The plan is one scan of the
+trips, one shuffle of their cells, and small steps after that, for all services together.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rideframe.functions import bins, dates, money, zones
 from rideframe.operators import classes, clean
-from rideframe.operators.binning import quantile_splits
+from rideframe.operators.binning import quantile_splits_by_key
 from rideframe.operators.profile import feature_profile
 from rideframe.session import stage
 from rideframe.sources.reports import conform
-from rideframe.sources.trips import canonical_trips, normalize_columns
+from rideframe.sources.trips import canonical_trips, normalize_columns, union_services
 from rideframe.spec import (
     FEE_COLUMNS,
     FEE_COLUMNS_WITH_TOLLS,
@@ -30,12 +30,14 @@ from rideframe.spec import (
     PRICE_CLASS_COLUMNS_DF,
     PRICE_STEP,
     PROFILE_SCHEMA,
-    QUANTILE_ERROR,
     ZONES,
 )
 
 OVERNIGHT = ZONES[0]
 
+SERVICE = "service_type"
+SERVICE_PROFILE_SCHEMA = ((SERVICE, "string"), *PROFILE_SCHEMA)
+
 # Bin labels of the price features and the width of their bins.
 STEP_LABELS = {
     "agg_fee_bin_label": FEE_STEP,
@@ -136,9 +138,8 @@ def label_price_features(trips: DataFrame) -> DataFrame:
     return _label_starts(trips, STEP_LABELS)
 
 
-def price_anomaly(
-    raw: DataFrame,
-    service: str,
+def price_anomaly_services(
+    raw: Mapping[str, DataFrame],
     first_year: int = MIN_YEAR,
     last_year: int | None = None,
     class_columns: Sequence[str] = PRICE_CLASS_COLUMNS,
@@ -147,18 +148,24 @@ def price_anomaly(
 ) -> DataFrame:
     """Price deviations with step bins and four decimals, of all years from ``first_year`` on.
 
+    The services, by name, keep their own columns, filters, classes and shares; ``SERVICE``
+    is a key of every step after the scans, so all of them take one shuffle and one job.
+
     ``distinct_fees`` and ``midnight_gap_s=1`` choose the literal forms of two known
     oddities: equal fees count once, and an overnight zone loses the second before
     midnight.
     """
-    trips = clean_price_trips(raw, service, first_year, last_year)
-    trips = with_price_features(trips, distinct_fees, midnight_gap_s)
-    # Whole-number codes are held as doubles here, so they read "1.0" in the report.
-    trips = trips.withColumn("payment_type", F.col("payment_type").cast("double"))
-
     features = _starts(PRICE_CLASS_COLUMNS, STEP_LABELS)
-    keys = _starts(class_columns, STEP_LABELS)
-    cells = classes.price_cells(trips, features)
+    keys = [SERVICE, *_starts(class_columns, STEP_LABELS)]
+    parts = []
+    for service, df in raw.items():
+        trips = clean_price_trips(df, service, first_year, last_year)
+        trips = with_price_features(trips, distinct_fees, midnight_gap_s)
+        # Whole-number codes are held as doubles here, so they read "1.0" in the report.
+        trips = trips.withColumn("payment_type", F.col("payment_type").cast("double"))
+        parts.append(trips.select(SERVICE, *features, *classes.PRICES))
+
+    cells = classes.price_cells(union_services(*parts), [SERVICE, *features])
     averages = classes.class_averages(cells, keys, weight="n_trips")
     cells = classes.attach_class_averages(cells, averages, keys)
     cells = _with_deviation_labels(classes.with_price_deviation(cells))
@@ -169,8 +176,25 @@ def price_anomaly(
         "cost_per_distance_diff_pcg_label",
         "cost_per_time_diff_pcg_label",
         weight="n_trips",
+        keys=[SERVICE],
     )
-    return conform(report, PROFILE_SCHEMA)
+    return conform(report, SERVICE_PROFILE_SCHEMA)
+
+
+def price_anomaly(
+    raw: DataFrame,
+    service: str,
+    first_year: int = MIN_YEAR,
+    last_year: int | None = None,
+    class_columns: Sequence[str] = PRICE_CLASS_COLUMNS,
+    distinct_fees: bool = False,
+    midnight_gap_s: int = 0,
+) -> DataFrame:
+    """``price_anomaly_services`` of a single service, without its name."""
+    report = price_anomaly_services(
+        {service: raw}, first_year, last_year, class_columns, distinct_fees, midnight_gap_s
+    )
+    return report.drop(SERVICE)
 
 
 def clean_price_trips_df(raw: DataFrame, service: str) -> DataFrame:
@@ -212,72 +236,89 @@ def _cell_names_df(columns: Sequence[str]) -> list[str]:
     return _starts([f"{FEE}_bin" if c == f"{FEE}_bin_label" else c for c in columns], STEP_LABELS_DF)
 
 
+def _bins_of_service(services: Mapping[str, list[float]], make: Callable[[list[float]], Column]) -> Column:
+    """A column made of the splits of the service that a row belongs to."""
+    choice = F
+    for service, splits in services.items():
+        choice = choice.when(F.col(SERVICE) == service, make(splits or [0.0]))
+    return choice
+
+
 def _binned_cells_df(
-    raw: DataFrame,
-    service: str,
-    quantile_method: str,
-    relative_error: float,
-    zone_unit: str,
-    midnight_gap_s: int,
-) -> tuple[DataFrame, list[float]]:
-    """Trips counted per class and prices, and the splits of the fee bins.
+    raw: Mapping[str, DataFrame], zone_unit: str, midnight_gap_s: int
+) -> tuple[DataFrame, dict[str, list[float]]]:
+    """Trips counted per service, class and prices, and the splits of the fee bins by service.
 
     The trips are scanned and shuffled once: counted per fee, overnight share, other class
     columns and prices, which all have two decimals at most, and written. Quantiles come
-    from these counts, and bins take the place of the two values afterwards.
+    from these counts, exactly, and bins take the place of the two values afterwards.
     """
-    trips = with_price_features_df(clean_price_trips_df(raw, service), zone_unit, midnight_gap_s)
     names = _cell_names_df(PRICE_CLASS_COLUMNS_DF)
     values = {f"{FEE}_bin": FEE, f"{OVERNIGHT_SHARE}_bin": OVERNIGHT_SHARE}
-    cells = stage(classes.price_cells(trips, [values.get(c, c) for c in names]), f"price-cells-{service}")
+    columns = [values.get(c, c) for c in names]
+    parts = [
+        with_price_features_df(clean_price_trips_df(df, service), zone_unit, midnight_gap_s).select(
+            SERVICE, *columns, *classes.PRICES
+        )
+        for service, df in raw.items()
+    ]
+    cells = stage(classes.price_cells(union_services(*parts), [SERVICE, *columns]), "price-cells")
     scales = {FEE: FEE_QUANTILE_BINS, OVERNIGHT_SHARE: OVERNIGHT_QUANTILE_BINS}
-    splits = quantile_splits(cells, scales, quantile_method, relative_error, weight="n_trips")
+    splits = quantile_splits_by_key(cells, scales, SERVICE, list(raw), weight="n_trips")
     binned = cells.withColumns(
-        {c: bins.bucket_index(F.col(value), splits[value] or [0.0]) for c, value in values.items()}
+        {
+            c: _bins_of_service(
+                {service: found[value] for service, found in splits.items()},
+                lambda edges, value=value: bins.bucket_index(F.col(value), edges),
+            )
+            for c, value in values.items()
+        }
     )
-    merged = binned.groupBy(*names, *classes.PRICES).agg(F.sum("n_trips").alias("n_trips"))
-    return merged, splits[FEE] or [0.0]
+    merged = binned.groupBy(SERVICE, *names, *classes.PRICES).agg(F.sum("n_trips").alias("n_trips"))
+    return merged, {service: found[FEE] for service, found in splits.items()}
 
 
-def _with_labels_df(cells: DataFrame, fee_splits: Sequence[float]) -> DataFrame:
-    cells = _label_starts(cells, STEP_LABELS_DF)
-    return cells.withColumn(f"{FEE}_bin_label", bins.bucket_label(F.col(f"{FEE}_bin"), fee_splits))
+def _with_labels_df(cells: DataFrame, fee_splits: Mapping[str, list[float]]) -> DataFrame:
+    label = _bins_of_service(fee_splits, lambda edges: bins.bucket_label(F.col(f"{FEE}_bin"), edges))
+    return _label_starts(cells, STEP_LABELS_DF).withColumn(f"{FEE}_bin_label", label)
 
 
-def class_averages_df(
-    raw: DataFrame,
-    service: str,
-    class_columns: Sequence[str] = PRICE_CLASS_COLUMNS_DF,
-    quantile_method: str = "approx",
-    relative_error: float = QUANTILE_ERROR,
+def class_averages_df_services(
+    raw: Mapping[str, DataFrame], class_columns: Sequence[str] = PRICE_CLASS_COLUMNS_DF
 ) -> DataFrame:
-    """Average prices of each class of the DataFrame form, with the labels of its bins."""
-    cells, fee_splits = _binned_cells_df(raw, service, quantile_method, relative_error, "minute", 0)
+    """Average prices of each class of the DataFrame form, with the labels of its bins, by service."""
+    cells, fee_splits = _binned_cells_df(raw, "minute", 0)
     averages = classes.class_averages(
-        cells, _cell_names_df(class_columns), decimals=2, positive_only=False, weight="n_trips"
+        cells,
+        [SERVICE, *_cell_names_df(class_columns)],
+        decimals=2,
+        positive_only=False,
+        weight="n_trips",
     )
     labelled = _with_labels_df(averages, fee_splits)
-    return labelled.select(*class_columns, *[f"avg_{p}" for p in classes.PRICES], "n_class")
+    return labelled.select(SERVICE, *class_columns, *[f"avg_{p}" for p in classes.PRICES], "n_class")
 
 
-def price_anomaly_df(
-    raw: DataFrame,
-    service: str,
+def class_averages_df(
+    raw: DataFrame, service: str, class_columns: Sequence[str] = PRICE_CLASS_COLUMNS_DF
+) -> DataFrame:
+    """``class_averages_df_services`` of a single service, without its name."""
+    return class_averages_df_services({service: raw}, class_columns).drop(SERVICE)
+
+
+def price_anomaly_df_services(
+    raw: Mapping[str, DataFrame],
     class_columns: Sequence[str] = PRICE_CLASS_COLUMNS_DF,
-    quantile_method: str = "approx",
-    relative_error: float = QUANTILE_ERROR,
     zone_unit: str = "minute",
     midnight_gap_s: int = 0,
 ) -> DataFrame:
-    """Price deviations with quantile bins for fees and overnight share, two decimals.
+    """Price deviations with quantile bins for fees and overnight share, two decimals, by service.
 
-    ``zone_unit="minute_trunc"`` with ``midnight_gap_s=1`` is the literal form of the
-    overnight minutes.
+    Quantiles are exact and those of each service. ``zone_unit="minute_trunc"`` with
+    ``midnight_gap_s=1`` is the literal form of the overnight minutes.
     """
-    cells, fee_splits = _binned_cells_df(
-        raw, service, quantile_method, relative_error, zone_unit, midnight_gap_s
-    )
-    keys = _cell_names_df(class_columns)
+    cells, fee_splits = _binned_cells_df(raw, zone_unit, midnight_gap_s)
+    keys = [SERVICE, *_cell_names_df(class_columns)]
     averages = classes.class_averages(
         cells, keys, decimals=2, positive_only=False, weight="n_trips"
     )
@@ -290,5 +331,17 @@ def price_anomaly_df(
         "cost_per_time_diff_pcg_label",
         decimals=2,
         weight="n_trips",
+        keys=[SERVICE],
     )
-    return conform(report, PROFILE_SCHEMA)
+    return conform(report, SERVICE_PROFILE_SCHEMA)
+
+
+def price_anomaly_df(
+    raw: DataFrame,
+    service: str,
+    class_columns: Sequence[str] = PRICE_CLASS_COLUMNS_DF,
+    zone_unit: str = "minute",
+    midnight_gap_s: int = 0,
+) -> DataFrame:
+    """``price_anomaly_df_services`` of a single service, without its name."""
+    return price_anomaly_df_services({service: raw}, class_columns, zone_unit, midnight_gap_s).drop(SERVICE)

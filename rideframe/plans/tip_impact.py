@@ -17,6 +17,7 @@ from rideframe.session import stage
 from rideframe.sources.trips import tip_trips, union_services
 from rideframe.spec import IMPACT_KEYS, QUANTILE_ERROR, TIP_BINS, TIP_REPORT_FEATURES
 
+SERVICE = "service_type"
 TRIM_COLUMNS = ("trip_distance", "trip_duration_min")
 
 
@@ -25,19 +26,25 @@ def _with_duration(trips: DataFrame, form: str) -> DataFrame:
     return trips.withColumn("trip_duration_min", minutes)
 
 
-def clean_tip_trips(raw: DataFrame, service: str) -> DataFrame:
-    """Distinct, complete and plausible trips of one service.
+def clean_tip_trips_services(raw: Mapping[str, DataFrame]) -> DataFrame:
+    """Distinct, complete and plausible trips, told apart by ``SERVICE``.
 
-    The filters stand before ``dedupe``, so that only plausible trips are shuffled.
+    The filters stand before ``dedupe``, so that only plausible trips are shuffled. The
+    service is a column of the trips, so equal trips of two services both stay.
     """
-    trips = clean.drop_incomplete_nan(tip_trips(raw, service))
+    trips = union_services(*[tip_trips(df, service) for service, df in raw.items()])
+    trips = clean.drop_incomplete_nan(trips)
     trips = clean.filter_positive_duration(clean.filter_tip_sanity(clean.filter_vendor(trips)))
     return _with_duration(clean.dedupe(trips), "exact_millis")
 
 
-def tip_impact_weather(
-    raw: DataFrame,
-    service: str,
+def clean_tip_trips(raw: DataFrame, service: str) -> DataFrame:
+    """``clean_tip_trips_services`` of a single service."""
+    return clean_tip_trips_services({service: raw})
+
+
+def tip_impact_weather_services(
+    raw: Mapping[str, DataFrame],
     weather: DataFrame,
     lookup: DataFrame,
     trim_columns: Sequence[str] = TRIM_COLUMNS,
@@ -45,31 +52,51 @@ def tip_impact_weather(
     relative_error: float = QUANTILE_ERROR,
     dedupe_weather: bool = True,
 ) -> dict[str, DataFrame]:
-    """Average tip rate per feature bin, weather class and hour bucket for one service.
-
-    The cleaned trips are written once, since the quantile bounds and the report both
-    need the distinct rows and these cost the one large shuffle of the plan. All three
-    reports share one aggregation of the trips, per combination of labels and date; the
-    weather is joined with these sums, never with trips. ``trim_columns`` with ``payment_type`` in
-    place of the distance is the literal form of the outlier bounds.
+    """Average tip rate per service and feature bin, weather class and hour bucket.
+
+    The cleaned trips of all services are written once, since the quantile bounds and the
+    report both need the distinct rows and these cost the one large shuffle of the plan.
+    Each service is trimmed by its own bounds. All three reports share one aggregation of
+    the trips, per combination of service, labels and date; the weather is joined with
+    these sums, never with trips. ``trim_columns`` with ``payment_type`` in place of the
+    distance is the literal form of the outlier bounds.
     """
-    trips = stage(clean_tip_trips(raw, service), f"tip-trips-{service}")
-    trips = trim_outliers(trips, trim_columns, method=quantile_method, relative_error=relative_error)
+    trips = stage(clean_tip_trips_services(raw), "tip-trips")
+    trips = trim_outliers(
+        trips, trim_columns, method=quantile_method, relative_error=relative_error, key=SERVICE, values=list(raw)
+    )
     trips = with_threshold_bins(impact.enrich_trips(trips))
     daily = describe_weather(weather, lookup)
     if dedupe_weather:
         daily = one_row_per_date(daily)
-    features = [f"{name}_bin" for name in TIP_REPORT_FEATURES.values()]
+    labels = [SERVICE, *[f"{name}_bin" for name in TIP_REPORT_FEATURES.values()]]
     trips = trips.withColumn("pickup_date", F.to_date("pickup_datetime"))
-    cells = impact.tip_cells(trips, [*features, "trip_hour_bucket", "pickup_date"])
-    cells = impact.merge_tip_cells(attach_weather(cells, daily, "pickup_date"), [*features, "weather", "trip_hour_bucket"])
+    cells = impact.tip_cells(trips, [*labels, "trip_hour_bucket", "pickup_date"])
+    cells = impact.merge_tip_cells(attach_weather(cells, daily, "pickup_date"), [*labels, "weather", "trip_hour_bucket"])
     return {
-        "all_features": impact.tip_by_feature_bin(cells, cells=True),
-        "avg_tip_by_weather": impact.tip_by_weather(cells, cells=True),
-        "avg_tip_by_hour_bucket": impact.tip_by_hour_bucket(cells, cells=True),
+        "all_features": impact.tip_by_feature_bin(cells, cells=True, keys=[SERVICE]),
+        "avg_tip_by_weather": impact.tip_by_weather(cells, cells=True, keys=[SERVICE]),
+        "avg_tip_by_hour_bucket": impact.tip_by_hour_bucket(cells, cells=True, keys=[SERVICE]),
     }
 
 
+def tip_impact_weather(
+    raw: DataFrame,
+    service: str,
+    weather: DataFrame,
+    lookup: DataFrame,
+    trim_columns: Sequence[str] = TRIM_COLUMNS,
+    quantile_method: str = "approx",
+    relative_error: float = QUANTILE_ERROR,
+    dedupe_weather: bool = True,
+) -> dict[str, DataFrame]:
+    """``tip_impact_weather_services`` of a single service, without its name."""
+    reports = tip_impact_weather_services(
+        {service: raw}, weather, lookup, trim_columns, quantile_method, relative_error, dedupe_weather
+    )
+    return {name: report.drop(SERVICE) for name, report in reports.items()}
+
+
 def clean_tip_trips_df(raw: Mapping[str, DataFrame]) -> DataFrame:
     """Distinct, complete and plausible trips of all services together."""
     trips = union_services(*[tip_trips(df, service) for service, df in raw.items()])
@@ -99,18 +126,24 @@ def tip_impact_df(
     }
 
 
-def long_report(reports: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:
-    """All reports as rows of (report, key, metric, value), whatever their columns."""
+def long_report(
+    reports: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]], groups: Sequence[str] = ()
+) -> DataFrame:
+    """All reports as rows of (report, key, metric, value), whatever their columns.
+
+    ``groups`` are columns of every report that stay columns, in front of these.
+    """
 
     def melt(name: str, df: DataFrame) -> DataFrame:
         report_keys = list(keys[name])
-        metrics = [c for c in df.columns if c not in report_keys]
+        metrics = [c for c in df.columns if c not in report_keys and c not in groups]
         key: Column = F.concat_ws("|", *[F.col(k).cast("string") for k in report_keys])
         return df.select(
+            *groups,
             F.lit(name).alias("report"),
             key.alias("key"),
             *[F.col(m).cast("double").alias(m) for m in metrics],
-        ).unpivot(["report", "key"], metrics, "metric", "value")
+        ).unpivot([*groups, "report", "key"], metrics, "metric", "value")
 
     return reduce(DataFrame.unionByName, [melt(name, df) for name, df in reports.items()])
 

@@ -156,10 +156,26 @@ def test_default_quantiles_of_the_weather_form(spark):
     assert all(abs(v - tips["exact"][k]) < 1.5 for k, v in tips["approx"].items())
 
 
-def test_counted_prices_have_exact_splits_by_default(spark):
-    raw = fx.raw_trips(spark, SF_DIR, "green")
-    rows = [sorted(map(tuple, price_plan.price_anomaly_df(raw, "green", quantile_method=m).collect()), key=str) for m in ("approx", "exact")]
-    assert rows[0] == rows[1] and rows[0]
+def test_services_together_give_what_each_gives_alone(spark):
+    """Averages, bounds, bins and shares of a service do not depend on the other one."""
+    raw = fx.both_services(spark, SF_DIR)
+    weather_inputs = fx.weather(spark, SF_DIR), fx.wmo_lookup(spark, SF_DIR)
+    steps = price_plan.price_anomaly_services(raw, *fx.ALL_YEARS).collect()
+    splits = price_plan.price_anomaly_df_services(raw).collect()
+    tips = tip_plan.tip_impact_weather_services(raw, *weather_inputs, quantile_method="exact")["all_features"].collect()
+    for service, df in raw.items():
+        alone = {
+            "steps": (steps, price_plan.price_anomaly(df, service, *fx.ALL_YEARS)),
+            "splits": (splits, price_plan.price_anomaly_df(df, service)),
+            "tips": (
+                [(*r[:2], round(r[2], 9)) for r in tips],
+                tip_plan.tip_impact_weather(df, service, *weather_inputs, quantile_method="exact")["all_features"],
+            ),
+        }
+        for name, (together, single) in alone.items():
+            rows = [tuple(r) if name != "tips" else (r[0], round(r[1], 9)) for r in single.collect()]
+            assert sorted(map(str, rows)) == sorted(str(tuple(r)[1:]) for r in together if r[0] == service), name
+            assert rows
 
 
 def test_staged_tables_can_be_dropped(spark):

@@ -85,6 +85,14 @@ def test_price_cells_are_scanned_and_shuffled_once(spark):
     assert "ReusedExchange" in text
 
 
+def test_services_share_one_shuffle_of_their_cells(spark):
+    raw = fx.both_services(spark, SF_DIR)
+    text = final_plan(price_plan.price_anomaly_services(raw, 1996, 2001))
+    assert text.count("FileScan") == 2  # one for each service
+    assert "ReusedExchange" in text
+    assert len(re.findall(r"Union", text)) == 1
+
+
 def test_profile_has_one_expand_over_combined_rows(spark):
     trips = fx.trips(spark, SF_DIR).withColumn("label", F.lit("[0|5)"))
     features = ["payment_type", "store_and_fwd_flag", "passenger_count"]
