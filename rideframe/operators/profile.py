@@ -43,6 +43,7 @@ def feature_profile(
     """Rows per feature value and pair of deviation bins, with their share of all rows.
 
     With ``keys`` there is one profile per combination of them, and shares are of its rows.
+    Combinations must be few, such as the names of services: their totals are broadcast.
 
     Rows are first counted per combination of all features and labels, which needs one
     update per row; only these combinations are turned into one row per feature. Values
@@ -69,13 +70,13 @@ def feature_profile(
         .agg(F.sum("n_rows").alias("count"))
     )
     # Every row has a value of every feature, so all features share one total. It becomes
-    # one row per feature: the broadcast side is as short as the list of features. With keys
-    # its length is that of their combinations, so Spark decides by its size.
+    # one row per feature: the broadcast side is as short as the list of features, for
+    # each of the few combinations of keys.
     names = F.array(*[F.lit(f) for f in features])
     totals = cells.groupBy(*keys).agg(F.sum("n_rows").alias("total")).select(
         *keys, F.explode(names).alias("feature"), "total"
     )
-    return counted.join(totals if keys else F.broadcast(totals), [*keys, "feature"]).select(
+    return counted.join(F.broadcast(totals), [*keys, "feature"]).select(
         *keys,
         "feature",
         "value",
