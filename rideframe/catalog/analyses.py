@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,10 +31,11 @@ from rideframe.catalog.scalars import HOLIDAY_SQL, WEATHER_CLASS_SQL, quantile_s
 from rideframe.operators import binning, profile
 from rideframe.plans import price_anomaly as price_plan
 from rideframe.plans import reports as report_plan
+from rideframe.plans import stored_cells as store
 from rideframe.plans import tip_impact as tip_plan
 from rideframe.session import new_shared_path
 from rideframe.sources.reports import read_report, write_report
-from rideframe.spec import PRICE_CLASS_COLUMNS, PRICE_CLASS_COLUMNS_DF
+from rideframe.spec import PRICE_CLASS_COLUMNS, PRICE_CLASS_COLUMNS_DF, SERVICES
 
 
 # --- price anomaly ----------------------------------------------------------
@@ -75,6 +78,36 @@ def price_anomaly_literal(spark, sf_dir):
     return price_plan.price_anomaly_services(raw, fx.FIRST_YEAR, distinct_fees=True, midnight_gap_s=1)
 
 
+def stored_cells(spark, sf_dir):
+    """Cells of all months, written in two updates, and a month in the middle replaced by itself."""
+    raw = fx.both_services(spark, sf_dir)
+    first, last = fx.trips(spark, sf_dir).agg(F.min("pickup_datetime"), F.max("pickup_datetime")).first()
+    start, cut, end = date(first.year, 1, 1), date((first.year + last.year) // 2, 6, 1), date(last.year + 1, 1, 1)
+    path = new_shared_path(spark, "stored-cells")
+    store.update_cells(raw, path, start, cut)
+    store.update_cells(raw, path, cut, end)
+    store.update_cells({SERVICES[0]: raw[SERVICES[0]]}, path, cut, date(cut.year, cut.month + 1, 1))
+    return store.read_cells(spark, path)
+
+
+@query("price_anomaly_incremental", union_sql(price_anomaly_sql))
+def price_anomaly_incremental(spark, sf_dir):
+    """The report over cells that were stored month by month: equal to that of all trips at once."""
+    return price_plan.price_anomaly_of_cells(stored_cells(spark, sf_dir))
+
+
+@query(
+    "class_averages_incremental",
+    union_sql(
+        lambda s: on_trips(
+            "SELECT * FROM class_averages", price_features_sql(s), class_averages_sql(PRICE_KEYS_SQL)
+        )
+    ),
+)
+def class_averages_incremental(spark, sf_dir):
+    return price_plan.class_averages_of_cells(stored_cells(spark, sf_dir))
+
+
 def price_df_ctes(service: str, literal: bool = False) -> tuple[str, ...]:
     """Common tables of the DataFrame form up to ``labelled_df``."""
     fees = [

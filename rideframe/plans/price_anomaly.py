@@ -138,34 +138,39 @@ def label_price_features(trips: DataFrame) -> DataFrame:
     return _label_starts(trips, STEP_LABELS)
 
 
-def price_anomaly_services(
+CELL_FEATURES = _starts(PRICE_CLASS_COLUMNS, STEP_LABELS)
+
+
+def price_trips_services(
     raw: Mapping[str, DataFrame],
-    first_year: int = MIN_YEAR,
-    last_year: int | None = None,
-    class_columns: Sequence[str] = PRICE_CLASS_COLUMNS,
+    first_year: int,
+    last_year: int | None,
     distinct_fees: bool = False,
     midnight_gap_s: int = 0,
 ) -> DataFrame:
-    """Price deviations with step bins and four decimals, of all years from ``first_year`` on.
-
-    The services, by name, keep their own columns, filters, classes and shares; ``SERVICE``
-    is a key of every step after the scans, so all of them take one shuffle and one job.
-
-    ``distinct_fees`` and ``midnight_gap_s=1`` choose the literal forms of two known
-    oddities: equal fees count once, and an overnight zone loses the second before
-    midnight.
-    """
-    features = _starts(PRICE_CLASS_COLUMNS, STEP_LABELS)
-    keys = [SERVICE, *_starts(class_columns, STEP_LABELS)]
+    """Clean trips of all services with their class features, unit prices and pickup time."""
     parts = []
     for service, df in raw.items():
         trips = clean_price_trips(df, service, first_year, last_year)
         trips = with_price_features(trips, distinct_fees, midnight_gap_s)
         # Whole-number codes are held as doubles here, so they read "1.0" in the report.
         trips = trips.withColumn("payment_type", F.col("payment_type").cast("double"))
-        parts.append(trips.select(SERVICE, *features, *classes.PRICES))
+        parts.append(trips.select(SERVICE, "pickup_datetime", *CELL_FEATURES, *classes.PRICES))
+    return union_services(*parts)
+
+
+def class_averages_of_cells(cells: DataFrame, class_columns: Sequence[str] = PRICE_CLASS_COLUMNS) -> DataFrame:
+    """Average prices of each class, with the labels of its bins, by service, from counted cells."""
+    keys = [SERVICE, *_starts(class_columns, STEP_LABELS)]
+    return _label_starts(classes.class_averages(cells, keys, weight="n_trips"), STEP_LABELS)
+
+
+def price_anomaly_of_cells(cells: DataFrame, class_columns: Sequence[str] = PRICE_CLASS_COLUMNS) -> DataFrame:
+    """The report of ``price_anomaly_services`` from trips counted per service, features and prices.
 
-    cells = classes.price_cells(union_services(*parts), [SERVICE, *features])
+    A cell may come in several rows, such as one of each month; their counts add up.
+    """
+    keys = [SERVICE, *_starts(class_columns, STEP_LABELS)]
     averages = classes.class_averages(cells, keys, weight="n_trips")
     cells = classes.attach_class_averages(cells, averages, keys)
     cells = _with_deviation_labels(classes.with_price_deviation(cells))
@@ -181,6 +186,28 @@ def price_anomaly_services(
     return conform(report, SERVICE_PROFILE_SCHEMA)
 
 
+def price_anomaly_services(
+    raw: Mapping[str, DataFrame],
+    first_year: int = MIN_YEAR,
+    last_year: int | None = None,
+    class_columns: Sequence[str] = PRICE_CLASS_COLUMNS,
+    distinct_fees: bool = False,
+    midnight_gap_s: int = 0,
+) -> DataFrame:
+    """Price deviations with step bins and four decimals, of all years from ``first_year`` on.
+
+    The services, by name, keep their own columns, filters, classes and shares; ``SERVICE``
+    is a key of every step after the scans, so all of them take one shuffle and one job.
+
+    ``distinct_fees`` and ``midnight_gap_s=1`` choose the literal forms of two known
+    oddities: equal fees count once, and an overnight zone loses the second before
+    midnight.
+    """
+    trips = price_trips_services(raw, first_year, last_year, distinct_fees, midnight_gap_s)
+    cells = classes.price_cells(trips.drop("pickup_datetime"), [SERVICE, *CELL_FEATURES])
+    return price_anomaly_of_cells(cells, class_columns)
+
+
 def price_anomaly(
     raw: DataFrame,
     service: str,
