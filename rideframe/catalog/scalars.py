@@ -8,7 +8,8 @@ from rideframe.catalog import fixtures as fx
 from rideframe.catalog.filters import TIP_CLEAN_SQL, tip_clean
 from rideframe.catalog.registry import on_trips, query, r, step
 from rideframe.functions import bins, dates, labels, money, rounding, weather, zones
-from rideframe.operators import binning
+from rideframe.operators import binning, zone_calendar
+from rideframe.session import stage
 from rideframe.spec import FEE_COLUMNS, FEE_COLUMNS_WITH_TOLLS, TIP_BINS, ZONES, BinSpec
 
 
@@ -151,6 +152,65 @@ def zone_minutes(spark, sf_dir):
     )
 
 
+# A calendar with a zone per nation: an hour and more at times that differ by weekday, on
+# five or so days of the week, and the first minutes of weekend days, which may overlap.
+CALENDAR = (
+    ("n_nationkey % 3 <> d % 3", "(n_nationkey * 53 + d * 17) % 1200", "(n_nationkey * 53 + d * 17) % 1200 + 60 + n_nationkey * 7"),
+    ("d >= 5", "0", "30 + n_nationkey"),
+)
+CALENDAR_SQL = " UNION ALL ".join(
+    f"""SELECT n_name AS zone, d AS weekday, {start} AS s, {end} AS e
+    FROM nation, unnest(generate_series(0, 6)) AS days(d) WHERE {where}"""
+    for where, start, end in CALENDAR
+)
+BY_PIECE = "PARTITION BY zone, weekday ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND"
+CALENDAR_MINUTES_SQL = f"""calendar AS ({CALENDAR_SQL}
+), opened AS (
+  SELECT *, CASE WHEN s <= max(e) OVER ({BY_PIECE} 1 PRECEDING) THEN 0 ELSE 1 END AS opens FROM calendar
+), numbered AS (
+  SELECT *, sum(opens) OVER ({BY_PIECE} CURRENT ROW) AS piece FROM opened
+), pieces AS (
+  SELECT zone, weekday, min(s) AS s, max(e) AS e FROM numbered GROUP BY zone, weekday, piece
+), numbered_trips AS (
+  SELECT service_type, pickup_datetime AS p, dropoff_datetime + to_days(vendor_id % 4 * 4) AS q,
+    row_number() OVER () AS trip_id FROM trips
+), days_of_trips AS (
+  SELECT *, unnest(generate_series(date_trunc('day', p)::TIMESTAMP, date_trunc('day', q)::TIMESTAMP,
+    INTERVAL 1 DAY)) AS day FROM numbered_trips WHERE q > p
+), trip_zones AS (
+  SELECT service_type, trip_id, zone, sum(CAST(round(CAST(greatest(epoch(least(q, day + to_minutes(e)))
+      - epoch(greatest(p, day + to_minutes(s))), 0) AS DECIMAL(18,0)) / 60, 4) AS DECIMAL(18,4))) AS minutes
+  FROM days_of_trips JOIN pieces ON weekday = isodow(day) - 1 GROUP BY service_type, trip_id, zone
+)"""
+
+
+@query(
+    "zone_minutes_calendar",
+    on_trips(
+        """SELECT service_type, zone, count(*) FILTER (minutes > 0) AS n_trips,
+        CAST(sum(minutes) AS DOUBLE) AS minutes FROM trip_zones GROUP BY service_type, zone""",
+        CALENDAR_MINUTES_SQL,
+    ),
+)
+def zone_minutes_calendar(spark, sf_dir):
+    """Minutes of all trips, prolonged by up to twelve days, in the zones of a calendar table."""
+    days = fx.table(spark, sf_dir, "nation").selectExpr("*", "explode(sequence(0, 6)) as d")
+    intervals = [
+        days.filter(where).selectExpr("n_name as zone", "d as weekday", f"{start} as start_minute", f"{end} as end_minute")
+        for where, start, end in CALENDAR
+    ]
+    marks = stage(zone_calendar.zone_marks(intervals[0].unionByName(intervals[1])), "zone-marks")
+    trips = fx.trips(spark, sf_dir).selectExpr(
+        "service_type", "pickup_datetime", "timestampadd(DAY, vendor_id % 4 * 4, dropoff_datetime) as dropoff_datetime"
+    )
+    minutes = F.col("zone_minutes").cast("decimal(18,4)")
+    return (
+        zone_calendar.calendar_minutes(trips, marks)
+        .groupBy("service_type", "zone")
+        .agg(F.count_if(minutes > 0).alias("n_trips"), F.sum(minutes).cast("double").alias("minutes"))
+    )
+
+
 @query(
     "zone_share",
     on_trips(
