@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from rideframe.catalog import fixtures as fx
 from rideframe.catalog.registry import on_trips, query
 from rideframe.operators import clean
+from rideframe.operators.distinct import distinct_by_digest
 from rideframe.operators.quantiles import trim_outliers
 from rideframe.functions.dates import duration_minutes
 
@@ -197,14 +198,22 @@ def project_columns(spark, sf_dir):
     )
 
 
-@query(
-    "dedupe_rows",
-    on_trips(
-        """SELECT DISTINCT * FROM (
-        SELECT * FROM trips UNION ALL SELECT * FROM trips WHERE payment_type = 3 AND vendor_id = 1)"""
-    ),
+DEDUPE_SQL = on_trips(
+    """SELECT DISTINCT * FROM (
+    SELECT * FROM trips UNION ALL SELECT * FROM trips WHERE payment_type = 3 AND vendor_id = 1)"""
 )
-def dedupe_rows(spark, sf_dir):
+
+
+def trips_with_copies(spark, sf_dir):
     trips = fx.trips(spark, sf_dir)
-    copies = trips.filter("payment_type = 3 and vendor_id = 1")
-    return clean.dedupe(trips.unionByName(copies))
+    return trips.unionByName(trips.filter("payment_type = 3 and vendor_id = 1"))
+
+
+@query("dedupe_rows", DEDUPE_SQL)
+def dedupe_rows(spark, sf_dir):
+    return clean.dedupe(trips_with_copies(spark, sf_dir))
+
+
+@query("dedupe_rows_by_digest", DEDUPE_SQL)
+def dedupe_rows_by_digest(spark, sf_dir):
+    return distinct_by_digest(trips_with_copies(spark, sf_dir), "trips")

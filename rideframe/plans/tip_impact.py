@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rideframe.functions.dates import duration_minutes
 from rideframe.operators import clean, impact
 from rideframe.operators.binning import with_threshold_bins
+from rideframe.operators.distinct import distinct_by_digest
 from rideframe.operators.quantiles import trim_outliers
 from rideframe.operators.weather import attach_weather, describe_weather, one_row_per_date
 from rideframe.session import stage
@@ -26,16 +27,33 @@ def _with_duration(trips: DataFrame, form: str) -> DataFrame:
     return trips.withColumn("trip_duration_min", minutes)
 
 
+def plausible_tip_trips(raw: Mapping[str, DataFrame]) -> DataFrame:
+    """Complete and plausible trips of all services, copies included."""
+    trips = union_services(*[tip_trips(df, service) for service, df in raw.items()])
+    trips = clean.drop_incomplete_nan(trips)
+    return clean.filter_positive_duration(clean.filter_tip_sanity(clean.filter_vendor(trips)))
+
+
 def clean_tip_trips_services(raw: Mapping[str, DataFrame]) -> DataFrame:
     """Distinct, complete and plausible trips, told apart by ``SERVICE``.
 
     The filters stand before ``dedupe``, so that only plausible trips are shuffled. The
     service is a column of the trips, so equal trips of two services both stay.
     """
-    trips = union_services(*[tip_trips(df, service) for service, df in raw.items()])
-    trips = clean.drop_incomplete_nan(trips)
-    trips = clean.filter_positive_duration(clean.filter_tip_sanity(clean.filter_vendor(trips)))
-    return _with_duration(clean.dedupe(trips), "exact_millis")
+    return _with_duration(clean.dedupe(plausible_tip_trips(raw)), "exact_millis")
+
+
+def _staged_distinct(trips: DataFrame, duration: str, distinct: str) -> DataFrame:
+    """Distinct trips with their duration, written.
+
+    ``distinct`` says what is shuffled to find copies: whole ``rows``, in one job, or only
+    their ``digests``, which pays once the shuffle of the rows is what takes the time.
+    """
+    if distinct == "rows":
+        return stage(_with_duration(clean.dedupe(trips), duration), "tip-trips")
+    if distinct == "digests":
+        return distinct_by_digest(_with_duration(trips, duration), "tip-trips")
+    raise ValueError(f"unknown way to find copies: {distinct!r}")
 
 
 def clean_tip_trips(raw: DataFrame, service: str) -> DataFrame:
@@ -51,17 +69,19 @@ def tip_impact_weather_services(
     quantile_method: str = "approx",
     relative_error: float = QUANTILE_ERROR,
     dedupe_weather: bool = True,
+    distinct: str = "rows",
 ) -> dict[str, DataFrame]:
     """Average tip rate per service and feature bin, weather class and hour bucket.
 
     The cleaned trips of all services are written once, since the quantile bounds and the
-    report both need the distinct rows and these cost the one large shuffle of the plan.
+    report both need the distinct rows and these cost the one large shuffle of the plan;
+    with ``distinct="digests"`` only a hash of each trip is shuffled.
     Each service is trimmed by its own bounds. All three reports share one aggregation of
     the trips, per combination of service, labels and date; the weather is joined with
     these sums, never with trips. ``trim_columns`` with ``payment_type`` in place of the
     distance is the literal form of the outlier bounds.
     """
-    trips = stage(clean_tip_trips_services(raw), "tip-trips")
+    trips = _staged_distinct(plausible_tip_trips(raw), "exact_millis", distinct)
     trips = trim_outliers(
         trips, trim_columns, method=quantile_method, relative_error=relative_error, key=SERVICE, values=list(raw)
     )
@@ -89,33 +109,32 @@ def tip_impact_weather(
     quantile_method: str = "approx",
     relative_error: float = QUANTILE_ERROR,
     dedupe_weather: bool = True,
+    distinct: str = "rows",
 ) -> dict[str, DataFrame]:
     """``tip_impact_weather_services`` of a single service, without its name."""
     reports = tip_impact_weather_services(
-        {service: raw}, weather, lookup, trim_columns, quantile_method, relative_error, dedupe_weather
+        {service: raw}, weather, lookup, trim_columns, quantile_method, relative_error, dedupe_weather, distinct
     )
     return {name: report.drop(SERVICE) for name, report in reports.items()}
 
 
 def clean_tip_trips_df(raw: Mapping[str, DataFrame]) -> DataFrame:
     """Distinct, complete and plausible trips of all services together."""
-    trips = union_services(*[tip_trips(df, service) for service, df in raw.items()])
-    trips = clean.drop_incomplete_nan(trips)
-    trips = clean.filter_positive_duration(clean.filter_tip_sanity(clean.filter_vendor(trips)))
-    trips = clean.filter_payment_type(trips)
-    return _with_duration(clean.dedupe(trips), "exact")
+    return _with_duration(clean.dedupe(clean.filter_payment_type(plausible_tip_trips(raw))), "exact")
 
 
 def tip_impact_df(
     raw: Mapping[str, DataFrame],
     quantile_method: str = "approx",
     relative_error: float = QUANTILE_ERROR,
+    distinct: str = "rows",
 ) -> dict[str, DataFrame]:
     """Tips per combination of bins, in and out of rush hours, and per month.
 
-    The three reports share one aggregation of the trips.
+    The three reports share one aggregation of the trips. ``distinct`` is as in
+    ``tip_impact_weather_services``.
     """
-    trips = stage(clean_tip_trips_df(raw), "tip-trips")
+    trips = _staged_distinct(clean.filter_payment_type(plausible_tip_trips(raw)), "exact", distinct)
     trips = trim_outliers(trips, TRIM_COLUMNS, method=quantile_method, relative_error=relative_error)
     trips = with_threshold_bins(impact.enrich_trips(trips, zero_total=None), TIP_BINS)
     cells = impact.impact_cells(trips, [*IMPACT_KEYS, "is_rush_hour", "year", "month"])
