@@ -107,10 +107,11 @@ class PieceEncoder:
 
 def append_id(ids: np.ndarray, ends: np.ndarray, extra: int) -> Encoded:
     """One more id after each text."""
-    rows = np.arange(1, len(ends))
-    out = np.full(len(ids) + len(rows), extra, np.uint32)
+    out = np.full(len(ids) + len(ends) - 1, extra, np.uint32)
     new_ends = ends + np.arange(len(ends))
-    out[np.arange(len(ids)) + np.repeat(np.arange(len(rows)), np.diff(ends))] = ids
+    own = np.ones(len(out), bool)
+    own[new_ends[1:] - 1] = False
+    out[own] = ids
     return out, new_ends
 
 

@@ -17,6 +17,8 @@ MAX_OPEN = 4096
 #: doc, position in the document, length, tokens of the document, ids.
 Piece = tuple[object, int, int, int, np.ndarray]
 SEQUENCES_PER_TASK = 1 << 32
+#: Text encoded at a time. Encoding takes some twenty times as much for a moment, in every worker.
+ENCODED_BYTES = 1 << 22
 
 PIECE_SCHEMA = pa.schema(
     [
@@ -106,9 +108,14 @@ class SumOfSquaresPacker:
                 self.n_open += 1
 
     def add_document(self, doc, ids: np.ndarray) -> None:
-        """Whole windows first, then the rest by the rule above."""
+        """Whole windows first, then the rest by the rule above.
+
+        The rest is copied: it may wait long, and a view of it would hold all ids around it.
+        """
         for start in range(0, len(ids), self.window):
             part = ids[start : start + self.window]
+            if len(part) < self.window:
+                part = part.copy()
             self.add((doc, start, len(part), len(ids), part))
 
     def flush(self) -> None:
@@ -148,7 +155,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = 2048, end
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_path)
         packer = SumOfSquaresPacker(window, TaskContext.get().partitionId() * SEQUENCES_PER_TASK, max_open)
-        for part in text_slices(batches, "text"):
+        for part in text_slices(batches, "text", ENCODED_BYTES):
             ids, ends = append_id(*encode.encode(part.column("text")), end_id)
             for row, doc in enumerate(part.column("doc_id").to_pylist()):
                 packer.add_document(doc, ids[ends[row] : ends[row + 1]])

@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 
 from rideframe.llm import toxicity
+from rideframe.llm.encoding import append_id
 from rideframe.llm.packing import SumOfSquaresPacker, pack_documents
 from rideframe.llm.queries import QUERIES
 from tests.llm.data import SF_DIR
@@ -91,3 +92,19 @@ def test_toxicity_query_against_a_plain_scorer(spark):
         assert abs(got[doc].score - score) < 1e-6
     for doc, row in got.items():
         assert row.held_out == (zlib.crc32(str(doc).encode()) % 3 == 1) and row.predicted == int(row.score >= 0.7)
+
+
+def test_open_windows_hold_no_ids_but_their_own():
+    packer = SumOfSquaresPacker(64)
+    for doc in range(50):
+        ids = np.arange(100_000, dtype=np.uint32)
+        packer.add_document(doc, ids[: 64 + 1 + doc % 20])  # a window and a rest, of a large array of ids
+    waiting = [piece for pieces in packer.open.values() for window in pieces for piece in window]
+    assert waiting
+    assert all(piece[4].base is None and len(piece[4]) == piece[2] for piece in waiting)
+
+
+def test_appended_ids_follow_each_text():
+    ids, ends = append_id(np.array([5, 6, 7], np.uint32), np.array([0, 2, 2, 3]), 1)
+    assert ids.tolist() == [5, 6, 1, 1, 7, 1]
+    assert ends.tolist() == [0, 3, 4, 6]
