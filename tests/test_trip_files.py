@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 
 from rideframe.catalog import fixtures as fx
+from rideframe.catalog.filters import filter_positive_duration
 from rideframe.catalog.scalars import bin_thresholds
 
 SCHEMA = (
@@ -39,6 +40,12 @@ def test_row_local_queries_write_no_trips(spark, folder):
     assert out.count() == 420
 
 
+def test_trips_of_the_duration_filter_are_not_shuffled(spark, folder):
+    out = filter_positive_duration(spark, folder)
+    assert "Exchange" not in executed(out)
+    assert all("lineitem" in file for file in out.inputFiles())
+
+
 def test_written_trips_are_the_derived_ones(spark, folder):
     derived = fx.trips(spark, folder)
     written = spark.read.parquet(fx.trip_files(spark, folder)).select(derived.columns)
