@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rideframe.functions.rounding import half_up
+from rideframe.functions.rounding import half_up_double
 from rideframe.spec import HOUR_BUCKETS, RUSH_HOURS, WEEKDAY_SURCHARGE
 
 ISO_MINUTES = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2})?$"
@@ -62,7 +62,7 @@ def duration_minutes(pickup: Column, dropoff: Column, form: str = "millis") -> C
     if form == "millis":
         return minutes_of_millis(millis_between(pickup, dropoff), 4)
     if form == "seconds":
-        return half_up(whole_seconds_between(pickup, dropoff) / 60.0, 2)
+        return half_up_double(whole_seconds_between(pickup, dropoff) / 60.0, 2)
     if form == "exact":
         return whole_seconds_between(pickup, dropoff) / 60.0
     if form == "exact_millis":

@@ -9,7 +9,7 @@ from operator import add
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rideframe.functions.rounding import half_up, half_up_binary
+from rideframe.functions.rounding import half_up_binary, half_up_double
 from rideframe.spec import LONG_TRIP_MILES, LONG_TRIP_MINUTES
 
 
@@ -19,7 +19,7 @@ def fee_total(fees: Sequence[Column], distinct: bool = False, decimals: int | No
         total = F.aggregate(F.array_distinct(F.array(*fees)), F.lit(0.0), add)
     else:
         total = reduce(add, fees)
-    return total if decimals is None else half_up(total, decimals)
+    return total if decimals is None else half_up_double(total, decimals)
 
 
 def unit_price(amount: Column, quantity: Column, form: str = "binary") -> Column:
@@ -28,12 +28,12 @@ def unit_price(amount: Column, quantity: Column, form: str = "binary") -> Column
     if form == "binary":
         return half_up_binary(price, 2)
     if form == "decimal":
-        return half_up(price, 2)
+        return half_up_double(price, 2)
     raise ValueError(f"unknown rounding form {form!r}")
 
 
 def price_deviation(price: Column, average: Column, decimals: int = 4) -> Column:
-    return half_up(price - average, decimals)
+    return half_up_double(price - average, decimals)
 
 
 def price_deviation_pct(price: Column, average: Column, form: str = "rounded_diff") -> Column:
@@ -43,9 +43,9 @@ def price_deviation_pct(price: Column, average: Column, form: str = "rounded_dif
     ``direct`` starts from the plain difference and keeps two.
     """
     if form == "rounded_diff":
-        return half_up(F.try_divide(price_deviation(price, average), average) * 100, 4)
+        return half_up_double(F.try_divide(price_deviation(price, average), average) * 100, 4)
     if form == "direct":
-        return half_up(F.try_divide((price - average) * 100, average), 2)
+        return half_up_double(F.try_divide((price - average) * 100, average), 2)
     raise ValueError(f"unknown deviation form {form!r}")
 
 

@@ -11,6 +11,25 @@ def half_up(value: Column, decimals: int) -> Column:
     return F.round(value, decimals)
 
 
+#: What a scaled double may be off by, as a share of it and at least; nearer to a tie it is not told apart from one.
+SCALED_SHARE = 1e-15
+NEAR_TIE = 1e-4
+
+
+def half_up_double(value: Column, decimals: int) -> Column:
+    """``half_up`` of a double, with decimal arithmetic only next to a tie or for large numbers.
+
+    Elsewhere the nearest whole number of units is certain, and its quotient by the scale is
+    the double nearest to the decimal that ``half_up`` gives: the results are equal. Zero added
+    makes a negative zero a plain one, as decimals have it.
+    """
+    scale = float(10**decimals)
+    scaled = value * scale
+    units = F.rint(scaled)
+    certain = F.abs(scaled - units) + F.abs(scaled) * SCALED_SHARE < 0.5 - NEAR_TIE
+    return F.when(certain, (units + 0.0) / scale).otherwise(F.round(value, decimals))
+
+
 def half_up_binary(value: Column, decimals: int) -> Column:
     """Round by scaling the double itself; differs from ``half_up`` only at ties.
 

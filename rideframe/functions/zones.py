@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rideframe.functions.dates import millis_of_day
-from rideframe.functions.rounding import half_up
+from rideframe.functions.rounding import half_up_double
 from rideframe.spec import ZoneSpec
 
 HOUR_MS = 3_600_000
@@ -89,4 +89,4 @@ def zone_minutes(
 
 def zone_share(minutes: Column, duration: Column, decimals: int = 4) -> Column:
     """Share of the duration in percent; null if the duration is zero or null."""
-    return half_up(F.try_divide(minutes * 100, duration), decimals)
+    return half_up_double(F.try_divide(minutes * 100, duration), decimals)

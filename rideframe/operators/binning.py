@@ -44,12 +44,9 @@ def quantile_splits(
 
 
 def quantile_splits_by_key(
-    df: DataFrame, scales: Mapping[str, int], key: str, values: Sequence[str], weight: str
+    df: DataFrame, scales: Mapping[str, int], key: str, values: Sequence[str], weight: str | None = None
 ) -> dict[str, dict[str, list[float]]]:
-    """Splits of each column for each value of ``key``, from rows that stand for ``weight`` rows each.
-
-    They are exact: the rows are counted already, which is what exact quantiles cost.
-    """
+    """Exact splits of each column for each value of ``key``; a row stands for ``weight`` rows, or for itself."""
     found = exact_quantiles_by_key(df, list(scales), _steps(scales), key, values, weight)
     return {value: {c: _distinct(points) for c, points in found[value].items()} for value in values}
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,6 +39,8 @@ def feature_profile(
     decimals: int = 4,
     weight: str | None = None,
     keys: Sequence[str] = (),
+    numbers: Sequence[str] | None = None,
+    label: Callable[[DataFrame], DataFrame] = lambda counted: counted,
 ) -> DataFrame:
     """Rows per feature value and pair of deviation bins, with their share of all rows.
 
@@ -47,11 +49,14 @@ def feature_profile(
 
     Rows are first counted per combination of all features and labels, which needs one
     update per row; only these combinations are turned into one row per feature. Values
-    are written as text there too, not on every row.
+    are written as text there too, not on every row. ``numbers`` names columns that stand for
+    the features and labels in this count, and ``label`` puts those in their place afterwards:
+    numbers are short to group by and to move.
     """
     keys = list(keys)
     count = F.sum(weight) if weight else F.count(F.lit(1))
-    cells = df.groupBy(*keys, *features, distance_label, time_label).agg(count.alias("n_rows"))
+    combined = [*features, distance_label, time_label] if numbers is None else numbers
+    cells = label(df.groupBy(*keys, *combined).agg(count.alias("n_rows")))
     counted = (
         cells.select(
             *keys,

@@ -68,12 +68,17 @@ def _label_starts(df: DataFrame, labels: dict[str, int]) -> DataFrame:
     )
 
 
-def _with_deviation_labels(df: DataFrame) -> DataFrame:
+# Labels of the deviation bins and the width of their bins.
+DEVIATION_LABELS = {f"{price}_diff_pcg_label": PRICE_STEP for price in classes.PRICES}
+DEVIATION_STARTS = _starts(list(DEVIATION_LABELS), DEVIATION_LABELS)
+
+
+def _with_deviation_starts(df: DataFrame) -> DataFrame:
     return df.select(
         "*",
         *[
-            bins.bin_step(F.col(f"{price}_diff_pcg"), PRICE_STEP).alias(f"{price}_diff_pcg_label")
-            for price in classes.PRICES
+            bins.step_start(F.col(f"{price}_diff_pcg"), PRICE_STEP).alias(start)
+            for price, start in zip(classes.PRICES, DEVIATION_STARTS)
         ],
     )
 
@@ -173,8 +178,7 @@ def price_anomaly_of_cells(cells: DataFrame, class_columns: Sequence[str] = PRIC
     keys = [SERVICE, *_starts(class_columns, STEP_LABELS)]
     averages = classes.class_averages(cells, keys, weight="n_trips")
     cells = classes.attach_class_averages(cells, averages, keys)
-    cells = _with_deviation_labels(classes.with_price_deviation(cells))
-    cells = _label_starts(cells, STEP_LABELS)
+    cells = _with_deviation_starts(classes.with_price_deviation(cells))
     report = feature_profile(
         cells,
         PRICE_CLASS_COLUMNS,
@@ -182,6 +186,8 @@ def price_anomaly_of_cells(cells: DataFrame, class_columns: Sequence[str] = PRIC
         "cost_per_time_diff_pcg_label",
         weight="n_trips",
         keys=[SERVICE],
+        numbers=[*CELL_FEATURES, *DEVIATION_STARTS],
+        label=lambda counted: _label_starts(counted, STEP_LABELS | DEVIATION_LABELS),
     )
     return conform(report, SERVICE_PROFILE_SCHEMA)
 
@@ -229,25 +235,29 @@ def clean_price_trips_df(raw: DataFrame, service: str) -> DataFrame:
     trips = canonical_trips(clean.drop_incomplete_nan(raw.drop("ehail_fee")), service)
     trips = clean.filter_feature_ranges_df(trips)
     pickup, dropoff = F.col("pickup_datetime"), F.col("dropoff_datetime")
-    trips = trips.select(
+    # One second is the shortest duration whose minutes, at two decimals, are above zero.
+    trips = trips.filter(dates.whole_seconds_between(pickup, dropoff) > 0).select(
         "*",
         dates.duration_minutes(pickup, dropoff, "seconds").alias("duration_minutes"),
         dates.weekday_surcharge(pickup).alias("weekday_surcharge"),
-    ).filter(F.col("duration_minutes") > 0)
+    )
     return clean.filter_fee_signs(trips)
 
 
-def with_price_features_df(
-    trips: DataFrame, zone_unit: str = "minute", midnight_gap_s: int = 0
-) -> DataFrame:
-    pickup = F.col("pickup_datetime")
-    duration, fare = F.col("duration_minutes"), F.col("fare_amount")
+def _with_charges_df(trips: DataFrame) -> DataFrame:
     fees = [F.col(c) for c in FEE_COLUMNS_WITH_TOLLS if c in trips.columns]
-    minutes = _overnight(zone_unit, midnight_gap_s)
     return _with_day_span(trips).select(
-        *[F.col(c) for c in trips.columns],
-        F.year(pickup).alias("year"),
+        "*",
+        F.year("pickup_datetime").alias("year"),
         money.fee_total(fees, decimals=2).alias("aggregate_fee"),
+    )
+
+
+def _with_prices_df(trips: DataFrame, zone_unit: str, midnight_gap_s: int) -> DataFrame:
+    duration, fare = F.col("duration_minutes"), F.col("fare_amount")
+    minutes = _overnight(zone_unit, midnight_gap_s)
+    return trips.select(
+        *[F.col(c) for c in trips.columns if c not in SPAN],
         zones.zone_share(minutes, duration, 2).alias("duration_minutes_overnight_pcg"),
         money.unit_price(fare, F.col("trip_distance"), "decimal").alias("cost_per_distance"),
         money.unit_price(fare, duration, "decimal").alias("cost_per_time"),
@@ -256,6 +266,12 @@ def with_price_features_df(
     )
 
 
+def with_price_features_df(
+    trips: DataFrame, zone_unit: str = "minute", midnight_gap_s: int = 0
+) -> DataFrame:
+    return _with_prices_df(_with_charges_df(trips), zone_unit, midnight_gap_s)
+
+
 FEE, OVERNIGHT_SHARE = "aggregate_fee", "duration_minutes_overnight_pcg"
 
 
@@ -276,23 +292,23 @@ def _binned_cells_df(
 ) -> tuple[DataFrame, dict[str, list[float]]]:
     """Trips counted per service, class and prices, and the splits of the fee bins by service.
 
-    The trips are scanned and shuffled once: counted per fee, overnight share, other class
-    columns and prices, which all have two decimals at most, and written. Quantiles come
-    from these counts, exactly, and bins take the place of the two values afterwards.
+    The trips are scanned once and written with the few columns that the rest needs. Quantiles
+    are exact, from counts of the written fees and overnight shares, and bins take the place of
+    these before the only shuffle of trip-sized data. Unit prices and their classes are
+    computed in that second pass: all of it at once is more than one method that gets compiled.
     """
     names = _cell_names_df(PRICE_CLASS_COLUMNS_DF)
     values = {f"{FEE}_bin": FEE, f"{OVERNIGHT_SHARE}_bin": OVERNIGHT_SHARE}
-    columns = [values.get(c, c) for c in names]
+    written = ("passenger_count", "store_and_fwd_flag", "payment_type", FEE, "year")
+    measures = (*SPAN, "duration_minutes", "trip_distance", "fare_amount")
     parts = [
-        with_price_features_df(clean_price_trips_df(df, service), zone_unit, midnight_gap_s).select(
-            SERVICE, *columns, *classes.PRICES
-        )
+        _with_charges_df(clean_price_trips_df(df, service)).select(SERVICE, *written, *measures)
         for service, df in raw.items()
     ]
-    cells = stage(classes.price_cells(union_services(*parts), [SERVICE, *columns]), "price-cells")
+    trips = _with_prices_df(stage(union_services(*parts), "price-trips"), zone_unit, midnight_gap_s)
     scales = {FEE: FEE_QUANTILE_BINS, OVERNIGHT_SHARE: OVERNIGHT_QUANTILE_BINS}
-    splits = quantile_splits_by_key(cells, scales, SERVICE, list(raw), weight="n_trips")
-    binned = cells.withColumns(
+    splits = quantile_splits_by_key(trips, scales, SERVICE, list(raw))
+    binned = trips.withColumns(
         {
             c: _bins_of_service(
                 {service: found[value] for service, found in splits.items()},
@@ -301,8 +317,8 @@ def _binned_cells_df(
             for c, value in values.items()
         }
     )
-    merged = binned.groupBy(SERVICE, *names, *classes.PRICES).agg(F.sum("n_trips").alias("n_trips"))
-    return merged, {service: found[FEE] for service, found in splits.items()}
+    cells = classes.price_cells(binned, [SERVICE, *names])
+    return cells, {service: found[FEE] for service, found in splits.items()}
 
 
 def _with_labels_df(cells: DataFrame, fee_splits: Mapping[str, list[float]]) -> DataFrame:
@@ -350,15 +366,17 @@ def price_anomaly_df_services(
         cells, keys, decimals=2, positive_only=False, weight="n_trips"
     )
     cells = classes.attach_class_averages(cells, averages, keys, how="left")
-    cells = _with_deviation_labels(classes.with_price_deviation(cells, "direct"))
+    cells = _with_deviation_starts(classes.with_price_deviation(cells, "direct"))
     report = feature_profile(
-        _with_labels_df(cells, fee_splits),
+        cells,
         PRICE_CLASS_COLUMNS_DF,
         "cost_per_distance_diff_pcg_label",
         "cost_per_time_diff_pcg_label",
         decimals=2,
         weight="n_trips",
         keys=[SERVICE],
+        numbers=[*_cell_names_df(PRICE_CLASS_COLUMNS_DF), *DEVIATION_STARTS],
+        label=lambda counted: _label_starts(_with_labels_df(counted, fee_splits), DEVIATION_LABELS),
     )
     return conform(report, SERVICE_PROFILE_SCHEMA)
 

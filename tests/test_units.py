@@ -287,3 +287,15 @@ def test_merged_value_bins_on_a_narrow_range(spark):
     assert len([1 for f, _ in out if f == "f"]) == 15
     assert ("f", ">=8") in out and ("f", "[-8|-6)") in out
     assert sum(1 for f, _ in out if f == "g") == 20
+
+
+def test_rounding_of_doubles_is_that_of_their_text(spark):
+    rows = spark.range(200_000).selectExpr(
+        "(id - 100000) / 1000D as thousandths", "(id - 100000) / 7D as sevenths", "(id * 7919 % 1000003) / 64D as sixty_fourths"
+    )
+    odd = [0.0, -0.0, -0.001, 45e12 + 0.005, 4.5e11 + 0.125, 1.005, -1.005, 0.285, 2.675, 1e15 + 0.3, 123456789012.125, -1e300, 1e-9, math.inf, -math.inf, math.nan, None]
+    rows = rows.unionAll(spark.createDataFrame([(x, x, x) for x in odd], rows.schema))
+    for decimals in (2, 4):
+        for name in rows.columns:
+            fast, slow = (form(F.col(name), decimals) for form in (rounding.half_up_double, rounding.half_up))
+            assert rows.filter(~fast.cast("string").eqNullSafe(slow.cast("string"))).isEmpty(), (name, decimals)
