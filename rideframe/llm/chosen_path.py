@@ -113,7 +113,8 @@ def _children(path: Column, sketch: Column, similarity: float) -> Column:
         return F.xxhash64(path, order, F.element_at(sketch, order + 1))
 
     second = F.pmod(F.xxhash64(path, F.lit("second?")), F.lit(10_000)) < int(10_000 * (1 / similarity - 1))
-    return F.when(second, F.array(child("first"), child("second"))).otherwise(F.array(child("first")))
+    # The two may take the same order and so be one child.
+    return F.when(second, F.array_distinct(F.array(child("first"), child("second")))).otherwise(F.array(child("first")))
 
 
 def _leaves(classes: DataFrame, similarity: float, runs: int) -> tuple[DataFrame, DataFrame | None]:
@@ -125,9 +126,8 @@ def _leaves(classes: DataFrame, similarity: float, runs: int) -> tuple[DataFrame
     level = classes.select("node", "sketch", start.alias("path"))
     leaves = None
     for depth in range(1, DEPTH + 1):
+        # Children of different paths differ, and those of one path are told apart: no row comes twice.
         members = level.select("node", F.explode(_children(F.col("path"), F.col("sketch"), similarity)).alias("path"))
-        if depth > 1:
-            members = members.distinct()
         members = _sized(members, "path-members")
         done = members.filter(F.col("size") <= BUCKET)
         leaves = done if leaves is None else leaves.unionAll(done)

@@ -88,6 +88,11 @@ def link_batch(rows: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.Reco
     return pa.RecordBatch.from_arrays(columns, ["node", "links", "root"])
 
 
+def _seen(edges: DataFrame) -> tuple:
+    """The number of edges and the sum of their hashes."""
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """The smallest node that each node reaches: node, component, for nodes with an edge.
 
@@ -104,9 +109,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
         larger = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stage(larger.distinct(), "edges")
         low = stage(edges.groupBy("u").agg(F.min("v").alias("m")), "minima")
-        smaller = edges.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
-        edges = stage(smaller.unionAll(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        seen = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        seen = _seen(edges)
+        if low.count() < seen[0]:  # else every node has one smaller neighbour, and the second star changes nothing
+            smaller = edges.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+            edges = stage(smaller.unionAll(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+            seen = _seen(edges)
         if seen == state:
             break
         state = seen

@@ -8,7 +8,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from rideframe.llm import toxicity
+from pyspark.sql import functions as F
+
+from rideframe.llm import chosen_path, toxicity
 from rideframe.llm.encoding import append_id
 from rideframe.llm.packing import SumOfSquaresPacker, pack_documents
 from rideframe.llm.queries import QUERIES
@@ -108,3 +110,10 @@ def test_appended_ids_follow_each_text():
     ids, ends = append_id(np.array([5, 6, 7], np.uint32), np.array([0, 2, 2, 3]), 1)
     assert ids.tolist() == [5, 6, 1, 1, 7, 1]
     assert ends.tolist() == [0, 3, 4, 6]
+
+
+def test_children_of_a_set_are_distinct(spark):
+    rows = spark.range(4000).select(F.xxhash64("id").alias("path"), F.array(*[F.lit(k) for k in range(chosen_path.COORDINATES)]).alias("sketch"))
+    children = rows.select(chosen_path._children(F.col("path"), F.col("sketch"), 0.5).alias("c")).persist()
+    assert children.filter(F.size("c") != F.size(F.array_distinct("c"))).isEmpty()
+    assert children.filter(F.size("c") == 2).count() > 3000
