@@ -5,13 +5,13 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Callable
-from itertools import chain, compress
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from rideframe.llm.support import filled, ragged_positions, split_lists
+from rideframe.llm.support import filled, ragged_positions, split_lists, strings
 
 CACHED_PIECES = 500_000
 #: Characters that normalisation leaves as they are, that have one lower-case form and are no white space.
@@ -47,20 +47,24 @@ class PieceEncoder:
         self.starts = np.zeros(0, np.int64)
         self.counts = np.zeros(0, np.int64)
 
-    def _keep_only(self, pieces: list[str]) -> None:
-        numbers = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+    def _keep_only(self, pieces: list[str], numbers: np.ndarray) -> None:
         counts = self.counts[numbers]
         ids = self.ids[ragged_positions(self.starts[numbers], counts)]
         self.forget()
         self._add(pieces, ids, counts)
 
     def _numbers(self, pieces: list[str]) -> np.ndarray:
-        fresh = [p for p in pieces if p not in self.known]
+        """The numbers of distinct pieces, each looked up once."""
+        numbers = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        held = numbers >= 0
+        fresh = list(compress(pieces, ~held))
         if len(self.known) + len(fresh) > self.kept:
-            self._keep_only([p for p in pieces if p in self.known])
+            self._keep_only(list(compress(pieces, held)), numbers[held])
+            numbers[held] = np.arange(len(self.known))
         if fresh:
+            numbers[~held] = len(self.known) + np.arange(len(fresh))
             self._add(fresh, *self.encode_pieces(fresh))
-        return np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        return numbers
 
     def _add(self, pieces: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
@@ -81,7 +85,7 @@ class PieceEncoder:
         else:
             texts = pc.replace_substring(texts, "\n", " ")
         offsets, coded = split_lists(pc.split_pattern(texts, "\x00" if self.keep_space else " "))
-        numbers = self._numbers(coded.dictionary.to_pylist())
+        numbers = self._numbers(strings(coded.dictionary))
         return offsets, numbers[coded.indices.to_numpy(zero_copy_only=False)], whole
 
     def count(self, texts: pa.Array) -> np.ndarray:
@@ -132,7 +136,7 @@ def _space_rule(config: dict) -> bool | None:
     return None
 
 
-def library_encoder(path: str) -> PieceEncoder | WholeEncoder:
+def library_encoder(path: str, kept: int = CACHED_PIECES) -> PieceEncoder | WholeEncoder:
     """An encoder over a file of the tokenizers library, without added begin or end tokens.
 
     A piece of simple characters is cut into the matches of the vocabulary's own pattern, all pieces at once, and
@@ -180,7 +184,7 @@ def library_encoder(path: str) -> PieceEncoder | WholeEncoder:
         ends, coded = split_lists(pc.split_pattern(pc.replace_substring_regex(texts, matches, "\\0\x00"), "\x00"))
         codes = np.delete(coded.indices.to_numpy(zero_copy_only=False), ends[1:] - 1)
         ends -= np.arange(len(ends))
-        match_ids, match_counts = encode_matches(coded.dictionary.to_pylist())
+        match_ids, match_counts = encode_matches(strings(coded.dictionary))
         sizes = match_counts[codes]
         ids = match_ids[ragged_positions((np.cumsum(match_counts) - match_counts)[codes], sizes)]
         counts = np.zeros(len(pieces), np.int64)
@@ -193,7 +197,7 @@ def library_encoder(path: str) -> PieceEncoder | WholeEncoder:
         out[from_matches], out[~from_matches] = ids, others
         return out, counts
 
-    return PieceEncoder(encode_pieces, lambda text: encode_each([text])[0], rule)
+    return PieceEncoder(encode_pieces, lambda text: encode_each([text])[0], rule, kept)
 
 
 def _as_symbols(words: list[str]) -> list[str]:
@@ -239,11 +243,11 @@ def sentence_encoder(path: str) -> WholeEncoder:
     return WholeEncoder(encode_each)
 
 
-_ENCODERS: dict[str, PieceEncoder | WholeEncoder] = {}
+_ENCODERS: dict[tuple[str, int], PieceEncoder | WholeEncoder] = {}
 
 
-def encoder(path: str) -> PieceEncoder | WholeEncoder:
+def encoder(path: str, kept: int = CACHED_PIECES) -> PieceEncoder | WholeEncoder:
     """The encoder of a file, loaded once per worker: tokenizers for .json, sentencepiece for .model."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = sentence_encoder(path) if path.endswith(".model") else library_encoder(path)
-    return _ENCODERS[path]
+    if (path, kept) not in _ENCODERS:
+        _ENCODERS[path, kept] = sentence_encoder(path) if path.endswith(".model") else library_encoder(path, kept)
+    return _ENCODERS[path, kept]

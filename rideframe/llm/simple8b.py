@@ -18,6 +18,10 @@ from rideframe.llm.support import binary_array, reach_workers, text_slices
 SELECTORS = ((1, 64), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 COUNTS = np.array([c for c, _ in SELECTORS])
 BLOCK = 1024
+#: The most values of some bits that a word holds.
+ROOM = 60
+#: Pieces of text that a worker remembers with their ids.
+KEPT_PIECES = 1_000_000
 
 FILE_SCHEMA = "shard int, first_id long, n_ids long, words binary, block_words binary, doc_ids array<long>, doc_tokens array<long>"
 
@@ -67,28 +71,30 @@ def encode_blocks(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, n
         steps.append((active, at))
         position[active] = at + COUNTS[choice[active, at]]
         active = active[position[active] < fill[active]]
-    rows = np.concatenate([s[0] for s in steps])
-    starts = np.concatenate([s[1] for s in steps])
-    order = np.lexsort((starts, rows))
-    rows, starts = rows[order], starts[order]
-    selectors = choice[rows, starts].astype(np.int64)
+    begins = np.zeros((n_blocks, block), bool)
+    for row, at in steps:
+        begins[row, at] = True
+    rows, starts = np.nonzero(begins)
+    selectors = choice[begins].astype(np.int64)
     sizes = 1 + (selectors == 0)
     places = np.cumsum(sizes) - sizes
     words = np.zeros(int(sizes.sum()), np.uint64)
-    words[places] = selectors.astype(np.uint64) << np.uint64(60)
-    flat = rows * block + starts
-    padded = np.concatenate([grid, np.zeros(240, np.uint64)])
-    ends = (rows + 1) * block
+    # Each block is followed by room for the values that its last word does not have.
+    padded = np.zeros((n_blocks, block + ROOM), np.uint64)
+    padded[:, :block] = grid.reshape(n_blocks, block)
+    padded = padded.ravel()
+    flat = rows * (block + ROOM) + starts
     for selector in range(16):
         here = np.flatnonzero(selectors == selector)
         count, width = SELECTORS[selector]
+        at = flat[here]
         if selector == 0:
-            words[places[here] + 1] = grid[flat[here]]
+            words[places[here] + 1] = padded[at]
             continue
+        word = np.full(len(here), selector << 60, np.uint64)
         for k in range(count if width else 0):
-            at = flat[here] + k
-            value = np.where(at < ends[here], padded[at], np.uint64(0))
-            words[places[here]] |= value << np.uint64(k * width)
+            word |= padded[at + k] << np.uint64(k * width)
+        words[places[here]] = word
     per_block = np.bincount(rows, weights=sizes, minlength=n_blocks).astype(np.int64)
     return words, np.concatenate([[0], np.cumsum(per_block)])
 
@@ -108,21 +114,20 @@ def decode_blocks(words: np.ndarray, block_words: np.ndarray, n: int, block: int
     block_of = np.searchsorted(block_words, real, side="right") - 1
     total = np.concatenate([[0], np.cumsum(counts)])
     first_word = np.searchsorted(real, block_words[:-1])
-    starts = total[:-1] - total[first_word][block_of] + block_of * block
-    out = np.zeros((len(block_words) - 1) * block + 240, np.uint64)
-    ends = (block_of + 1) * block
+    starts = total[:-1] - total[first_word][block_of] + block_of * (block + ROOM)
+    out = np.zeros((len(block_words) - 1, block + ROOM), np.uint64)
+    flat = out.ravel()  # what the last word of a block has beyond its end falls into the room after it
     for selector in range(16):
         here = np.flatnonzero(chosen == selector)
         count, width = SELECTORS[selector]
         if selector == 0:
-            out[starts[here]] = words[real[here] + 1]
+            flat[starts[here]] = words[real[here] + 1]
             continue
         mask = np.uint64((1 << width) - 1)
+        word, at = words[real[here]], starts[here]
         for k in range(count if width else 0):
-            at = starts[here] + k
-            inside = at < ends[here]
-            out[at[inside]] = (words[real[here[inside]]] >> np.uint64(k * width)) & mask
-    return out[:n]
+            flat[at + k] = (word >> np.uint64(k * width)) & mask
+    return out[:, :block].ravel()[:n]
 
 
 def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = 1) -> None:
@@ -138,7 +143,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id:
     reach_workers(docs.sparkSession)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_texts = encoder(tokenizer_path)
+        encode_texts = encoder(tokenizer_path, KEPT_PIECES)
         shard = TaskContext.get().partitionId()
         before = 0
         for part in text_slices(batches, "text"):

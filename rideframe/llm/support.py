@@ -56,6 +56,11 @@ def filled(texts: pa.Array) -> pa.Array:
     return pc.fill_null(texts.cast(pa.string()), "")
 
 
+def strings(texts: pa.Array) -> list[str]:
+    """The texts of an array without nulls, some times faster than one scalar after another."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
 def ragged_positions(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions start, start + 1, ... for each pair of a start and a length, one after another."""
     lengths = lengths.astype(np.int64, copy=False)

@@ -10,7 +10,7 @@ import tiktoken
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from rideframe.llm.encoding import append_id, encoder, library_encoder
+from rideframe.llm.encoding import PieceEncoder, append_id, encoder, library_encoder
 from rideframe.llm.merge_replay import MergeReplay, read_ranks, replay_encoder
 from rideframe.llm.packing import SumOfSquaresPacker
 from rideframe.llm.simple8b import decode_blocks, encode_blocks
@@ -160,3 +160,43 @@ def test_encoder_equals_the_library_on_odd_texts(name):
         wanted = [e.ids for e in library.encode_batch(part, add_special_tokens=False)]
         assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == wanted
         assert own.count(pa.array(part)).tolist() == list(map(len, wanted))
+
+
+def test_pieces_are_looked_up_once_and_forgotten_ones_encoded_again():
+    class Known(dict):
+        looked_up = 0
+
+        def get(self, *args):
+            Known.looked_up += 1
+            return super().get(*args)
+
+        def __getitem__(self, key):
+            Known.looked_up += 1
+            return super().__getitem__(key)
+
+        def __contains__(self, key):
+            Known.looked_up += 1
+            return super().__contains__(key)
+
+    def encode_pieces(pieces):
+        return np.array([ord(c) for p in pieces for c in p], np.uint32), np.array([len(p) for p in pieces], np.int64)
+
+    encode = PieceEncoder(encode_pieces, lambda text: encode_pieces([text])[0], False, kept=4)
+    encode.known = Known()
+    for text in ("ab c ab def", "ab gh c", "i jk l def m", "", "ab c"):
+        ids, ends = encode.encode(pa.array([text, "ab"]))
+        assert ids.tolist() == [ord(c) for c in text.replace(" ", "") + "ab"]
+        assert ends.tolist() == [0, len(ids) - 2, len(ids)]
+        if text == "ab c ab def":
+            assert Known.looked_up == 3
+
+
+def test_blocks_of_every_size_end_with_words_that_are_not_full():
+    rng = np.random.default_rng(8)
+    for n in (1, 59, 60, 61, 1023, 1024, 1025, 3000):
+        for bits in (1, 7, 16, 60, 64):
+            values = rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2) >> np.uint64(64 - bits)
+            for block in (1, 64, 1024):
+                words, block_words = encode_blocks(values, block)
+                assert len(block_words) == -(-n // block) + 1
+                assert np.array_equal(decode_blocks(words, block_words, n, block), values)
