@@ -128,6 +128,8 @@ def _leaves(classes: DataFrame, similarity: float, runs: int) -> tuple[DataFrame
     for depth in range(1, DEPTH + 1):
         # Children of different paths differ, and those of one path are told apart: no row comes twice.
         members = level.select("node", F.explode(_children(F.col("path"), F.col("sketch"), similarity)).alias("path"))
+        if depth > 1:  # written once, as the join for it is not to be made for the sizes and again for the members
+            members = stage(members, "path-children")
         members = _sized(members, "path-members")
         done = members.filter(F.col("size") <= BUCKET)
         leaves = done if leaves is None else leaves.unionAll(done)

@@ -96,12 +96,13 @@ def _seen(edges: DataFrame) -> tuple:
 def connected_components(edges: DataFrame) -> DataFrame:
     """The smallest node that each node reaches: node, component, for nodes with an edge.
 
-    ``edges`` has columns a and b (long). Alternates the two star operations until nothing
-    changes: every larger neighbour of a node is pointed at the node's smallest neighbour,
+    ``edges`` has columns a and b (long) and is read twice; a pair may come several times. Alternates the two
+    star operations until every node points at one that points at none, or nothing changes:
+    every larger neighbour of a node is pointed at the node's smallest neighbour,
     then every node's smaller neighbours are. Each half round is written to the shared folder,
     the minima first, so that the join with them can be split at a node with many neighbours.
     """
-    edges = stage(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "edges")
+    edges = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v")
     state = None
     for _ in range(MAX_ROUNDS):
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -110,10 +111,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
         edges = stage(larger.distinct(), "edges")
         low = stage(edges.groupBy("u").agg(F.min("v").alias("m")), "minima")
         seen = _seen(edges)
-        if low.count() < seen[0]:  # else every node has one smaller neighbour, and the second star changes nothing
+        if low.count() < seen[0]:
             smaller = edges.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
             edges = stage(smaller.unionAll(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
             seen = _seen(edges)
+        # Else every node has one smaller neighbour: the second star changes nothing, and if none of
+        # these neighbours has one, neither does any further round.
+        elif low.join(low.select(F.col("m").alias("u")).distinct(), "u", "left_semi").isEmpty():
+            break
         if seen == state:
             break
         state = seen
@@ -125,6 +130,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
 def summarise(found: DataFrame) -> DataFrame:
     """Links and component of every linked node, from rows of node, links and root."""
     found = stage(found, "links")
-    totals = stage(found.groupBy("node").agg(F.sum("links").alias("links")), "link-counts")
+    totals = found.groupBy("node").agg(F.sum("links").alias("links"))
     parts = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     return stage(totals.join(parts, "node"), "linked")

@@ -10,10 +10,11 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from rideframe.llm import chosen_path, toxicity
+from rideframe.llm import chosen_path, links, toxicity
 from rideframe.llm.encoding import append_id
 from rideframe.llm.packing import SumOfSquaresPacker, pack_documents
 from rideframe.llm.queries import QUERIES
+from rideframe.session import stage
 from tests.llm.data import SF_DIR
 from tests.llm.test_operators import BYTE_BPE
 
@@ -117,3 +118,16 @@ def test_children_of_a_set_are_distinct(spark):
     children = rows.select(chosen_path._children(F.col("path"), F.col("sketch"), 0.5).alias("c")).persist()
     assert children.filter(F.size("c") != F.size(F.array_distinct("c"))).isEmpty()
     assert children.filter(F.size("c") == 2).count() > 3000
+
+
+def test_components_of_stars_take_one_round(spark, monkeypatch):
+    names = []
+    monkeypatch.setattr(links, "stage", lambda df, name: names.append(name) or stage(df, name))
+    edges = [(1, 5), (5, 1), (1, 6), (1, 6), (2, 7)]
+    found = links.connected_components(spark.createDataFrame(edges, "a long, b long"))
+    assert sorted(map(tuple, found.collect())) == [(1, 1), (2, 2), (5, 1), (6, 1), (7, 2)]
+    assert len(names) <= 3
+    names.clear()
+    chain = [(i, i + 1) for i in range(40)]
+    found = links.connected_components(spark.createDataFrame(chain, "a long, b long"))
+    assert sorted(map(tuple, found.collect())) == [(i, 0) for i in range(41)]
