@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rideframe.llm.links import LINK_SCHEMA, common_values, groups, link_batch, link_rows, summarise
 from rideframe.llm.pivot_rings import differences, pivots_of, proven_links, ring_links
 from rideframe.llm.support import filled, reach_workers, split_words, text_slices
-from rideframe.session import stage
+from rideframe.session import stage, stage_sized
 
 WORDS = 5
 COORDINATES = 64
@@ -22,6 +22,8 @@ BUCKET = 512
 DEPTH = 4
 #: Pivots that a dense bucket is tried with, one after another.
 PIVOT_ROUNDS = 3
+#: Members of dense buckets whose texts are found by a broadcast of their ids: so many bytes as written.
+FEW_BYTES = 16 << 20
 #: A pair is looked at exactly if at least this share of the sampled tokens agrees: at a
 #: similarity of 0.8 the share lies four standard deviations higher.
 SKETCH_SHARE = 0.6
@@ -157,11 +159,12 @@ def _dense_groups(dense: DataFrame, classes: DataFrame, sets_of, similarity: flo
     compared as any other, a large one gets the next pivot.
     """
     members, rest = [], []
+    # Later rounds have some of the same sets, so texts are looked up once.
+    sets = stage(sets_of(dense.select("node").distinct()), "dense-sets")
     for turn in range(PIVOT_ROUNDS):
         chosen = stage(pivots_of(dense, classes.select("node", "sketch")), "pivots")
         held = stage(dense.select("path", "node").join(chosen, "path"), "pivot-paths")
         pairs = stage(held.select("pivot", "node").distinct().join(classes.select("node", "copies"), "node"), "pivot-pairs")
-        sets = stage(sets_of(pairs.select("node").distinct()), "dense-sets")
         found = stage(differences(pairs, sets, similarity), "differences")
         # Keys of groups are negative, so they come before those of all buckets.
         key = F.xxhash64(F.lit(turn), F.col("pivot")).bitwiseOR(F.lit(-LARGEST - 1))
@@ -276,10 +279,12 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, recall: float =
             sets = [np.unique(signed[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
             yield pa.RecordBatch.from_arrays([word_keys(word_offsets, words), pa.array(sets, pa.list_(pa.int64()))], ["key", "tokens"])
 
-    def sets_of(nodes: DataFrame) -> DataFrame:
-        """node and tokens of distinct nodes. Joined by shuffle at every size: each text moves once, by document."""
-        wanted = stage(classes.select("node", "key", "doc_id").join(nodes, "node", "left_semi"), "wanted-sets")
-        texts = source.join(wanted.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi").select("text")
+    def sets_of(nodes: DataFrame, few: int = 0) -> DataFrame:
+        """node and tokens of distinct nodes. Joined by shuffle: each text moves once, by document. Up to
+        ``few`` bytes of wanted nodes are broadcast instead, and only their own texts are looked at further."""
+        wanted, size = stage_sized(classes.select("node", "key", "doc_id").join(nodes, "node", "left_semi"), "wanted-sets")
+        how = "broadcast" if size <= few else "merge"
+        texts = source.join(wanted.select("doc_id").distinct().hint(how), "doc_id", "left_semi").select("text")
         # Repeated rows, and other texts of the id that are wanted too, give the same set again.
         found = texts.mapInArrow(token_sets, "key binary, tokens array<long>").dropDuplicates(["key"])
         return found.join(wanted.select("node", "key").hint("merge"), "key").select("node", "tokens")
@@ -289,7 +294,7 @@ def similar_documents(docs: DataFrame, similarity: float = 0.8, recall: float =
     keys = leaves.select("path", "node")
     near = None
     if dense is not None:
-        near, rest = _dense_groups(dense, classes, sets_of, similarity)
+        near, rest = _dense_groups(dense, classes, lambda nodes: sets_of(nodes, FEW_BYTES), similarity)
         for part in rest:
             # Another key than in the tree: here a bucket lacks the sets that are near its pivot.
             leaves = leaves.unionAll(part.select(F.xxhash64("path").bitwiseAND(F.lit(LARGEST)).alias("path"), "node", "size"))

@@ -131,3 +131,22 @@ def test_components_of_stars_take_one_round(spark, monkeypatch):
     chain = [(i, i + 1) for i in range(40)]
     found = links.connected_components(spark.createDataFrame(chain, "a long, b long"))
     assert sorted(map(tuple, found.collect())) == [(i, 0) for i in range(41)]
+
+
+def test_texts_of_dense_buckets_are_looked_up_once_without_a_shuffle_of_all(spark, monkeypatch):
+    names, joins = [], []
+
+    def spy(df, name):
+        names.append(name)
+        if name == "dense-sets":
+            joins.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return stage(df, name)
+
+    monkeypatch.setattr(chosen_path, "stage", spy)
+    monkeypatch.setattr(chosen_path, "BUCKET", 8)
+    words = [f"w{i}" for i in range(60)]
+    docs = [(100 * g + i, " ".join([f"g{g}", *words, f"e{i}", f"e{i % 3}"])) for g in range(3) for i in range(40)]
+    found = chosen_path.similar_documents(spark.createDataFrame(docs, "doc_id long, text string"), 0.8)
+    assert {r["group_id"] for r in found.collect()} == {0}
+    assert names.count("dense-sets") == 1 and names.count("differences") >= 1
+    assert "strategy=broadcast" in joins[0] and re.search(r"Join LeftSemi.*broadcast", joins[0])
