@@ -47,40 +47,44 @@ def feature_profile(
     With ``keys`` there is one profile per combination of them, and shares are of its rows.
     Combinations must be few, such as the names of services: their totals are broadcast.
 
-    Rows are first counted per combination of all features and labels, which needs one
-    update per row; only these combinations are turned into one row per feature. Values
-    are written as text there too, not on every row. ``numbers`` names columns that stand for
-    the features and labels in this count, and ``label`` puts those in their place afterwards:
-    numbers are short to group by and to move.
+    Rows are counted per value of each feature and pair of labels, by one grouping set per
+    feature. A task holds one count per value and pair, which are far fewer than the
+    combinations of all features. Values are written as text on these counts, not on every
+    row. ``numbers`` names columns that stand for the features and labels in this count, and
+    ``label`` puts those in their place afterwards: numbers are short to group by and to move.
+    ``label`` passes ``n_rows`` on as it is; it holds the feature that a count is of, too.
     """
     keys = list(keys)
     count = F.sum(weight) if weight else F.count(F.lit(1))
-    combined = [*features, distance_label, time_label] if numbers is None else numbers
-    cells = label(df.groupBy(*keys, *combined).agg(count.alias("n_rows")))
-    counted = (
-        cells.select(
-            *keys,
-            *[F.col(f).cast("string").alias(f) for f in features],
-            F.col(distance_label).alias("cost_distance_label"),
-            F.col(time_label).alias("cost_time_label"),
-            "n_rows",
+    *names, distance, time = [*features, distance_label, time_label] if numbers is None else numbers
+    labels = [distance] if distance == time else [distance, time]
+
+    def count_values() -> DataFrame:
+        feature = F.coalesce(*[F.when(F.grouping(n) == 0, F.lit(f)) for f, n in zip(features, names)])
+        grouped = df.groupingSets([[*keys, n, *labels] for n in names], *keys, *names, *labels).agg(
+            F.struct(feature.alias("feature"), count.alias("count")).alias("n_rows")
         )
-        .unpivot(
-            [*keys, "cost_distance_label", "cost_time_label", "n_rows"],
-            list(features),
-            "feature",
-            "value",
+        value = F.coalesce(*[F.when(F.col("n_rows.feature") == f, F.col(f).cast("string")) for f in features])
+        return (
+            label(grouped)
+            .select(
+                *keys,
+                "n_rows.feature",
+                value.alias("value"),
+                F.col(distance_label).alias("cost_distance_label"),
+                F.col(time_label).alias("cost_time_label"),
+                "n_rows.count",
+            )
+            .groupBy(*keys, "feature", "value", "cost_distance_label", "cost_time_label")
+            .agg(F.sum("count").alias("count"))
         )
-        .groupBy(*keys, "feature", "value", "cost_distance_label", "cost_time_label")
-        .agg(F.sum("n_rows").alias("count"))
-    )
-    # Every row has a value of every feature, so all features share one total. It becomes
-    # one row per feature: the broadcast side is as short as the list of features, for
-    # each of the few combinations of keys.
-    names = F.array(*[F.lit(f) for f in features])
-    totals = cells.groupBy(*keys).agg(F.sum("n_rows").alias("total")).select(
-        *keys, F.explode(names).alias("feature"), "total"
-    )
+
+    # Both sides of the join are written from the start: Spark reuses the shuffles of two such
+    # plans, but not of a table that is joined with itself, whose grouping sets it renames.
+    # The broadcast side is as short as the list of features, for each of the few
+    # combinations of keys.
+    counted = count_values()
+    totals = count_values().groupBy(*keys, "feature").agg(F.sum("count").alias("total"))
     return counted.join(F.broadcast(totals), [*keys, "feature"]).select(
         *keys,
         "feature",

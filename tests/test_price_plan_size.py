@@ -55,3 +55,31 @@ def test_profile_counts_numbers_and_labels_them_afterwards(spark):
     plain = feature_profile(label(rows.withColumn("n_rows", F.lit(1))), ["f_label"], "d_label", "t_label")
     assert sorted(map(str, out.collect())) == sorted(map(str, plain.collect()))
     assert out.count() == 2
+
+
+def test_profile_counts_values_not_combinations_of_features(spark):
+    rows = spark.range(1000).selectExpr(
+        "id % 10 as a", "id div 10 % 10 as b", "if(id < 100, null, id div 100) as c", "'d' as d", "'t' as t"
+    )
+    seen = []
+
+    def label(counted):
+        seen.append(counted)
+        return counted
+
+    out = feature_profile(rows, ["a", "b", "c"], "d", "t", label=label)
+    found = {(r["feature"], r["value"]): (r["count"], r["pcg"]) for r in out.collect()}
+    values = [("a", str(i)) for i in range(10)] + [("b", str(i)) for i in range(10)]
+    assert found == dict.fromkeys([*values, *[("c", str(i)) for i in range(1, 10)], ("c", None)], (100, 10.0))
+    assert seen[0].count() == 30  # 1000 combinations of the three
+
+
+def test_profile_reads_its_rows_once(spark):
+    rows = spark.range(100).selectExpr("id % 3 as a", "id % 5 as b", "id % 2 as d", "'t' as t", "id as n", "id % 2 as k")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = feature_profile(rows, ["a", "b"], "d", "t", weight="n", keys=["k"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("ReusedExchange") == 1 and plan.count("Range (") == 1 and plan.count("Expand") == 1
