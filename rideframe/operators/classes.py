@@ -48,6 +48,16 @@ def class_averages(
     return averages
 
 
+def looked_up(averages: DataFrame) -> DataFrame:
+    """Averages that are joined by a lookup, for rows that are far more than their classes.
+
+    A task holds the classes of its partition, each once, and passes the rows by. The sort of a
+    merge join would hold all rows of the partition. A partition has no more classes than rows,
+    and a class with very many rows is still one entry.
+    """
+    return averages.hint("shuffle_hash")
+
+
 def attach_class_averages(
     df: DataFrame,
     averages: DataFrame,
@@ -59,7 +69,8 @@ def attach_class_averages(
 
     No join hint: the averages are broadcast when their size is known to be below the
     session's threshold, at planning or at run time, and are joined by shuffle beyond it,
-    where adaptive execution splits a class that holds too many rows.
+    where adaptive execution splits a class that holds too many rows. A caller whose rows are
+    many may hint the averages; see ``looked_up``.
     """
     averages = averages.drop("n_class")
     if not null_safe:

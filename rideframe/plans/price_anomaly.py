@@ -177,7 +177,7 @@ def price_anomaly_of_cells(cells: DataFrame, class_columns: Sequence[str] = PRIC
     """
     keys = [SERVICE, *_starts(class_columns, STEP_LABELS)]
     averages = classes.class_averages(cells, keys, weight="n_trips")
-    cells = classes.attach_class_averages(cells, averages, keys)
+    cells = classes.attach_class_averages(cells, classes.looked_up(averages), keys)
     cells = _with_deviation_starts(classes.with_price_deviation(cells))
     report = feature_profile(
         cells,
@@ -365,7 +365,7 @@ def price_anomaly_df_services(
     averages = classes.class_averages(
         cells, keys, decimals=2, positive_only=False, weight="n_trips"
     )
-    cells = classes.attach_class_averages(cells, averages, keys, how="left")
+    cells = classes.attach_class_averages(cells, classes.looked_up(averages), keys, how="left")
     cells = _with_deviation_starts(classes.with_price_deviation(cells, "direct"))
     report = feature_profile(
         cells,

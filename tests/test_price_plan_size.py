@@ -83,3 +83,57 @@ def test_profile_reads_its_rows_once(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert plan.count("ReusedExchange") == 1 and plan.count("Range (") == 1 and plan.count("Expand") == 1
+
+
+def cells_of(rows):
+    """Cells of two classes: nearly all in the first, which has no passenger count."""
+    return rows.selectExpr(
+        "'yellow' as service_type",
+        "if(id % 500 = 0, 1D, null) as passenger_count",
+        "'N' as store_and_fwd_flag",
+        "1D as payment_type",
+        *[f"0L as {c}" for c in price_plan.CELL_FEATURES if c.endswith("_start")],
+        "2020 as year",
+        "id / 100D as cost_per_distance",
+        "(id % 97 + 1) / 100D as cost_per_time",
+        "1L as n_trips",
+    )
+
+
+def test_cells_are_not_sorted_to_be_joined_with_their_averages(spark, tmp_path):
+    folder = line_items(spark, tmp_path, lambda k: "OF"[k % 2])
+    raw = fx.both_services(spark, folder)
+    reports = (
+        lambda: price_plan.price_anomaly_of_cells(cells_of(spark.range(1, 1001))),
+        lambda: price_plan.price_anomaly_services(raw),
+        lambda: price_plan.price_anomaly_df_services(raw),
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for report in reports:
+            plan = report()._jdf.queryExecution().executedPlan().toString()
+            assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and "Sort [" not in plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_a_class_with_most_cells_is_split_in_the_lookup_of_averages(spark):
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+    }
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        report = price_plan.price_anomaly_of_cells(cells_of(spark.range(1, 20001)))
+        rows = [r for r in report.collect() if r["feature"] == "passenger_count"]
+        plan = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        for key in small:
+            spark.conf.unset(key)
+    counts = {}
+    for r in rows:
+        counts[r["value"]] = counts.get(r["value"], 0) + r["count"]
+    assert counts == {None: 19960, "1.0": 40}
+    assert "ShuffledHashJoin(skew=true)" in plan
